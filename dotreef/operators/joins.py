@@ -170,7 +170,7 @@ def presence_diff(
 
 def value_setdiff(left: DataFrame, right: DataFrame, on: Key) -> DataFrame:
     """Distinct values of ``left`` that ``right`` lacks."""
-    (lk, rk), = _pairs(on)
+    lk, rk = (on, on) if isinstance(on, str) else on
     both = tagged_keys({"__l": left.select(lk), "__r": right.select(F.col(rk).alias(lk))}, [lk])
     return both.filter(F.col("__l") & F.col("__r").isNull()).select(lk)
 
