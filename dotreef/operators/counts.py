@@ -66,17 +66,18 @@ def label_counts(
     where: Column | None = None,
     name: str = "count",
     weight: str | None = None,
+    salt: int = 1,
 ) -> DataFrame:
     """Count points per ``by`` and class, class labels taken from ``dim`` through ``on``.
 
     ``points`` are folded on ``by + on`` first: that is the one exchange that sees raw rows, on a
     few narrow columns, and a hot sample or class arrives as one row per task. The lookup
     then joins counts, not points; repeated lookup rows multiply the count, as a
-    row-by-row join would. When the key ``on`` is among the output columns, distinct
+    row-by-row join would. ``salt`` is for a lookup table too big to broadcast. When the key ``on`` is among the output columns, distinct
     lookup rows give distinct output rows and no second aggregation is needed.
     """
     folded = tally(points, [*by, *on], weight, "__n")
-    wide = lookup(folded, multiplicity(dim), list(on))
+    wide = lookup(folded, multiplicity(dim), list(on), salt=salt)
     wide = wide.withColumn("__n", F.col("__n") * F.coalesce(F.col(MULT), F.lit(1))).drop(MULT)
     present = [c for c in labels if c in wide.columns]
     wide = scorable(wide, drop_on, drop) if drop is not None else wide

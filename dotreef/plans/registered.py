@@ -11,9 +11,13 @@ from ..functions import nulls, text
 from ..functions.samples import sample_expr
 from ..operators import classify, columns, counts, joins, qc
 from ..schemas import CODE, LABELS, LEVELS, TAXONOMY
-from ..sources.dimensions import labels_by_code, starter_classification
+from ..sources import metadata as metadata_source
+from ..sources.dimensions import labels_by_code, read_classification, read_crosswalk, starter_classification
+from ..sources.ragged import read_annotations
+from ..sources.sinks import read_plain_csv, scratch_dir, write_metadata, write_report, write_upload
 from . import frames as fr
 from . import frames_sql as fs
+from . import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -753,3 +757,86 @@ def range_scope(spark, d):
 WHERE successful_count = 'Yes' OR successful_length = 'Yes'"""))
 def successful_either(spark, d):
     return qc.successful(fr.metadata(spark, d)).select("sample", "successful_count", "successful_length")
+
+
+# --- files in and out ------------------------------------------------------------------------
+
+
+@register(fs.sql(fs.POINTS, """
+SELECT campaignid, filename, caab_code, broad, CASE WHEN direction = 'backwards' THEN morphology END AS morphology,
+  CASE WHEN direction = 'forwards' THEN type END AS type, CASE WHEN direction = 'forwards' THEN relief END AS relief
+FROM points"""))
+def annotation_scan(spark, d):
+    root = scratch_dir(spark)
+    landing.write_exports(spark, d, root)
+    wanted = ["filename", "code", "broad", "morphology", "type", "relief"]
+    raw = read_annotations(spark, root, columns=wanted, glob="*.txt")
+    folder, = columns.path_columns(F.col("__path"), root, ["folder"])
+    return raw.select(
+        text.remove(folder, "^campaignid=").alias("campaignid"), "filename", nulls.try_number("code").alias(CODE),
+        *wanted[2:],
+    )
+
+
+@register(fs.sql(fs.META, """
+SELECT 'project=Project ' || location AS project, 'campaignid=' || campaignid AS campaignid,
+  CAST(sample AS VARCHAR) AS sample, 'north, ' || location AS location, successful_count, successful_length,
+  CAST(NULL AS VARCHAR) AS comment FROM meta"""))
+def synthesise_metadata(spark, d):
+    root = scratch_dir(spark)
+    landing.write_metadata_files(spark, d, root)
+    out = metadata_source.synthesise_metadata(spark, root, glob="*.txt")
+    return out.select("project", "campaignid", "sample", "location", "successful_count", "successful_length", "comment")
+
+
+@register(fs.sql(fs.META, """
+SELECT campaignid, CAST(sample AS VARCHAR) AS sample, latitude_dd, successful_count FROM meta"""))
+def canonical_metadata(spark, d):
+    root = scratch_dir(spark)
+    landing.write_metadata_files(spark, d, root)
+    out = metadata_source.read_metadata(spark, root, glob="*.txt", campaign_level=False)
+    return out.select(text.remove("campaignid", "^campaignid=").alias("campaignid"), "sample", "latitude_dd", "successful_count")
+
+
+@register(fs.sql(fs.POINTS, fs.CLASSES, f"""
+SELECT p.campaignid, p.sample AS opcode, {fs.LABELS}, p.caab_code, CAST(count(*) AS BIGINT) AS count
+FROM points p LEFT JOIN classes c ON p.caab_code IS NOT DISTINCT FROM c.caab_code GROUP BY ALL"""))
+def upload_roundtrip(spark, d):
+    counted = classify.counts_by_code(fr.points(spark, d), fr.classes(spark, d), BY, drop=None)
+    struct = columns.rename(counted, {"sample": "opcode"}).schema
+    path = scratch_dir(spark)
+    write_upload(counted, path, "benthos-count", rename_sample="opcode", order=["opcode", *LEVELS])
+    return read_plain_csv(spark, path, struct).select(*struct.fieldNames())
+
+
+@register(fs.sql(fs.META, """
+SELECT * FROM (SELECT campaignid, sample, location, successful_habitat_forward FROM meta) CROSS JOIN (VALUES ('csv'), ('parquet')) v(kind)"""))
+def metadata_sink(spark, d):
+    path = scratch_dir(spark)
+    meta = fr.metadata(spark, d).select(*BY, "location", "successful_habitat_forward")
+    write_metadata(meta, path)
+    kinds = {"csv": read_plain_csv(spark, f"{path}/csv", meta.schema), "parquet": spark.read.parquet(f"{path}/parquet")}
+    return columns.union_by_name(*[df.withColumn("kind", F.lit(kind)) for kind, df in kinds.items()])
+
+
+@register(SQL["unmatched_classes"])
+def unmatched_classes_sink(spark, d):
+    path = scratch_dir(spark)
+    found = unmatched_classes(spark, d)
+    write_report(found, path)
+    return read_plain_csv(spark, path, found.schema)
+
+
+@register(fs.sql(fs.CROSSWALK, "SELECT broad, morphology, type, caab_code FROM crosswalk"))
+def crosswalk_snapshot(spark, d):
+    path = scratch_dir(spark)
+    fr.crosswalk(spark, d).drop("level_2").union(fr.crosswalk(spark, d).drop("level_2")).write.parquet(path)
+    return read_crosswalk(spark, path)
+
+
+@register(fs.sql(fs.CLASSES, f"SELECT caab_code, {fs.LABELS} FROM classes"))
+def classification_snapshot(spark, d):
+    path = scratch_dir(spark)
+    own = fr.classes(spark, d).withColumns({CODE: F.col(CODE).cast("string"), "qualifiers": F.lit("a note")})
+    own.write.parquet(path)
+    return read_classification(spark, path)

@@ -51,6 +51,11 @@ def write_metadata(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/parquet")
 
 
+def write_report(df: DataFrame, path: str) -> None:
+    """Any finding as CSV with a header, for instance the classes that no crosswalk knows."""
+    df.write.mode("overwrite").csv(path, header=True, nullValue="NA")
+
+
 def read_plain_csv(spark: SparkSession, path: str, struct: T.StructType) -> DataFrame:
     """A CSV with a header and a known schema, NULL spelled ``NA``."""
     return spark.read.schema(struct).csv(path, header=True, nullValue="NA")
