@@ -1,7 +1,7 @@
 from .dimensions import literal_table, read_classification, read_crosswalk, starter_classification
 from .metadata import read_metadata, synthesise_metadata
 from .ragged import read_annotations, scan_ragged
-from .sinks import read_plain_csv, scratch_dir, write_metadata, write_report, write_upload
+from .sinks import read_plain_csv, scratch_dir, store_points, write_metadata, write_report, write_upload
 
 __all__ = [
     "literal_table",
@@ -13,6 +13,7 @@ __all__ = [
     "scan_ragged",
     "scratch_dir",
     "starter_classification",
+    "store_points",
     "synthesise_metadata",
     "write_metadata",
     "write_report",

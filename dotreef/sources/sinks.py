@@ -45,6 +45,11 @@ def write_upload(
     writer.csv(path, header=True, nullValue="NA", quoteAll=quote_all)
 
 
+def store_points(df: DataFrame, path: str) -> None:
+    """Ingested dots as Parquet by campaign, so that each plan reads only its own campaigns."""
+    df.hint("rebalance", "campaignid").write.mode("overwrite").partitionBy("campaignid").parquet(path)
+
+
 def write_metadata(df: DataFrame, path: str) -> None:
     """The synthesis in both forms: quoted CSV for people, Parquet for the next job."""
     df.write.mode("overwrite").csv(f"{path}/csv", header=True, nullValue="NA", quoteAll=True)
