@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.columns import clean_header
+from ..operators.joins import SALT, lookup
 
 PATH = "__path"
 WHOLE_FILE_BYTES = 32 * 1024 * 1024
@@ -105,8 +106,8 @@ def scan_ragged(
     # Positions once per file, then the rows; empty files leave one NULL row, dropped below.
     body = small.select(PATH, at, "__lines").select(PATH, "__at", F.explode_outer("__lines").alias("value"))
     # Lines before the rows are known by their text, not by their number: two scans of the same
-    # files need not be cut into the same tasks.
-    big = lines.join(heads.select(PATH, at, "__preamble"), PATH)
+    # files need not be cut into the same tasks. The salt spreads one huge file over many.
+    big = lookup(lines, heads.select(PATH, at, "__preamble"), PATH, "inner", salt=SALT)
     big = big.filter(~F.col("__first_block") | ~F.array_contains("__preamble", F.col("value")))
     body = body.union(big.select(PATH, "__at", "value")).filter(F.col("value") != "")
     body = body.select(PATH, "__at", _cells(F.col("value"), sep).alias("__cells"))
