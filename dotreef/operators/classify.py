@@ -120,7 +120,7 @@ def harmonise_labels(df: DataFrame, fixes: Sequence[tuple] = tuple(fixed.LABEL_F
     kelp = F.col("level_4") == fixed.ECKLONIA
     named = {"family": "Lessoniaceae", "genus": "Ecklonia", "species": "radiata", "level_4": "Brown"}
     return out.select(
-        *[if_else_na(kelp, F.lit(named[c]), F.col(c)).alias(c) if c in named else F.col(c) for c in out.columns]
+        *[if_else_na(kelp, F.lit(named[c]), F.col(c)).alias(c) if c in named else c for c in out.columns]
     )
 
 
@@ -145,8 +145,8 @@ def overlay_labels(df: DataFrame, table: DataFrame, on: str = CODE) -> DataFrame
     labels = [c for c in table.columns if c != on]
     out = lookup(df, table, [on], suffix="_schema")
     twins = {c: c + "_schema" for c in labels if c in df.columns}
-    return out.select(
-        *[F.coalesce(F.col(twins[c]), F.col(c)).alias(c) if c in twins else F.col(c) for c in df.columns],
+    return out.selectExpr(
+        *[f"coalesce(`{twins[c]}`, `{c}`) AS `{c}`" if c in twins else f"`{c}`" for c in df.columns],
         *[c for c in labels if c not in twins],
     )
 

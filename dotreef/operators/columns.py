@@ -76,8 +76,10 @@ def front(df: DataFrame, *names: str) -> DataFrame:
 
 
 def ensure_cols(df: DataFrame, names: Iterable[str], kind: T.DataType | str = "string") -> DataFrame:
-    missing = [c for c in names if c not in df.columns]
-    return df.select("*", *[F.lit(None).cast(kind).alias(c) for c in missing])
+    have = df.columns
+    kind = kind if isinstance(kind, str) else kind.simpleString()
+    missing = [f"CAST(NULL AS {kind}) AS `{c}`" for c in names if c not in have]
+    return df.selectExpr("*", *missing) if missing else df
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import not_in_set
 from ..schemas import CODE, LABELS
-from .joins import key_struct, lookup, semi_on, shared_columns, tagged_keys
+from .joins import SALT, lookup, semi_on, tagged_keys
 
 UNSCORABLE = ("", "Unscorable", None)
 
@@ -90,6 +90,36 @@ def label_counts(
     return tally(wide, keys, "__n", name)
 
 
+def resolve_counts(
+    points: DataFrame,
+    classes: Sequence[str],
+    resolve: Callable[[DataFrame], DataFrame],
+    by: Sequence[str],
+    keys: Sequence[str],
+    keep: Column | None = None,
+    name: str = "count",
+    salt: int = SALT,
+) -> DataFrame:
+    """Count points whose class needs work: ``resolve`` runs once per distinct class.
+
+    ``resolve`` may change or multiply classes, ``keep`` then says which of them count. The
+    points are only folded and joined to the result; a vocabulary is small however many dots
+    use it, and the salt spreads a class that most dots share.
+    """
+    folded = tally(points, [*by, *classes], name="__n")
+    raw = [f"__raw_{c}" for c in classes]
+    seen = points.select(*classes).distinct()
+    shadowed = [f"`{c}` AS `{r}`" for c, r in zip(classes, raw)]
+    done = resolve(seen.selectExpr(*shadowed, *classes))
+    present = [k for k in keys if k in done.columns]
+    # Counting the kept rows instead of filtering: a filter would be pushed below the distinct
+    # and work out every label for every point after all.
+    kept = F.count(F.lit(1)) if keep is None else F.count(F.when(keep, 1))
+    done = done.groupBy(*raw, *present).agg(kept.alias(MULT)).filter(F.col(MULT) > 0)
+    found = lookup(folded.selectExpr(*by, *shadowed, "__n"), done, raw, "inner", salt=salt)
+    return found.groupBy(*by, *present).agg(F.expr(f"sum(__n * {MULT})").alias(name))
+
+
 def wide_to_long(
     df: DataFrame,
     prefix: str,
@@ -139,10 +169,3 @@ def class_coverage(relief: DataFrame, benthos: DataFrame, keys: Sequence[str]) -
         benthos.select(*keys, none.alias("__r"), one.alias("__b"))
     )
     return rows.groupBy(*keys).agg(F.sum("__r").alias("relief_sample"), F.sum("__b").alias("benthos_sample"))
-
-
-__all__ = [
-    "MULT", "UNSCORABLE", "class_coverage", "coverage_summary", "distinct_per_group", "first_by", "from_literal",
-    "key_struct", "label_counts", "multiplicity", "scope", "scorable", "shared_columns", "sum_na_rm", "tally",
-    "wide_to_long",
-]

@@ -33,28 +33,36 @@ def _pairs(on: Key | Sequence[Key]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else k for k in on]
 
 
-def key_struct(names: Sequence[str | Column], types: Sequence | None = None) -> Column:
-    cols = [F.col(n) if isinstance(n, str) else n for n in names]
-    if types is not None:
-        cols = [c.cast(t) for c, t in zip(cols, types)]
-    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _row_salt(df: DataFrame, salt: int) -> Column:
+def _key_sql(names: Sequence[str], types: Sequence[str]) -> str:
+    fields = [f"CAST({_q(n)} AS {t}) AS k{i}" for i, (n, t) in enumerate(zip(names, types))]
+    return f"struct({', '.join(fields)})"
+
+
+def _row_salt(df: DataFrame, salt: int) -> str:
     # From the row's content, so that a re-run task sends every row to the same place.
-    return F.pmod(F.xxhash64(*df.columns), F.lit(salt)).cast("int")
+    return f"CAST(pmod(xxhash64({', '.join(map(_q, df.columns))}), {salt}) AS INT) AS __ls"
 
 
-def _salts(salt: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
+def _salts(salt: int) -> str:
+    return f"explode(sequence(0, {salt - 1})) AS __rs"
 
 
-def _key_types(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> list:
-    types = []
+def _key_types(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> list[str]:
+    lt, rt = dict(left.dtypes), dict(right.dtypes)
+    whole = {"smallint", "int", "bigint"}
+    out = []
     for lk, rk in pairs:
-        lt, rt = left.schema[lk].dataType, right.schema[rk].dataType
-        types.append(lt if lt == rt else ("bigint" if {lt.typeName(), rt.typeName()} <= {"integer", "long", "short"} else "string"))
-    return types
+        a, b = lt[lk], rt[rk]
+        out.append(a if a == b else ("bigint" if {a, b} <= whole else "string"))
+    return out
+
+
+def _condition(salt: int) -> Column:
+    return F.expr("__lk = __rk" + (" AND __ls = __rs" if salt > 1 else ""))
 
 
 def lookup(
@@ -74,32 +82,25 @@ def lookup(
     pairs = _pairs(on)
     types = _key_types(left, right, pairs)
     lkeys, rkeys = [p[0] for p in pairs], [p[1] for p in pairs]
-    brought = [(c, c + suffix if c in left.columns else c) for c in right.columns if c not in rkeys]
-    lk, rk = key_struct(lkeys, types), key_struct(rkeys, types)
-    r = right.select(rk.alias("__rk"), *[F.col(a).alias(b) for a, b in brought])
-    l = left.select("*", lk.alias("__lk"))
-    condition = F.col("__lk") == F.col("__rk")
-    if salt > 1:
-        l = l.withColumn("__ls", _row_salt(left, salt))
-        r = r.select("*", _salts(salt).alias("__rs"))
-        condition = condition & (F.col("__ls") == F.col("__rs"))
-    return l.join(r, condition, how).select(*left.columns, *[b for _, b in brought])
+    mine = left.columns
+    brought = [(c, c + suffix if c in mine else c) for c in right.columns if c not in rkeys]
+    r = right.selectExpr(
+        f"{_key_sql(rkeys, types)} AS __rk", *[f"{_q(a)} AS {_q(b)}" for a, b in brought], *([_salts(salt)] if salt > 1 else [])
+    )
+    l = left.selectExpr("*", f"{_key_sql(lkeys, types)} AS __lk", *([_row_salt(left, salt)] if salt > 1 else []))
+    return l.join(r, _condition(salt), how).selectExpr(*map(_q, mine), *[_q(b) for _, b in brought])
 
 
 def _filtering(left: DataFrame, right: DataFrame, on, how: str, salt: int) -> DataFrame:
     pairs = _pairs(on)
     types = _key_types(left, right, pairs)
-    rk = key_struct([p[1] for p in pairs], types)
     # Only the distinct keys of the right side travel; the partial aggregation before the
     # exchange folds a hot key to one row per task.
-    keys = right.select(rk.alias("__rk")).distinct()
-    l = left.select("*", key_struct([p[0] for p in pairs], types).alias("__lk"))
-    condition = F.col("__lk") == F.col("__rk")
+    keys = right.selectExpr(f"{_key_sql([p[1] for p in pairs], types)} AS __rk").distinct()
+    l = left.selectExpr("*", f"{_key_sql([p[0] for p in pairs], types)} AS __lk", *([_row_salt(left, salt)] if salt > 1 else []))
     if salt > 1:
-        l = l.withColumn("__ls", _row_salt(left, salt))
-        keys = keys.select("*", _salts(salt).alias("__rs"))
-        condition = condition & (F.col("__ls") == F.col("__rs"))
-    return l.join(keys, condition, how).select(*left.columns)
+        keys = keys.selectExpr("*", _salts(salt))
+    return l.join(keys, _condition(salt), how).selectExpr(*map(_q, left.columns))
 
 
 def semi_on(left: DataFrame, right: DataFrame, on: Key | Sequence[Key], salt: int = 1) -> DataFrame:
@@ -139,12 +140,10 @@ def full_on(left: DataFrame, right: DataFrame, on: Key | Sequence[Key]) -> DataF
     clash = set(lrest) & set(rrest)
     if clash:
         raise ValueError(f"both sides carry {sorted(clash)}")
-    l = left.select(key_struct(lkeys, types).alias("__lk"), *lrest)
-    r = right.select(key_struct(rkeys, types).alias("__rk"), *rrest)
-    key = F.coalesce(F.col("__lk"), F.col("__rk"))
-    return l.join(r, F.col("__lk") == F.col("__rk"), "full").select(
-        *[key[f"k{i}"].alias(n) for i, n in enumerate(lkeys)], *lrest, *rrest
-    )
+    l = left.selectExpr(f"{_key_sql(lkeys, types)} AS __lk", *map(_q, lrest))
+    r = right.selectExpr(f"{_key_sql(rkeys, types)} AS __rk", *map(_q, rrest))
+    keys = [f"coalesce(__lk, __rk).k{i} AS {_q(n)}" for i, n in enumerate(lkeys)]
+    return l.join(r, F.expr("__lk = __rk"), "full").selectExpr(*keys, *map(_q, lrest), *map(_q, rrest))
 
 
 def tagged_keys(frames: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:

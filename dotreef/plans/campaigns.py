@@ -22,6 +22,7 @@ from ..operators.classify import Rule, repair_rules
 from ..operators.columns import ensure_cols, rename, union_by_name
 from ..operators.joins import lookup, presence_diff
 from ..schemas import CODE, COUNTS, CROSSWALK_KEYS, LABELS, LEVELS, TAXONOMY, conform
+from ..sources.dimensions import labels_by_code
 from . import fixed
 
 BY = ("campaignid", "sample")
@@ -300,20 +301,23 @@ def _by_relabel(specs, prepared, t: Tables) -> DataFrame:
 
 
 def _by_labels(specs, prepared, t: Tables) -> DataFrame:
-    from ..sources.dimensions import labels_by_code
+    labels = labels_by_code(prepared.sparkSession)
 
-    folded = counts.tally(prepared, [*BY, *LEVELS[1:5], CODE], name="__w")
-    out = classify.flat_code_fill(classify.harmonise_labels(folded), t.schema)
-    out = classify.overlay_labels(out, labels_by_code(prepared.sparkSession))
-    return counts.tally(counts.scorable(out, drop=specs[0].drop), [*BY, *LABELS, CODE], "__w")
+    def resolve(seen: DataFrame) -> DataFrame:
+        named = classify.flat_code_fill(classify.harmonise_labels(seen), t.schema)
+        return classify.overlay_labels(named, labels)
+
+    keep = not_in_set("level_2", specs[0].drop)
+    return counts.resolve_counts(prepared, [*LEVELS[1:5], CODE], resolve, BY, [*LABELS, CODE], keep)
 
 
 def _by_path(specs, prepared, t: Tables) -> DataFrame:
-    folded = counts.tally(prepared, [*BY, *LEVELS[1:5]], name="__w")
-    out = lookup(classify.realign_hierarchy(folded), classify.schema_by_path(t.schema), LEVELS[:5])
-    out = classify.taxonomy_fill(classify.taxonomy_from_levels(out), t.schema)
-    out = counts.scorable(out, drop=specs[0].drop).filter(not_in_set("level_1", specs[0].drop_level_1))
-    return counts.tally(out, [*BY, *LABELS, CODE], "__w")
+    def resolve(seen: DataFrame) -> DataFrame:
+        named = lookup(classify.realign_hierarchy(seen), classify.schema_by_path(t.schema), LEVELS[:5])
+        return classify.taxonomy_fill(classify.taxonomy_from_levels(named), t.schema)
+
+    keep = not_in_set("level_2", specs[0].drop) & not_in_set("level_1", specs[0].drop_level_1)
+    return counts.resolve_counts(prepared, LEVELS[1:5], resolve, BY, [*LABELS, CODE], keep)
 
 
 def _by_scientific(specs, prepared, t: Tables) -> DataFrame:

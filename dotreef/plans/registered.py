@@ -210,10 +210,15 @@ SELECT campaignid, sample, coalesce(s1, level_1) AS level_1, coalesce(s2, level_
 FROM filled f LEFT JOIN by_code b ON f.caab_code IS NOT DISTINCT FROM b.caab_code
 WHERE coalesce(s2, level_2) NOT IN ('', 'Unknown', 'Open Water') GROUP BY ALL"""))
 def overlay_labels(spark, d):
-    filled = classify.flat_code_fill(_harmonised(spark, d), starter_classification(spark))
-    out = classify.overlay_labels(filled, labels_by_code(spark))
-    kept = counts.scorable(out, drop=("", "Unknown", "Open Water", None))
-    return counts.tally(kept, [*BY, *LEVELS[:5], *TAXONOMY, CODE])
+    starter, by_code = starter_classification(spark), labels_by_code(spark)
+
+    def resolve(seen):
+        named = classify.flat_code_fill(classify.harmonise_labels(seen), starter)
+        return classify.overlay_labels(named, by_code)
+
+    pts = fr.worded_points(spark, d)
+    keep = nulls.not_in_set("level_2", ["", "Unknown", "Open Water", None])
+    return counts.resolve_counts(pts, [*LEVELS[1:4], CODE], resolve, BY, [*LEVELS[:5], *TAXONOMY, CODE], keep)
 
 
 _REALIGNED = """realigned AS (
@@ -246,10 +251,14 @@ WHERE r.level_2 IS NOT NULL AND r.level_2 NOT IN ('', 'Unscorable')
   AND (r.level_1 IS NULL OR r.level_1 NOT IN ('Matrix', 'Unscorable')) GROUP BY ALL"""))
 def counts_by_path(spark, d):
     paths = classify.schema_by_path(starter_classification(spark))
-    out = joins.lookup(classify.realign_hierarchy(fr.compound_points(spark, d)), paths, LEVELS[:5])
-    kept = counts.scorable(classify.taxonomy_from_levels(out))
-    kept = kept.filter(nulls.not_in_set("level_1", ["Matrix", "Unscorable"]))
-    return counts.tally(kept, [*BY, *LEVELS[:5], *TAXONOMY, CODE])
+
+    def resolve(seen):
+        named = joins.lookup(classify.realign_hierarchy(seen), paths, LEVELS[:5])
+        return classify.taxonomy_from_levels(named)
+
+    pts = fr.compound_points(spark, d)
+    keep = nulls.not_in_set("level_2", counts.UNSCORABLE) & nulls.not_in_set("level_1", ["Matrix", "Unscorable"])
+    return counts.resolve_counts(pts, LEVELS[1:5], resolve, BY, [*LEVELS[:5], *TAXONOMY, CODE], keep)
 
 
 @register(fs.sql(fs.POINTS, fs.CLASSES, """
