@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Campaign names that look like numbers or dates stay names.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Plans here are built from many small expressions; recording a call site for each costs
     # more than building them.
     "spark.sql.dataFrameQueryContext.enabled": "false",
