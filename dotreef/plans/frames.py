@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CLASSIFICATION, CODE, LEVELS
-from ..sources.dimensions import literal_table
+from ..sources.dimensions import literal_table, starter_classification
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -206,3 +206,28 @@ def users(spark: SparkSession, d: str) -> DataFrame:
     """Metadata for the count matrix."""
     c = table(spark, d, "customer").filter(F.col("c_mktsegment") != "MACHINERY")
     return c.select(campaign("c_custkey").alias("campaignid"), F.col("c_custkey").alias("opcode"))
+
+
+def text_points(spark: SparkSession, d: str) -> DataFrame:
+    """Dots as ingested: every column is text, the code stands in two places."""
+    number = F.col(CODE).cast("string")
+    return points(spark, d).select(
+        "campaignid", "direction", "filename", "broad", "morphology", "type", number.alias("code"),
+        F.concat((F.col(CODE) + 1).cast("string"), F.lit(".0")).alias("qualifiers"),
+    )
+
+
+def scored_points(spark: SparkSession, d: str) -> DataFrame:
+    """Relief dots that carry their standard labels and code."""
+    digit = F.substring("relief", 2, 1)
+    return points(spark, d).filter(F.col("relief").isNotNull()).select(
+        "campaignid", "sample", F.when(digit != "n", "Relief").alias("level_2"), digit.alias("level_5"),
+        (F.ascii(digit) + 82003000).cast("bigint").alias(CODE),
+    )
+
+
+def relief_crosswalk(spark: SparkSession) -> DataFrame:
+    """Relief sentences to classes; "Unknown" is relief without a score."""
+    relief = starter_classification(spark).filter(F.col("level_2") == "Relief")
+    sentence = F.coalesce(F.concat(F.lit("."), F.col("level_5"), F.lit(". relief")), F.lit("Unknown"))
+    return relief.select(sentence.alias("relief"), CODE, "level_2", "level_5")

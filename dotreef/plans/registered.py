@@ -13,8 +13,9 @@ from ..operators import classify, columns, counts, joins, qc
 from ..schemas import CODE, LABELS, LEVELS, TAXONOMY
 from ..sources import metadata as metadata_source
 from ..sources.dimensions import labels_by_code, read_classification, read_crosswalk, starter_classification
-from ..sources.ragged import read_annotations
+from ..sources.ragged import read_annotations, scan_ragged
 from ..sources.sinks import read_plain_csv, scratch_dir, write_metadata, write_report, write_upload
+from . import campaigns
 from . import frames as fr
 from . import frames_sql as fs
 from . import landing
@@ -158,6 +159,73 @@ def wide_to_long(spark, d):
     return counts.wide_to_long(fr.matrix(spark, d), "biota_", ["campaignid", "opcode"], "category")
 
 
+@register(fs.sql(fs.POINTS, fs.STARTER, """
+SELECT p.campaignid, p.filename, CAST(s.caab_code AS BIGINT) AS caab_code, CAST(count(*) AS BIGINT) AS number,
+  s.level_1, s.level_2, s.level_3, s.level_4, s.level_5
+FROM points p LEFT JOIN (SELECT *, coalesce('.' || level_5 || '. relief', 'Unknown') AS words FROM starter WHERE level_2 = 'Relief') s
+  ON p.relief IS NOT DISTINCT FROM s.words
+WHERE s.level_5 IS NOT NULL GROUP BY ALL"""))
+def crosswalk_relief(spark, d):
+    out = classify.counts_by_crosswalk(
+        fr.points(spark, d), fr.relief_crosswalk(spark), starter_classification(spark), ["relief"], drop_on="level_5"
+    )
+    return out.select("campaignid", "filename", CODE, "number", *LEVELS[:5])
+
+
+@register(fs.sql(fs.POINTS, """
+SELECT campaignid, sample, 'Physical' AS level_1, level_2, level_5, CAST(82003000 + ascii(level_5) AS BIGINT) AS caab_code,
+  CAST(count(*) AS BIGINT) AS count
+FROM (SELECT *, substr(relief, 2, 1) AS level_5, CASE WHEN substr(relief, 2, 1) <> 'n' THEN 'Relief' END AS level_2
+  FROM points WHERE relief IS NOT NULL) WHERE level_2 IS NOT NULL GROUP BY ALL"""))
+def native_relief(spark, d):
+    return classify.native_counts(fr.scored_points(spark, d), BY, {"level_1": "Physical"})
+
+
+_BETWEEN = [("extract", "(?<=_)[0-9]+(?=_)")]
+_SPECS = [
+    campaigns.CampaignSpec("survey-1", sample=campaigns.SampleRule(steps=_BETWEEN), rules=tuple(classify.repair_rules())),
+    campaigns.CampaignSpec("survey-2", sample=campaigns.SampleRule(steps=[("after_last", "_")]), code_from="qualifiers"),
+    campaigns.CampaignSpec(
+        "survey-3", sample=campaigns.SampleRule(steps=[("after_last", "_"), *campaigns.STRIP_IMAGE], back_steps=_BETWEEN),
+        rules=tuple(classify.repair_rules(invertebrate=2, spelled_out=False, matrix=True)), with_code=False,
+    ),
+    campaigns.CampaignSpec("survey-4", sample=campaigns.SampleRule(steps=_BETWEEN), scope_latitude=-27.71),
+]
+_ARCHIVE_CODE = """CASE campaignid
+  WHEN 'survey-1' THEN CASE WHEN broad = 'Open Water' THEN 1
+    WHEN broad IN ('Invertebrate Complex', 'Sessile invertebrates') THEN 99900044 WHEN type = 'Thalassodendrum sp.' THEN 63618905
+    WHEN type = 'Ecklonia radiata' THEN 54079009 ELSE caab_code END
+  WHEN 'survey-2' THEN caab_code + 1
+  WHEN 'survey-3' THEN CASE WHEN broad = 'Open Water' THEN 1 WHEN broad = 'Invertebrate Complex' THEN 2
+    WHEN morphology = 'Bryozoa / Cnidaria Matrix' THEN 2 WHEN type = 'Thalassodendrum sp.' THEN 63618905
+    WHEN type = 'Ecklonia radiata' THEN 54079009 ELSE caab_code END
+  ELSE caab_code END"""
+_ARCHIVE_SAMPLE = f"""CASE WHEN campaignid = 'survey-2' THEN regexp_replace(filename, '.*_', '')
+  WHEN campaignid = 'survey-3' AND direction = 'forwards' THEN left(regexp_replace(filename, '.*_', ''), 1) ELSE {fs.SAMPLE} END"""
+
+
+@register(fs.sql(fs.POINTS, fs.CLASSES, fs.META, f"""
+SELECT campaignid, code_sample AS sample, CASE WHEN campaignid <> 'survey-3' THEN code END AS caab_code, {fs.LABELS},
+  CAST(count(*) AS BIGINT) AS count
+FROM (SELECT *, {_ARCHIVE_CODE} AS code, {_ARCHIVE_SAMPLE} AS code_sample FROM points
+  WHERE campaignid IN ('survey-1', 'survey-2', 'survey-3', 'survey-4')) p
+LEFT JOIN classes c ON p.code IS NOT DISTINCT FROM c.caab_code
+WHERE level_2 IS NOT NULL AND level_2 NOT IN ('', 'Unscorable') AND (campaignid <> 'survey-4' OR EXISTS (
+  SELECT 1 FROM meta m WHERE m.campaignid = p.campaignid AND CAST(m.sample AS VARCHAR) = code_sample
+  AND m.latitude_dd < CAST(-27.71 AS DOUBLE)))
+GROUP BY ALL"""))
+def archive_benthos(spark, d):
+    meta = fr.metadata(spark, d).withColumn("sample", F.col("sample").cast("string"))
+    return campaigns.benthos(_SPECS, fr.text_points(spark, d), campaigns.Tables(fr.classes(spark, d), meta))
+
+
+@register(fs.sql(fs.POINTS, f"""
+SELECT campaignid, filename, {_ARCHIVE_SAMPLE} AS sample FROM points
+WHERE campaignid IN ('survey-1', 'survey-2', 'survey-3', 'survey-4')"""))
+def sample_rules(spark, d):
+    return campaigns.prepare(_SPECS, fr.text_points(spark, d)).select("campaignid", "filename", "sample")
+
+
 # --- labels --------------------------------------------------------------------------------
 
 _HARMONISED = """fixed_labels AS (
@@ -787,6 +855,15 @@ def annotation_scan(spark, d):
     )
 
 
+@register(SQL["wide_to_long"])
+def matrix_scan(spark, d):
+    root = scratch_dir(spark)
+    fr.matrix(spark, d).write.csv(root, sep="\t", header=True)
+    raw = scan_ragged(spark, root, skip=0, glob="*.csv")
+    long = counts.wide_to_long(raw, "biota_", ["campaignid", "opcode"], "category")
+    return long.withColumn("opcode", nulls.try_number("opcode"))
+
+
 @register(fs.sql(fs.META, """
 SELECT 'project=Project ' || location AS project, 'campaignid=' || campaignid AS campaignid,
   CAST(sample AS VARCHAR) AS sample, 'north, ' || location AS location, successful_count, successful_length,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,14 @@ from pyspark.sql import types as T
 from ..operators.columns import rename
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="dotreef-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the shared one the session names; local only where it names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="dotreef-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -37,7 +37,7 @@ def test_plans_stay_in_the_jvm_and_never_pair_everything(spark):
         assert set(found) <= allowed, (name, found)
 
 
-FILES = {"annotation_scan", "synthesise_metadata", "canonical_metadata", "upload_roundtrip", "metadata_sink",
+FILES = {"annotation_scan", "matrix_scan", "synthesise_metadata", "canonical_metadata", "upload_roundtrip", "metadata_sink",
          "unmatched_classes_sink", "crosswalk_snapshot", "classification_snapshot"}
 
 
