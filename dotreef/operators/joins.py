@@ -91,6 +91,23 @@ def lookup(
     return l.join(r, _condition(salt), how).selectExpr(*map(_q, mine), *[_q(b) for _, b in brought])
 
 
+def counted_lookup(points: DataFrame, right: DataFrame, on: Key | Sequence[Key], name: str) -> DataFrame:
+    """Rows per key, then the columns of ``right`` for it.
+
+    The rows are counted by the key struct itself, so a sort-merge join finds the counts already
+    partitioned the way it needs them.
+    """
+    pairs = _pairs(on)
+    types = _key_types(points, right, pairs)
+    lkeys, rkeys = [p[0] for p in pairs], [p[1] for p in pairs]
+    n = F.count(F.lit(1)).alias(name)
+    l = points.selectExpr(f"{_key_sql(lkeys, types)} AS __lk").groupBy("__lk").agg(n)
+    rest = [c for c in right.columns if c not in rkeys]
+    r = right.selectExpr(f"{_key_sql(rkeys, types)} AS __rk", *map(_q, rest))
+    keys = [f"__lk.k{i} AS {_q(k)}" for i, k in enumerate(lkeys)]
+    return l.join(r, _condition(1), "left").selectExpr(*keys, _q(name), *map(_q, rest))
+
+
 def _filtering(left: DataFrame, right: DataFrame, on, how: str, salt: int) -> DataFrame:
     pairs = _pairs(on)
     types = _key_types(left, right, pairs)

@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import try_number
 from ..schemas import CODE
-from .counts import tally
-from .joins import SALT, anti_on, lookup, natural_join, value_setdiff
+from .joins import SALT, anti_on, counted_lookup, lookup, natural_join, value_setdiff
 
 
 def points_per_sample(points: DataFrame, metadata: DataFrame, on: Sequence[str] = ("sample",)) -> DataFrame:
     """Dots per sample next to its metadata; counted before joining."""
-    return lookup(tally(points, list(on), name="points_annotated"), metadata, list(on))
+    return counted_lookup(points, metadata, list(on), "points_annotated")
 
 
 def expected_points(per_image: int, forward: str, backward: str) -> Column:

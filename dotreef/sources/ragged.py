@@ -19,7 +19,7 @@ from ..operators.columns import clean_header
 from ..operators.joins import SALT, lookup
 
 PATH = "__path"
-WHOLE_FILE_BYTES = 32 * 1024 * 1024
+WHOLE_FILE_BYTES = 16 * 1024 * 1024
 _BREAK = "\r\n|\n|\r"
 
 

@@ -43,7 +43,7 @@ def write_upload(
     out = out.withColumns({"upload_campaign": F.col("campaignid"), "upload_kind": F.lit(kind)})
     out = out.hint("rebalance", "upload_campaign")
     if order:
-        out = out.sortWithinPartitions("upload_campaign", *[F.col(c).asc_nulls_last() for c in order])
+        out = out.sortWithinPartitions("upload_campaign", "upload_kind", *[F.col(c).asc_nulls_last() for c in order])
     writer = out.write.mode(mode).partitionBy("upload_campaign", "upload_kind")
     writer.csv(path, header=True, nullValue="NA", quoteAll=quote_all)
 

@@ -89,5 +89,7 @@ def test_distinct_keys_hand_their_partitioning_to_the_join(spark, strategy):
     if strategy == "broadcast":
         pytest.skip("only a sort-merge join needs a partitioning")
     left = spark.range(100).select(F.col("id").alias("k"))
+    counted = j.counted_lookup(left, spark.range(50).select(F.col("id").alias("k")), "k", "n")
+    assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
     plan = j.anti_on(left, spark.range(50).select(F.col("id").alias("k")), "k")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
