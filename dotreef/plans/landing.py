@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import union_by_name
+from ..operators.joins import SALT, lookup
 from . import frames as fr
 
-FILES_PER_FOLDER = 4
+ROWS_PER_FILE = 500_000
 PREAMBLE = ["Measurements", "", "Created by a test", "Units: dots"]
 
 
@@ -30,11 +31,12 @@ def write_raw(
 ) -> None:
     """Text files below ``folders``, each starting with the preamble and the header.
 
-    A folder is spread over several files by the rows' content, so a big campaign is not one
-    task's work.
+    A folder gets as many files as its rows need, spread by the rows' content, so that a big
+    campaign is not one task's work.
     """
-    row = df.select(
-        *folders, F.pmod(F.xxhash64(*header), F.lit(FILES_PER_FOLDER)).alias("file"),
+    sizes = df.groupBy(*folders).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("__files"))
+    row = lookup(df, sizes, list(folders), "inner", salt=SALT).select(
+        *folders, F.pmod(F.xxhash64(*header), F.col("__files")).alias("file"),
         F.lit(len(preamble) + 1).alias("__n"), _line(list(header), sep).alias("value"),
     )
     first = F.array(*[F.lit(x) for x in [*preamble, sep.join(header.values())]])
