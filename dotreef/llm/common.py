@@ -50,6 +50,18 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+#: Stands for a NULL doc_id inside pandas, which would turn a column of long numbers with gaps into doubles.
+NO_ID = -(1 << 63)
+
+
+def with_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+
+
+def without_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+
+
 def located(docs: DataFrame) -> DataFrame:
     """Every column of ``docs`` with ``loc``, the place of the row: hash of its file and row number there.
 

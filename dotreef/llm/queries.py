@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licences, pii
+from . import bpe, exact_dedup, licences, packing, pii, sharding, toxicity
 from .common import documents
 
 
@@ -15,10 +15,25 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.tiktoken"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir)).drop("spans")
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.assign(documents(spark, sf_dir)).drop("loc")
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.assign(documents(spark, sf_dir), shards=40)
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return out.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -30,5 +45,22 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(documents(spark, sf_dir))
 
 
-QUERIES = {"op2_licences": op2_licences, "op7_bpe": op7_bpe, "op9_pii": op9_pii}
-SQL: dict[str, str] = {}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_licences": op2_licences,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op5_sharding": op5_sharding,
+    "op7_bpe": op7_bpe,
+    "op9_pii": op9_pii,
+    "op10_toxicity": op10_toxicity,
+}
+SQL: dict[str, str] = {
+    "op4_exact_dedup": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW w AS (PARTITION BY t)""",
+}
