@@ -62,20 +62,22 @@ def without_id(df: DataFrame) -> DataFrame:
     return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
+#: Name of the column that ``located`` adds.
+PLACE = "_place_of_row"
+
+
 def located(docs: DataFrame) -> DataFrame:
-    """Every column of ``docs`` with ``loc``, the place of the row: hash of its file and row number there.
+    """Every column of ``docs`` with ``PLACE``, the place of the row: hash of its file and row number there.
 
     Rows that come from no file (or through an operator that hides it) are first stored once in the shared folder.
     """
     place = F.struct(
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").cast("long").alias("row")
-    ).alias("loc")
-    kept = [c for c in docs.columns if c != "loc"]
+    ).alias(PLACE)
     try:
-        return docs.select(*[F.col(f"`{c}`") for c in kept], place)
+        return docs.select("*", place)
     except AnalysisException:
-        copy = stored(docs.select(*[F.col(f"`{c}`") for c in kept]), "rows")
-        return copy.select(*[F.col(f"`{c}`") for c in kept], place)
+        return stored(docs, "rows").select("*", place)
 
 
 def per_document(df: DataFrame, fn: Callable[[list[str]], dict[str, Sequence]], schema: str, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

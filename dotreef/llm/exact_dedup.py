@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.sinks import scratch_dir
-from .common import located, stored, tune
+from .common import PLACE, located, stored, tune
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FILES_PER_BATCH = 64
@@ -53,8 +53,12 @@ def seen(landing: DataFrame) -> DataFrame:
 
 def assign(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256, loc`` for every row of ``docs``."""
-    tune(docs.sparkSession)
-    rows = located(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "loc", _text().alias("text"))
+    return _assign(located(docs), digest)
+
+
+def _assign(placed: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    tune(placed.sparkSession)
+    rows = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(PLACE).alias("loc"), _text().alias("text"))
     landing = stored(rows.select("doc_id", "loc", digest(F.col("text")).alias("digest"), sha256(F.col("text")).alias("sha")), "landing")
     state = stored(seen(landing), "state")
     out = landing.join(state, "digest").select(
@@ -77,7 +81,6 @@ def assign(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> Data
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stay: one of each group of equal texts."""
-    names = docs.columns
     rows = located(docs)
-    kept = assign(docs).where("kept").select("loc")
-    return rows.join(kept, "loc", "left_semi").select(*[F.col(f"`{c}`") for c in names])
+    kept = _assign(rows, sha256).where("kept").select(F.col("loc").alias(PLACE))
+    return rows.join(kept, PLACE, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

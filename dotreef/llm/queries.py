@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, licences, packing, pii, sharding, toxicity
+from . import bpe, exact_dedup, licences, near_dedup, packing, pii, sharding, toxicity, vector_links
 from .common import documents
 
 
@@ -34,6 +34,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.link(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,6 +45,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, bpe.digests, schema)
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.group(documents(spark, sf_dir)).drop("loc")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(documents(spark, sf_dir))
 
@@ -54,7 +62,9 @@ QUERIES = {
     "op2_licences": op2_licences,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
+    "op6_vector_links": op6_vector_links,
     "op7_bpe": op7_bpe,
+    "op8_near_dedup": op8_near_dedup,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
