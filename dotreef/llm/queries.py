@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, licences, near_dedup, packing, pii, sharding, toxicity, vector_links
+from . import bpe, exact_dedup, licences, near_dedup, packing, pii, repeats, sharding, toxicity, vector_links
 from .common import documents
 
 
@@ -24,6 +24,11 @@ def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir)).drop("spans")
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.digests(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(documents(spark, sf_dir)).drop("loc")
 
@@ -60,6 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_licences": op2_licences,
+    "op3_repeats": op3_repeats,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op6_vector_links": op6_vector_links,
