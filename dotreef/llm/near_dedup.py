@@ -69,7 +69,7 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 def signatures(bags: Sequence[tuple[np.ndarray, np.ndarray]], registers: int) -> np.ndarray:
     """Register times of each bag, infinite for an empty one."""
     times = np.full((len(bags), registers), np.inf)
-    if not bags:
+    if not any(len(b[0]) for b in bags):
         return times
     doc = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
     shingle, weight = np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags])

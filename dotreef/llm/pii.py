@@ -102,6 +102,7 @@ _DISGUISED = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]{{1,64}}(?:(?:\.|{_DOT})[A-Za-z0-9_%+-]{{1,64}}){{0,4}}(?:@|{_AT})"
     rf"[A-Za-z0-9-]{{1,63}}(?:(?:\.|{_DOT})[A-Za-z0-9-]{{1,63}}){{0,5}}(?:\.|{_DOT})[A-Za-z]{{2,24}}(?![A-Za-z0-9])"
 )
+_DISGUISED_IP = re.compile(rf"(?i)(?<![0-9.])[0-9]{{1,3}}(?:(?:\.|{_DOT})[0-9]{{1,3}}){{3}}(?![0-9])")
 _HINT = re.compile(r"(?i)[\[({<] ?(?:at|@|dot|\.) ?[\])}>]| dot | @ ")
 _HINT_SPELLED = re.compile(rf"(?i)(?<![a-z])(?:{_WORD})[ \-.]{{1,3}}(?:{_WORD}|[0-9]+)(?![a-z])")
 
@@ -150,7 +151,14 @@ def disguised_signs(m: Mapped) -> Mapped:
         if spaced and not any(p[2] for p in parts):
             continue
         edits += [(p.start(), p.end(), "@" if p[1] else ".") for p in parts]
-    return m.rewrite(edits)
+    for whole in _DISGUISED_IP.finditer(m.text):
+        edits += [(p.start(), p.end(), ".") for p in _BETWEEN.finditer(m.text, whole.start(), whole.end())]
+    # Two readings of one place: the first stays.
+    kept: list[tuple[int, int, str]] = []
+    for e in sorted(set(edits)):
+        if not kept or e[0] >= kept[-1][1]:
+            kept.append(e)
+    return m.rewrite(kept)
 
 
 def spelled_digits(m: Mapped) -> Mapped:
