@@ -14,7 +14,7 @@ from ..functions.text import separate
 from ..plans import fixed
 from ..schemas import CODE, LABELS, LEVELS, TAXONOMY
 from .columns import ensure_cols
-from .counts import UNSCORABLE, first_by, from_literal, label_counts, tally, wide_to_long
+from .counts import MULT, UNSCORABLE, first_by, from_literal, label_counts, multiplicity, scorable, tally, wide_to_long
 from .joins import lookup, semi_on
 
 
@@ -232,10 +232,17 @@ def counts_with_relabel(
 ) -> DataFrame:
     """Classes to codes to labels, count per label set, codes back through the labels.
 
+    The dots are folded once; both small tables are looked up for the fold, then it is summed once. A class that the crosswalk
+    lacks meets the class without a code.
+
     Labels shared by several codes give one row per code (``relabel`` may fan out).
     """
-    coded = label_counts(points, crosswalk.distinct(), keys, by, labels=(), drop=None, name="__w")
-    counted = counts_by_code(coded, schema, by, with_code=with_code, name=name, weight="__w")
+    wide = tally(points, [*by, *keys], name="__n")
+    for dim, on in ((crosswalk.distinct().select(*keys, CODE), list(keys)), (schema, [CODE])):
+        wide = lookup(wide, multiplicity(dim), on)
+        wide = wide.withColumn("__n", F.col("__n") * F.coalesce(F.col(MULT), F.lit(1))).drop(MULT)
+    labels = [c for c in LABELS if c in wide.columns]
+    counted = tally(scorable(wide), [*by, *labels, *[CODE] * with_code], "__n", name)
     return relabel(counted.drop(CODE), schema)
 
 
@@ -250,15 +257,23 @@ def scientific_counts(points: DataFrame, schema: DataFrame, by: Sequence[str], n
     return label_counts(split, schema, [*LEVELS[1:5], "genus", "species"], by, name=name)
 
 
+def _as_campaign(matrix: DataFrame, campaignid: str | None) -> DataFrame:
+    return matrix if campaignid is None else matrix.withColumn("campaignid", F.lit(campaignid))
+
+
 def wide_to_counts(
     matrix: DataFrame,
     schema: DataFrame,
     metadata: DataFrame,
     by: Sequence[str] = ("campaignid", "opcode"),
     name: str = "count",
+    campaignid: str | None = None,
 ) -> DataFrame:
-    """Benthos of a count matrix: cells above zero, labels by column name, sums per class."""
-    cells = wide_to_long(matrix, "biota_", by, "category", name).filter(F.col(name) > 0)
+    """Benthos of a count matrix: cells above zero, labels by column name, sums per class.
+
+    ``campaignid`` replaces the matrix's own before anything is summed or looked up in metadata.
+    """
+    cells = wide_to_long(_as_campaign(matrix, campaignid), "biota_", by, "category", name).filter(F.col(name) > 0)
     labelled = cells.withColumns(
         {
             "level_2": from_literal("category", fixed.BIOTA_LEVEL_2),
@@ -278,9 +293,10 @@ def wide_relief(
     metadata: DataFrame,
     by: Sequence[str] = ("campaignid", "opcode"),
     name: str = "count",
+    campaignid: str | None = None,
 ) -> DataFrame:
     """Relief of a count matrix: one row per filled cell, labels through the code."""
-    cells = wide_to_long(matrix, "relief_", by, "category", name).filter(F.col(name) > 0)
+    cells = wide_to_long(_as_campaign(matrix, campaignid), "relief_", by, "category", name).filter(F.col(name) > 0)
     coded = cells.withColumn("__c", F.regexp_replace("category", "_+$", "")).withColumn(
         CODE, from_literal("__c", fixed.RELIEF_CODE, "bigint")
     )

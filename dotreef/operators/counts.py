@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import not_in_set
 from ..schemas import CODE, LABELS
-from .joins import SALT, lookup, semi_on, tagged_keys
+from .joins import lookup, semi_on, tagged_keys
 
 UNSCORABLE = ("", "Unscorable", None)
 
@@ -66,18 +66,17 @@ def label_counts(
     where: Column | None = None,
     name: str = "count",
     weight: str | None = None,
-    salt: int = 1,
 ) -> DataFrame:
     """Count points per ``by`` and class, class labels taken from ``dim`` through ``on``.
 
     ``points`` are folded on ``by + on`` first: that is the one exchange that sees raw rows, on a
     few narrow columns, and a hot sample or class arrives as one row per task. The lookup
     then joins counts, not points; repeated lookup rows multiply the count, as a
-    row-by-row join would. ``salt`` is for a lookup table too big to broadcast. When the key ``on`` is among the output columns, distinct
+    row-by-row join would. When the key ``on`` is among the output columns, distinct
     lookup rows give distinct output rows and no second aggregation is needed.
     """
     folded = tally(points, [*by, *on], weight, "__n")
-    wide = lookup(folded, multiplicity(dim), list(on), salt=salt)
+    wide = lookup(folded, multiplicity(dim), list(on))
     wide = wide.withColumn("__n", F.col("__n") * F.coalesce(F.col(MULT), F.lit(1))).drop(MULT)
     present = [c for c in labels if c in wide.columns]
     wide = scorable(wide, drop_on, drop) if drop is not None else wide
@@ -98,17 +97,17 @@ def resolve_counts(
     keys: Sequence[str],
     keep: Column | None = None,
     name: str = "count",
-    salt: int = SALT,
 ) -> DataFrame:
     """Count points whose class needs work: ``resolve`` runs once per distinct class.
 
     ``resolve`` may change or multiply classes, ``keep`` then says which of them count. The
-    points are only folded and joined to the result; a vocabulary is small however many dots
-    use it, and the salt spreads a class that most dots share.
+    points are folded once, and both the distinct classes and the counts come from that fold. A
+    vocabulary is small however many dots use it.
     """
     folded = tally(points, [*by, *classes], name="__n")
     raw = [f"__raw_{c}" for c in classes]
-    seen = points.select(*classes).distinct()
+    # Summed and tested so that the fold is the same plan on both sides: one exchange serves both.
+    seen = folded.groupBy(*classes).agg(F.sum("__n").alias("__seen")).filter("__seen > 0").drop("__seen")
     shadowed = [f"`{c}` AS `{r}`" for c, r in zip(classes, raw)]
     done = resolve(seen.selectExpr(*shadowed, *classes))
     present = [k for k in keys if k in done.columns]
@@ -116,7 +115,7 @@ def resolve_counts(
     # and work out every label for every point after all.
     kept = F.count(F.lit(1)) if keep is None else F.count(F.when(keep, 1))
     done = done.groupBy(*raw, *present).agg(kept.alias(MULT)).filter(F.col(MULT) > 0)
-    found = lookup(folded.selectExpr(*by, *shadowed, "__n"), done, raw, "inner", salt=salt)
+    found = lookup(folded.selectExpr(*by, *shadowed, "__n"), done, raw, "inner")
     return found.groupBy(*by, *present).agg(F.expr(f"sum(__n * {MULT})").alias(name))
 
 

@@ -6,7 +6,9 @@ NULL fields as equal, stays an ordinary hash or sort-merge equi-join, and - unli
 
 Nothing here is hinted ``broadcast``: Spark compares each side with
 ``spark.sql.autoBroadcastJoinThreshold`` (and again with real sizes at run time) and
-sort-merges what is larger. ``salt`` splits hot keys of the left side for that case.
+sort-merges what is larger. A hot key of the left side is then cut by the skew join of adaptive
+execution, between the map tasks that wrote it, so wholly identical rows are spread as well.
+Neither side is repeated beforehand: what is materialised is what the planner estimated.
 """
 
 from __future__ import annotations
@@ -14,17 +16,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import union_by_name
 
 log = logging.getLogger(__name__)
 
-# Pieces one hot key of the annotation side is cut into. The other side is repeated as often,
-# and is only a list of distinct keys.
-SALT = 8
-
 Key = str | tuple[str, str]
 
 
@@ -42,27 +40,31 @@ def _key_sql(names: Sequence[str], types: Sequence[str]) -> str:
     return f"struct({', '.join(fields)})"
 
 
-def _row_salt(df: DataFrame, salt: int) -> str:
-    # From the row's content, so that a re-run task sends every row to the same place.
-    return f"CAST(pmod(xxhash64({', '.join(map(_q, df.columns))}), {salt}) AS INT) AS __ls"
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def _salts(salt: int) -> str:
-    return f"explode(sequence(0, {salt - 1})) AS __rs"
+def _common(a: str, b: str) -> str:
+    """The type in which two key types are compared."""
+    if a == b:
+        return a
+    number = lambda t: t in _WHOLE or t in ("float", "double") or t.startswith("decimal")
+    if a in _WHOLE and b in _WHOLE:
+        return "bigint"
+    if number(a) and number(b):
+        return "double"
+    if {a, b} <= {*_WHOLE, "string"}:
+        return "string"
+    if {a, b} <= {"date", "timestamp"}:
+        return "timestamp"
+    raise TypeError(f"join keys of types {a} and {b} have no common form")
 
 
 def _key_types(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> list[str]:
     lt, rt = dict(left.dtypes), dict(right.dtypes)
-    whole = {"smallint", "int", "bigint"}
-    out = []
-    for lk, rk in pairs:
-        a, b = lt[lk], rt[rk]
-        out.append(a if a == b else ("bigint" if {a, b} <= whole else "string"))
-    return out
+    return [_common(lt[lk], rt[rk]) for lk, rk in pairs]
 
 
-def _condition(salt: int) -> Column:
-    return F.expr("__lk = __rk" + (" AND __ls = __rs" if salt > 1 else ""))
+_SAME_KEY = "__lk = __rk"
 
 
 def lookup(
@@ -71,7 +73,6 @@ def lookup(
     on: Key | Sequence[Key],
     how: str = "left",
     suffix: str = "_right",
-    salt: int = 1,
 ) -> DataFrame:
     """Left (or inner) join that keeps the left key once and may fan out.
 
@@ -85,10 +86,10 @@ def lookup(
     mine = left.columns
     brought = [(c, c + suffix if c in mine else c) for c in right.columns if c not in rkeys]
     r = right.selectExpr(
-        f"{_key_sql(rkeys, types)} AS __rk", *[f"{_q(a)} AS {_q(b)}" for a, b in brought], *([_salts(salt)] if salt > 1 else [])
+        f"{_key_sql(rkeys, types)} AS __rk", *[f"{_q(a)} AS {_q(b)}" for a, b in brought]
     )
-    l = left.selectExpr("*", f"{_key_sql(lkeys, types)} AS __lk", *([_row_salt(left, salt)] if salt > 1 else []))
-    return l.join(r, _condition(salt), how).selectExpr(*map(_q, mine), *[_q(b) for _, b in brought])
+    l = left.selectExpr("*", f"{_key_sql(lkeys, types)} AS __lk")
+    return l.join(r, F.expr(_SAME_KEY), how).selectExpr(*map(_q, mine), *[_q(b) for _, b in brought])
 
 
 def counted_lookup(points: DataFrame, right: DataFrame, on: Key | Sequence[Key], name: str) -> DataFrame:
@@ -105,46 +106,44 @@ def counted_lookup(points: DataFrame, right: DataFrame, on: Key | Sequence[Key],
     rest = [c for c in right.columns if c not in rkeys]
     r = right.selectExpr(f"{_key_sql(rkeys, types)} AS __rk", *map(_q, rest))
     keys = [f"__lk.k{i} AS {_q(k)}" for i, k in enumerate(lkeys)]
-    return l.join(r, _condition(1), "left").selectExpr(*keys, _q(name), *map(_q, rest))
+    return l.join(r, F.expr(_SAME_KEY), "left").selectExpr(*keys, _q(name), *map(_q, rest))
 
 
-def _filtering(left: DataFrame, right: DataFrame, on, how: str, salt: int) -> DataFrame:
+def _filtering(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
     pairs = _pairs(on)
     types = _key_types(left, right, pairs)
     # Only the distinct keys of the right side travel; the partial aggregation before the
     # exchange folds a hot key to one row per task.
     keys = right.selectExpr(f"{_key_sql([p[1] for p in pairs], types)} AS __rk").distinct()
-    l = left.selectExpr("*", f"{_key_sql([p[0] for p in pairs], types)} AS __lk", *([_row_salt(left, salt)] if salt > 1 else []))
-    if salt > 1:
-        keys = keys.selectExpr("*", _salts(salt))
-    return l.join(keys, _condition(salt), how).selectExpr(*map(_q, left.columns))
+    l = left.selectExpr("*", f"{_key_sql([p[0] for p in pairs], types)} AS __lk")
+    return l.join(keys, F.expr(_SAME_KEY), how).selectExpr(*map(_q, left.columns))
 
 
-def semi_on(left: DataFrame, right: DataFrame, on: Key | Sequence[Key], salt: int = 1) -> DataFrame:
+def semi_on(left: DataFrame, right: DataFrame, on: Key | Sequence[Key]) -> DataFrame:
     """Rows of ``left`` with a partner; never multiplied."""
-    return _filtering(left, right, on, "left_semi", salt)
+    return _filtering(left, right, on, "left_semi")
 
 
-def anti_on(left: DataFrame, right: DataFrame, on: Key | Sequence[Key], salt: int = 1) -> DataFrame:
+def anti_on(left: DataFrame, right: DataFrame, on: Key | Sequence[Key]) -> DataFrame:
     """Rows of ``left`` without a partner; all of them, duplicates too."""
-    return _filtering(left, right, on, "left_anti", salt)
+    return _filtering(left, right, on, "left_anti")
 
 
 def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
     return [c for c in left.columns if c in right.columns]
 
 
-def natural_join(left: DataFrame, right: DataFrame, how: str = "left", salt: int = 1) -> DataFrame:
+def natural_join(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     """Join on every column the two sides share; the keys are logged because they are implicit."""
     keys = shared_columns(left, right)
     if not keys:
         raise ValueError("the two sides share no column")
     log.info("natural %s join on %s", how, keys)
     if how == "left_semi":
-        return semi_on(left, right, keys, salt)
+        return semi_on(left, right, keys)
     if how == "left_anti":
-        return anti_on(left, right, keys, salt)
-    return lookup(left, right, keys, how, salt=salt)
+        return anti_on(left, right, keys)
+    return lookup(left, right, keys, how)
 
 
 def full_on(left: DataFrame, right: DataFrame, on: Key | Sequence[Key]) -> DataFrame:
@@ -160,7 +159,7 @@ def full_on(left: DataFrame, right: DataFrame, on: Key | Sequence[Key]) -> DataF
     l = left.selectExpr(f"{_key_sql(lkeys, types)} AS __lk", *map(_q, lrest))
     r = right.selectExpr(f"{_key_sql(rkeys, types)} AS __rk", *map(_q, rrest))
     keys = [f"coalesce(__lk, __rk).k{i} AS {_q(n)}" for i, n in enumerate(lkeys)]
-    return l.join(r, F.expr("__lk = __rk"), "full").selectExpr(*keys, *map(_q, lrest), *map(_q, rrest))
+    return l.join(r, F.expr(_SAME_KEY), "full").selectExpr(*keys, *map(_q, lrest), *map(_q, rrest))
 
 
 def tagged_keys(frames: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:

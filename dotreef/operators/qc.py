@@ -9,30 +9,34 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import try_number
 from ..schemas import CODE
-from .joins import SALT, anti_on, counted_lookup, lookup, natural_join, value_setdiff
+from .joins import anti_on, counted_lookup, lookup, natural_join, value_setdiff
 
+#: A sample id is unique within its campaign only.
+BY = ("campaignid", "sample")
 
-def points_per_sample(points: DataFrame, metadata: DataFrame, on: Sequence[str] = ("sample",)) -> DataFrame:
+
+def points_per_sample(points: DataFrame, metadata: DataFrame, on: Sequence[str] = BY) -> DataFrame:
     """Dots per sample next to its metadata; counted before joining."""
     return counted_lookup(points, metadata, list(on), "points_annotated")
 
 
-def expected_points(per_image: int, forward: str, backward: str) -> Column:
+def expected_points(per_image: int | Column, forward: str, backward: str) -> Column:
     """Dots that should be there: one image's worth per successful direction, NULL if unknown."""
 
     def one(c: str) -> Column:
         return F.when(F.col(c) == "Yes", 1).when(F.col(c) == "No", 0)
 
-    return (F.lit(per_image) * (one(forward) + one(backward))).cast("bigint")
+    per_image = per_image if isinstance(per_image, Column) else F.lit(per_image)
+    return (per_image * (one(forward) + one(backward))).cast("bigint")
 
 
 def wrong_point_counts(
     points: DataFrame,
     metadata: DataFrame,
-    per_image: int,
+    per_image: int | Column,
     forward: str = "successful_habitat_forward",
     backward: str = "successful_habitat_backward",
-    on: Sequence[str] = ("sample",),
+    on: Sequence[str] = BY,
 ) -> DataFrame:
     """Samples whose dot count differs from the expected one; unknown expectations pass."""
     counted = points_per_sample(points, metadata, on)
@@ -42,25 +46,31 @@ def wrong_point_counts(
 
 
 def annotations_missing_metadata(
-    points: DataFrame, metadata: DataFrame, on: Sequence = ("sample",), salt: int = SALT
+    points: DataFrame, metadata: DataFrame, on: Sequence = BY
 ) -> DataFrame:
     """Every annotation row of a sample that metadata does not know."""
-    return anti_on(points, metadata, list(on), salt)
+    return anti_on(points, metadata, list(on))
+
+
+def was_successful() -> Column:
+    return (F.col("successful_count") == "Yes") | (F.col("successful_length") == "Yes")
 
 
 def successful(metadata: DataFrame) -> DataFrame:
-    return metadata.filter((F.col("successful_count") == "Yes") | (F.col("successful_length") == "Yes"))
+    return metadata.filter(was_successful())
 
 
 def metadata_missing_annotations(
-    metadata: DataFrame, points: DataFrame, on: Sequence = ("sample",), only_successful: bool = False
+    metadata: DataFrame, points: DataFrame, on: Sequence = BY, only_successful: bool = False
 ) -> DataFrame:
     """Deployments without annotations, optionally only those that should have some."""
     return anti_on(successful(metadata) if only_successful else metadata, points, list(on))
 
 
 def missing_codes(points: DataFrame, classes: Sequence[str], code: str = CODE) -> DataFrame:
-    return points.filter(F.col(code).isNull()).select(*classes).distinct()
+    """Distinct classes with a dot that has no code. Counted, not filtered first: a fold shared with other checks stays shared."""
+    missing = F.count(F.when(F.col(code).isNull(), 1)).alias("__missing")
+    return points.groupBy(*classes).agg(missing).filter("__missing > 0").drop("__missing")
 
 
 def unmatched_classes(
@@ -73,9 +83,9 @@ def unmatched_classes(
     return lookup(seen, found, keys).filter(F.col("__value").isNull()).select(*classes).distinct()
 
 
-def missing_in_schema(points: DataFrame, schema: DataFrame, salt: int = SALT) -> DataFrame:
+def missing_in_schema(points: DataFrame, schema: DataFrame) -> DataFrame:
     """Rows whose shared columns, taken together, are no row of the schema."""
-    return natural_join(points, schema, "left_anti", salt)
+    return natural_join(points, schema, "left_anti")
 
 
 def distinct_classes(points: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -120,10 +130,22 @@ def profile(df: DataFrame) -> DataFrame:
     return row.select(F.inline(F.array(*items)))
 
 
+#: Rows that a folded row stands for.
+FOLDED = "__n"
+
+
+def folded(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Dots folded on the columns that several checks look at. All of them then share one exchange and one scan.
+
+    The test of the count keeps it in every branch, so that the branches stay the same plan up to there.
+    """
+    return points.groupBy(*keys).agg(F.count(F.lit(1)).alias(FOLDED)).filter(F.col(FOLDED) > 0)
+
+
 def qc_report(checks: dict[str, DataFrame]) -> DataFrame:
     """Findings per check, zero included: the row-count guard as data instead of a warning."""
     parts = [
-        df.agg(F.count(F.lit(1)).alias("findings")).select(F.lit(name).alias("check"), "findings")
+        df.agg((F.coalesce(F.sum(FOLDED), F.lit(0)) if FOLDED in df.columns else F.count(F.lit(1))).alias("findings")).select(F.lit(name).alias("check"), "findings")
         for name, df in checks.items()
     ]
     out = parts[0]

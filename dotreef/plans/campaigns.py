@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import if_else_na, in_set, not_in_set, try_number
 from ..functions.samples import sample_expr
-from ..functions.text import detect
+from ..functions.text import detect, separate
 from ..operators import classify, counts, qc
 from ..operators.classify import Rule, repair_rules
 from ..operators.columns import ensure_cols, rename, union_by_name
@@ -111,6 +111,12 @@ class CampaignSpec:
     scope_latitude: float | None = None
     keep_filename: bool = False
     relief: ReliefSpec | None = ReliefSpec()
+    #: Benthos and relief stand in the same export, so the kind of a dot's export says nothing.
+    one_export: bool = False
+    #: (header, column it means): spellings of this campaign's benthos exports.
+    aliases: tuple = ()
+    class_columns: tuple = ("broad", "morphology", "type")
+    only_successful: bool = False
 
 
 def _rules(**options) -> tuple[Rule, ...]:
@@ -118,8 +124,10 @@ def _rules(**options) -> tuple[Rule, ...]:
 
 
 _OPCODE = SampleRule("opcode", AS_IS)
+# --- fixed values: headers of one campaign, and the crosswalk keys they hold -----------------
+L2_L3_HEADERS = (("level_2", "catami_l2_l3"), ("level_3", "catami_l4"), ("level_4", "catami_l5"))
 _OLD_CODE = fixed.OLD_INVERTEBRATE_CODE
-_LEGACY = {"vocabulary": "crosswalk", "count_name": "number", "output_key": "sample"}
+_LEGACY = {"vocabulary": "crosswalk", "count_name": "number", "output_key": "sample", "one_export": True}
 
 # --- fixed values: the known campaigns -------------------------------------------------------
 KNOWN_CAMPAIGNS: tuple[CampaignSpec, ...] = (
@@ -127,6 +135,7 @@ KNOWN_CAMPAIGNS: tuple[CampaignSpec, ...] = (
         "2013-05_Aidans_Hons_pilchards_stereoBRUVs", crosswalk="catami", sample=SampleRule(steps=PILCHARD_FILES),
         relief=ReliefSpec("crosswalk"), **_LEGACY,
     ),
+    CampaignSpec("2014-12_Geographe-bay_stereo-BRUVs", vocabulary="wide", sample=_OPCODE, relief=ReliefSpec("wide")),
     CampaignSpec(
         "2012-08_Flinders_CMR_BRUV", crosswalk="catami", sample=SampleRule(steps=STRIP_AVI),
         relief=ReliefSpec("crosswalk", drop_on="level_5"), **_LEGACY,
@@ -141,7 +150,7 @@ KNOWN_CAMPAIGNS: tuple[CampaignSpec, ...] = (
     ),
     CampaignSpec(
         "2019-08-Ningaloo-deep_stereo-BRUVS", rules=_rules(invertebrate=_OLD_CODE, spelled_out=False), with_code=False,
-        output_key="sample", relief=ReliefSpec(position=1, drop=None, with_code=False),
+        output_key="sample", relief=ReliefSpec(position=1, drop=None, with_code=False), one_export=True,
     ),
     CampaignSpec(
         "2020-06_south-west_stereo-BRUVs", rules=_rules(),
@@ -151,6 +160,7 @@ KNOWN_CAMPAIGNS: tuple[CampaignSpec, ...] = (
         "2020-10_south-west_stereo-BRUVs", code_from="qualifiers", sample=SampleRule(steps=STRIP_IMAGE_TRIM),
         rules=_rules(group="level_2", kind="level_4", spelled_out=False, epiphytes=False),
         exclude_files=(fixed.BAD_IMAGE,), strip_files=("take 2",), points_per_image=fixed.POINTS_DENSE, depth=5,
+        class_columns=tuple(LEVELS[1:4]), only_successful=True,
         relief=ReliefSpec(text="scientific"),
     ),
     CampaignSpec(
@@ -161,7 +171,7 @@ KNOWN_CAMPAIGNS: tuple[CampaignSpec, ...] = (
     CampaignSpec(
         "2021-05_Abrolhos_BOSS", vocabulary="labels", code_from="qualifiers", output_key="period",
         sample=SampleRule(steps=(*STRIP_JPG, *TRIM)), drop=("", "Unknown", "Open Water", None),
-        points_per_image=fixed.POINTS_DROP_CAMERA,
+        points_per_image=fixed.POINTS_DROP_CAMERA, class_columns=tuple(LEVELS[1:4]),
         relief=ReliefSpec(text="scientific", sample=SampleRule()),
     ),
     CampaignSpec("2021-05_Abrolhos_stereo-BRUVs", rules=_rules(matrix=True), scope_latitude=-27.71),
@@ -181,7 +191,7 @@ KNOWN_CAMPAIGNS: tuple[CampaignSpec, ...] = (
     ),
     CampaignSpec(
         "2022-11_Investigator_stereo-BRUVs", vocabulary="relabel", crosswalk="l2_l3", sample=_OPCODE, with_code=False,
-        relief=ReliefSpec("levels", with_code=False, relabel=True),
+        aliases=L2_L3_HEADERS, relief=ReliefSpec("levels", with_code=False, relabel=True),
     ),
     CampaignSpec(
         "2022-11_Salisbury_stereo-BRUVs", vocabulary="relabel", crosswalk="l2_l3", sample=_OPCODE,
@@ -195,7 +205,7 @@ KNOWN_CAMPAIGNS: tuple[CampaignSpec, ...] = (
     CampaignSpec(
         "2023-03_SwC_stereo-BRUVs", code_from="caab_code", rules=tuple(classify.old_code_only()),
         sample=SampleRule("opcode", TRIM), exclude_files=(fixed.BAD_IMAGE,), strip_files=("take 2",),
-        relief=ReliefSpec("native", code_from="caab_code", exclude_files=False),
+        class_columns=tuple(LEVELS[1:4]), relief=ReliefSpec("native", code_from="caab_code", exclude_files=False),
     ),
     CampaignSpec(
         "2024-04_Geographe_stereo-BRUVs", vocabulary="scientific", sample=_OPCODE,
@@ -208,7 +218,7 @@ KNOWN_CAMPAIGNS: tuple[CampaignSpec, ...] = (
 )
 
 RAW_COLUMNS = [
-    "campaignid", "direction", "filename", "opcode", "period", "code", "qualifiers", "x_6", "caab_code", "broad",
+    "campaignid", "direction", "kind", "filename", "opcode", "period", "code", "qualifiers", "x_6", "caab_code", "broad",
     "morphology", "type", "relief", "scientific", *LEVELS[1:5], "catami_l1", "catami_l2", "catami_l3", "catami_l4",
     "catami_l5", "catami_l2_l3",
 ]
@@ -247,8 +257,23 @@ def _file_name(spec: CampaignSpec) -> Column:
     return F.when(_behind(), F.col("filename")).otherwise(stripped)
 
 
-def _rows(specs: Sequence[CampaignSpec], points: DataFrame, kept: Callable[[CampaignSpec], Column]) -> DataFrame:
+def _of_kind(spec: CampaignSpec, kind: str) -> Column:
+    # Dots that say nothing about their export count for both outputs.
+    return F.lit(True) if spec.one_export else F.coalesce(F.col("kind") == kind, F.lit(True))
+
+
+def _meant(spec: CampaignSpec, column: str) -> Column:
+    header = next((h for h, c in spec.aliases if c == column), None)
+    return F.col(column) if header is None else F.coalesce(F.col(column), F.col(header))
+
+
+def _rows(specs: Sequence[CampaignSpec], points: DataFrame, kept: Callable[[CampaignSpec], Column], kind: str) -> DataFrame:
     out = ensure_cols(points, RAW_COLUMNS).filter(in_set("campaignid", [s.campaignid for s in specs]))
+    if "kind" in points.columns:
+        out = out.filter(per_campaign(specs, lambda s: _of_kind(s, kind)))
+    if kind == "benthos":
+        meant = dict.fromkeys(c for s in specs for _, c in s.aliases)
+        out = out.withColumns({c: per_campaign(specs, lambda s, c=c: _meant(s, c)) for c in meant}) if meant else out
     if any(s.exclude_files or s.exclude_class for s in specs):
         out = out.filter(per_campaign(specs, kept))
     if any(s.strip_files for s in specs):
@@ -258,7 +283,7 @@ def _rows(specs: Sequence[CampaignSpec], points: DataFrame, kept: Callable[[Camp
 
 def prepare(specs: Sequence[CampaignSpec], points: DataFrame) -> DataFrame:
     """Dots with sample id and repaired numeric code. Worth persisting when checks run too."""
-    out = _rows(specs, points, lambda s: _kept_files(s) & _kept_classes(s))
+    out = _rows(specs, points, lambda s: _kept_files(s) & _kept_classes(s), "benthos")
     out = out.withColumn("sample", per_campaign(specs, lambda s: s.sample.expr()))
     out = out.withColumn(CODE, try_number(per_campaign(specs, lambda s: F.col(s.code_from))))
     if any(s.rules for s in specs):
@@ -268,11 +293,12 @@ def prepare(specs: Sequence[CampaignSpec], points: DataFrame) -> DataFrame:
 
 @dataclass
 class Tables:
-    """Everything the plans look things up in."""
+    """Everything the plans look things up in. ``matrices`` has the count matrices of campaigns that deliver no dots."""
 
     schema: DataFrame
     metadata: DataFrame | None = None
     crosswalks: Mapping[str, DataFrame] = field(default_factory=dict)
+    matrices: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def _by_code(specs, prepared, t: Tables) -> DataFrame:
@@ -324,6 +350,14 @@ def _by_scientific(specs, prepared, t: Tables) -> DataFrame:
     return classify.scientific_counts(prepared, t.schema, BY)
 
 
+def _wide(specs: Sequence[CampaignSpec], t: Tables, plan: Callable[..., DataFrame]) -> list[DataFrame]:
+    """One table per campaign that delivers a count matrix; its rows get the campaign's own id."""
+    there = [s for s in specs if s.campaignid in t.matrices]
+    if there and t.metadata is None:
+        raise ValueError("count matrices need metadata: only samples in it count")
+    return [plan(t.matrices[s.campaignid], t.schema, t.metadata, list(BY), campaignid=s.campaignid) for s in there]
+
+
 VOCABULARIES = {
     "code": _by_code,
     "crosswalk": _by_crosswalk,
@@ -365,16 +399,16 @@ def _scoped(specs: Sequence[CampaignSpec], out: DataFrame, metadata: DataFrame |
 def benthos(specs: Sequence[CampaignSpec], points: DataFrame, t: Tables) -> DataFrame:
     """Benthos of all ``specs``: one plan per vocabulary, one canonical table."""
     family = lambda s: (s.vocabulary, s.with_code, s.drop, s.drop_level_1, s.biota_code, s.crosswalk, s.depth)
-    parts = [
-        VOCABULARIES[group[0].vocabulary](group, prepare(group, points), t) for group in _families(specs, family)
-    ]
+    dotted = [s for s in specs if s.vocabulary != "wide"]
+    parts = [VOCABULARIES[group[0].vocabulary](group, prepare(group, points), t) for group in _families(dotted, family)]
+    parts += _wide([s for s in specs if s.vocabulary == "wide"], t, classify.wide_to_counts)
     out = union_by_name(*[conform(p, COUNTS, keep_extra=True) for p in parts])
     return _scoped(specs, out, t.metadata)
 
 
 def prepare_relief(specs: Sequence[CampaignSpec], points: DataFrame) -> DataFrame:
     """Relief dots with sample id and, for scored sentences, the score in ``level_5``."""
-    out = _rows(specs, points, lambda s: _kept_files(s) if s.relief.exclude_files else F.lit(True))
+    out = _rows(specs, points, lambda s: _kept_files(s) if s.relief.exclude_files else F.lit(True), "relief")
     out = out.withColumn("sample", per_campaign(specs, lambda s: (s.relief.sample or s.sample).expr()))
     r = specs[0].relief
     if r.mode == "digit":
@@ -412,27 +446,86 @@ def _relief_counts(specs: Sequence[CampaignSpec], prepared: DataFrame, t: Tables
 def relief(specs: Sequence[CampaignSpec], points: DataFrame, t: Tables) -> DataFrame:
     """Relief of all ``specs`` that have any: one plan per way of reading it."""
     with_relief = [s for s in specs if s.relief is not None]
-    parts = [_relief_counts(g, prepare_relief(g, points), t) for g in _families(with_relief, _relief_family)]
+    dotted = [s for s in with_relief if s.relief.mode != "wide"]
+    parts = [_relief_counts(g, prepare_relief(g, points), t) for g in _families(dotted, _relief_family)]
+    parts += _wide([s for s in with_relief if s.relief.mode == "wide"], t, classify.wide_relief)
     out = union_by_name(*[conform(p, COUNTS, keep_extra=True) for p in parts])
     return _scoped(specs, out, t.metadata)
 
 
+def _split_scientific(df: DataFrame) -> DataFrame:
+    return separate(df, "scientific", ["genus", "species"])
+
+
+def _classes(specs: Sequence[CampaignSpec], prepared: DataFrame, t: Tables) -> DataFrame:
+    """Distinct classes of one family as its exports spell them, with the code and level 1 that they lead to.
+
+    Codes that an export carries are repaired dot by dot and belong to the class; all others come from resolving it once.
+    """
+    first = specs[0]
+    if first.vocabulary in ("crosswalk", "relabel"):
+        keys = CROSSWALK_KEYS[first.crosswalk]
+        walk = t.crosswalks[first.crosswalk].select(*keys, CODE).distinct()
+        coded = lookup(prepared.select("campaignid", *keys).distinct(), walk, keys)
+        return lookup(coded, t.schema.select(CODE, "level_1"), [CODE])
+    if first.vocabulary == "scientific":
+        keys = [*LEVELS[1:5], "genus", "species"]
+        seen = _split_scientific(prepared.select("campaignid", *LEVELS[1:5], "scientific").distinct())
+        return lookup(seen, t.schema.select(*keys, CODE, "level_1"), keys)
+    if first.vocabulary == "path":
+        seen = prepared.select("campaignid", *LEVELS[1:5]).distinct()
+        named = lookup(classify.realign_hierarchy(seen), classify.schema_by_path(t.schema), LEVELS[:5])
+        named = classify.taxonomy_fill(classify.taxonomy_from_levels(named), t.schema)
+        return named.select("campaignid", *LEVELS[:5], CODE)
+    keys = list(dict.fromkeys(c for s in specs for c in s.class_columns))
+    if first.vocabulary == "labels":
+        raw = [f"raw_{c}" for c in keys]
+        seen = prepared.select("campaignid", *LEVELS[1:5], CODE, *[F.col(c).alias(r) for c, r in zip(keys, raw)]).distinct()
+        named = classify.overlay_labels(classify.flat_code_fill(classify.harmonise_labels(seen), t.schema), labels_by_code(prepared.sparkSession))
+        return named.select("campaignid", *[F.col(r).alias(c) for c, r in zip(keys, raw)], CODE, F.col("level_1"))
+    seen = prepared.select("campaignid", *keys, CODE).distinct()
+    return lookup(seen, t.schema.select(CODE, F.col("level_1")), [CODE])
+
+
 def checks(
-    specs: Sequence[CampaignSpec], prepared: DataFrame, counted: DataFrame, t: Tables, only_successful: bool = False
+    specs: Sequence[CampaignSpec], points: DataFrame, t: Tables, only_successful: bool | None = None
 ) -> dict[str, DataFrame]:
-    """The findings that belong to one family of campaigns; ``prepared`` may be persisted."""
-    meta = t.metadata.filter(in_set("campaignid", [s.campaignid for s in specs])).filter(in_scope(specs))
-    per_image = {s.points_per_image for s in specs}
+    """Every check of ``specs``, whatever their vocabularies: always the same keys.
+
+    ``only_successful`` overrides each campaign's own rule on which deployments should have annotations.
+    """
+    specs = [s for s in specs if s.vocabulary != "wide"]
+    with_relief = [s for s in specs if s.relief is not None]
+    ids = [s.campaignid for s in specs]
+    meta = t.metadata.filter(in_set("campaignid", ids)).filter(in_scope(specs))
+    wanted = {s.campaignid: s.only_successful if only_successful is None else only_successful for s in specs}
+    due = meta.filter(in_set("campaignid", [c for c, only in wanted.items() if not only]) | qc.was_successful())
+    families = _families(specs, lambda s: (s.vocabulary, s.crosswalk, s.class_columns))
+    prepared = [prepare(g, points) for g in families]
+    narrow = union_by_name(*[p.select(*BY, "filename", "direction") for p in prepared])
+    found = union_by_name(*[_classes(g, p, t) for g, p in zip(families, prepared)])
+    classes = [c for c in found.columns if c not in (CODE, "level_1")]
+    benthos_counts, relief_counts = benthos(specs, points, t), relief(with_relief, points, t) if with_relief else None
+    expected = per_campaign(specs, lambda s: F.lit(s.points_per_image))
     out = {
-        "annotations_missing_metadata": qc.annotations_missing_metadata(prepared, meta, list(BY)),
-        "metadata_missing_annotations": qc.metadata_missing_annotations(meta, prepared, list(BY), only_successful),
-        "missing_codes": qc.missing_codes(prepared, ["campaignid", "broad", "morphology", "type"]),
-        "unmatched_codes": qc.unmatched_classes(prepared, t.schema, [CODE], "level_1"),
-        "presence_diff": presence_diff(counted, meta, list(BY)),
+        "annotations_missing_metadata": qc.annotations_missing_metadata(narrow, meta),
+        "metadata_missing_annotations": qc.metadata_missing_annotations(due, benthos_counts),
+        "missing_codes": found.filter(F.col(CODE).isNull()).select(*classes).distinct(),
+        "unmatched_codes": found.filter(F.col(CODE).isNotNull() & F.col("level_1").isNull()).select(*classes, CODE).distinct(),
+        "presence_diff": presence_diff(benthos_counts, meta, list(BY)),
+        "wrong_point_counts": qc.wrong_point_counts(narrow, meta, expected),
+    }
+    if relief_counts is None:
+        relief_counts = benthos_counts.limit(0)
+    relief_ids = [s.campaignid for s in with_relief]
+    relief_dots = [prepare_relief(g, points).select(*BY, "filename", "direction") for g in _families(with_relief, _relief_family)]
+    relief_narrow = union_by_name(*relief_dots) if relief_dots else narrow.limit(0)
+    return out | {
+        "relief_missing_metadata": qc.annotations_missing_metadata(relief_narrow, meta),
+        "metadata_missing_relief": qc.metadata_missing_annotations(due.filter(in_set("campaignid", relief_ids)), relief_counts),
+        "unmatched_relief": relief_counts.filter(F.col("level_1").isNull()).select("campaignid", *LABELS, CODE).distinct(),
+        "coverage": counts.coverage_summary(relief_counts, benthos_counts),
     }
-    if len(per_image) == 1:
-        out["wrong_point_counts"] = qc.wrong_point_counts(prepared, meta, per_image.pop(), on=list(BY))
-    return out
 
 
 def as_upload(spec: CampaignSpec, df: DataFrame, kind: str = "benthos") -> DataFrame:

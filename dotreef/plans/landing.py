@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import union_by_name
-from ..operators.joins import SALT, lookup
+from ..operators.joins import lookup
 from . import frames as fr
 
 ROWS_PER_FILE = 500_000
@@ -35,7 +35,7 @@ def write_raw(
     campaign is not one task's work.
     """
     sizes = df.groupBy(*folders).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("__files"))
-    row = lookup(df, sizes, list(folders), "inner", salt=SALT).select(
+    row = lookup(df, sizes, list(folders), "inner").select(
         *folders, F.pmod(F.xxhash64(*header), F.col("__files")).alias("file"),
         F.lit(len(preamble) + 1).alias("__n"), _line(list(header), sep).alias("value"),
     )

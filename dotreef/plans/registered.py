@@ -13,8 +13,9 @@ from ..operators import classify, columns, counts, joins, qc
 from ..schemas import CODE, LABELS, LEVELS, TAXONOMY
 from ..sources import metadata as metadata_source
 from ..sources.dimensions import labels_by_code, read_classification, read_crosswalk, starter_classification
+from ..sources.exports import ingest
 from ..sources.ragged import read_annotations, scan_ragged
-from ..sources.sinks import read_plain_csv, scratch_dir, write_metadata, write_report, write_upload
+from ..sources.sinks import read_plain_csv, scratch_dir, store_points, write_metadata, write_report, write_upload
 from . import campaigns
 from . import frames as fr
 from . import frames_sql as fs
@@ -190,6 +191,7 @@ _SPECS = [
         rules=tuple(classify.repair_rules(invertebrate=2, spelled_out=False, matrix=True)), with_code=False,
     ),
     campaigns.CampaignSpec("survey-4", sample=campaigns.SampleRule(steps=_BETWEEN), scope_latitude=-27.71),
+    *[campaigns.CampaignSpec(f"survey-{i}", sample=campaigns.SampleRule(steps=_BETWEEN)) for i in (0, *range(5, 10))],
 ]
 _ARCHIVE_CODE = """CASE campaignid
   WHEN 'survey-1' THEN CASE WHEN broad = 'Open Water' THEN 1
@@ -207,8 +209,7 @@ _ARCHIVE_SAMPLE = f"""CASE WHEN campaignid = 'survey-2' THEN regexp_replace(file
 @register(fs.sql(fs.POINTS, fs.CLASSES, fs.META, f"""
 SELECT campaignid, code_sample AS sample, CASE WHEN campaignid <> 'survey-3' THEN code END AS caab_code, {fs.LABELS},
   CAST(count(*) AS BIGINT) AS count
-FROM (SELECT *, {_ARCHIVE_CODE} AS code, {_ARCHIVE_SAMPLE} AS code_sample FROM points
-  WHERE campaignid IN ('survey-1', 'survey-2', 'survey-3', 'survey-4')) p
+FROM (SELECT *, {_ARCHIVE_CODE} AS code, {_ARCHIVE_SAMPLE} AS code_sample FROM points) p
 LEFT JOIN classes c ON p.code IS NOT DISTINCT FROM c.caab_code
 WHERE level_2 IS NOT NULL AND level_2 NOT IN ('', 'Unscorable') AND (campaignid <> 'survey-4' OR EXISTS (
   SELECT 1 FROM meta m WHERE m.campaignid = p.campaignid AND CAST(m.sample AS VARCHAR) = code_sample
@@ -220,8 +221,7 @@ def archive_benthos(spark, d):
 
 
 @register(fs.sql(fs.POINTS, f"""
-SELECT campaignid, filename, {_ARCHIVE_SAMPLE} AS sample FROM points
-WHERE campaignid IN ('survey-1', 'survey-2', 'survey-3', 'survey-4')"""))
+SELECT campaignid, filename, {_ARCHIVE_SAMPLE} AS sample FROM points"""))
 def sample_rules(spark, d):
     return campaigns.prepare(_SPECS, fr.text_points(spark, d)).select("campaignid", "filename", "sample")
 
@@ -410,14 +410,16 @@ def scope_semi(spark, d):
     return counts.scope(columns.rename(counted, {"sample": "opcode"}), fr.south(spark, d), ["campaignid", ("opcode", "sample")])
 
 
-_RELIEF_SIDE = "SELECT campaignid, sample FROM points WHERE relief IS NOT NULL AND broad = 'Open Water'"
-_BENTHOS_SIDE = "SELECT campaignid, sample FROM points WHERE type IS NOT NULL AND campaignid <> 'survey-3'"
+# All dots on both sides; what is on one side only hangs on a derived campaign.
+_RELIEF_SIDE = "SELECT CASE WHEN broad = 'Open Water' THEN campaignid || '-deep' ELSE campaignid END AS campaignid, sample FROM points"
+_BENTHOS_SIDE = "SELECT CASE WHEN type IS NOT NULL THEN campaignid || '-reef' ELSE campaignid END AS campaignid, sample FROM points"
 
 
 def _two_sides(spark, d):
     pts = fr.points(spark, d)
-    relief = pts.filter(F.col("relief").isNotNull() & (F.col("broad") == "Open Water"))
-    return relief, pts.filter(F.col("type").isNotNull() & (F.col("campaignid") != "survey-3"))
+    name = lambda where, end: F.when(where, F.concat("campaignid", F.lit(end))).otherwise(F.col("campaignid"))
+    relief = pts.withColumn("campaignid", name(F.col("broad") == "Open Water", "-deep"))
+    return relief, pts.withColumn("campaignid", name(F.col("type").isNotNull(), "-reef"))
 
 
 @register(fs.sql(fs.POINTS, f"""
@@ -465,7 +467,7 @@ def null_safe_left_join(spark, d):
 SELECT campaignid, sample, filename, location FROM points LEFT JOIN meta USING (campaignid, sample)"""))
 def natural_left_join(spark, d):
     pts = fr.points(spark, d).select(*BY, "filename")
-    return joins.natural_join(pts, fr.metadata(spark, d).select(*BY, "location"), salt=joins.SALT)
+    return joins.natural_join(pts, fr.metadata(spark, d).select(*BY, "location"))
 
 
 @register(fs.sql(fs.CLASSES, """
@@ -481,7 +483,7 @@ def suffix_join_coalesce(spark, d):
 @register(fs.sql(fs.POINTS, fs.META, fs.SOUTH, """
 SELECT sample, filename FROM points p WHERE NOT EXISTS (SELECT 1 FROM south s WHERE s.sample = p.sample)"""))
 def anti_single(spark, d):
-    return qc.annotations_missing_metadata(fr.points(spark, d).select("sample", "filename"), fr.south(spark, d))
+    return qc.annotations_missing_metadata(fr.points(spark, d).select("sample", "filename"), fr.south(spark, d), ["sample"])
 
 
 @register(fs.sql(fs.POINTS, fs.META, """
@@ -519,12 +521,9 @@ def value_setdiff(spark, d):
     return joins.value_setdiff(fr.table(spark, d, "orders"), fr.table(spark, d, "events"), ("o_custkey", "user_id"))
 
 
-@register(fs.sql(fs.POINTS, fs.META, fs.SOUTH, """
-SELECT campaignid FROM points WHERE broad = 'Open Water' EXCEPT SELECT campaignid FROM south WHERE location = '1-URGENT'
-  AND latitude_dd < CAST(-28.2 AS DOUBLE)"""))
+@register(fs.sql(fs.POINTS, fs.META, f"SELECT campaignid FROM ({_RELIEF_SIDE}) EXCEPT SELECT campaignid FROM meta"))
 def campaign_id_diff(spark, d):
-    meta = fr.south(spark, d).filter((F.col("location") == "1-URGENT") & (F.col("latitude_dd") < -28.2))
-    return qc.campaign_id_diff(fr.points(spark, d).filter(F.col("broad") == "Open Water"), meta)
+    return qc.campaign_id_diff(_two_sides(spark, d)[0], fr.metadata(spark, d))
 
 
 @register(fs.sql(fs.CLASSES, """SELECT level_1, level_2, level_3, CAST(count(*) AS BIGINT) AS rows FROM classes
@@ -540,7 +539,7 @@ def duplicate_keys(spark, d):
 SELECT p.sample, p.n AS points_annotated, s.campaignid, s.location FROM
 (SELECT sample, CAST(count(*) AS BIGINT) AS n FROM points GROUP BY ALL) p LEFT JOIN south s ON p.sample = s.sample"""))
 def points_per_sample(spark, d):
-    return qc.points_per_sample(fr.points(spark, d), fr.south(spark, d).select(*BY, "location"))
+    return qc.points_per_sample(fr.points(spark, d), fr.south(spark, d).select(*BY, "location"), ["sample"])
 
 
 @register(fs.sql(fs.POINTS, fs.META, """
@@ -562,11 +561,12 @@ def missing_codes(spark, d):
 
 
 @register(fs.sql(fs.LEGACY, fs.CROSSWALK, """
-SELECT DISTINCT l.broad, l.morphology, l.type FROM legacy l LEFT JOIN crosswalk x ON l.broad IS NOT DISTINCT FROM x.broad
+SELECT DISTINCT l.broad, l.morphology, l.type FROM (SELECT broad, morphology, CASE WHEN type = '3' THEN 'x3' ELSE type END AS type FROM legacy) l LEFT JOIN crosswalk x ON l.broad IS NOT DISTINCT FROM x.broad
   AND l.morphology IS NOT DISTINCT FROM x.morphology AND l.type IS NOT DISTINCT FROM x.type WHERE x.level_2 IS NULL"""))
 def unmatched_classes(spark, d):
     keys = ["broad", "morphology", "type"]
-    return qc.unmatched_classes(fr.legacy_points(spark, d), fr.crosswalk(spark, d), keys, "level_2")
+    spelled = F.when(F.col("type") == "3", "x3").otherwise(F.col("type"))  # as the crosswalk does not have it
+    return qc.unmatched_classes(fr.legacy_points(spark, d).withColumn("type", spelled), fr.crosswalk(spark, d), keys, "level_2")
 
 
 @register(fs.sql(fs.POINTS, "SELECT DISTINCT broad, morphology, type, caab_code FROM points"))
@@ -633,10 +633,10 @@ UNION ALL SELECT 'missing_codes', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT
 UNION ALL SELECT 'unmatched_classes', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT p.caab_code FROM points p
   LEFT JOIN classes c ON c.caab_code IS NOT DISTINCT FROM p.caab_code WHERE c.level_1 IS NULL)"""))
 def qc_report(spark, d):
-    pts, meta = fr.points(spark, d), fr.south(spark, d)
+    pts, meta = qc.folded(fr.points(spark, d), ["sample", "broad", "morphology", "type", CODE]), fr.south(spark, d)
     return qc.qc_report({
-        "annotations_missing_metadata": qc.annotations_missing_metadata(pts, meta),
-        "metadata_missing_annotations": qc.metadata_missing_annotations(meta, pts),
+        "annotations_missing_metadata": qc.annotations_missing_metadata(pts, meta, ["sample"]),
+        "metadata_missing_annotations": qc.metadata_missing_annotations(meta, pts, ["sample"]),
         "missing_codes": qc.missing_codes(pts, ["broad", "morphology", "type"]),
         "unmatched_classes": qc.unmatched_classes(pts, fr.classes(spark, d), [CODE], "level_1"),
     })
@@ -741,7 +741,7 @@ def strip_to_last_sep(spark, d):
 @register("SELECT c_custkey, regexp_replace(substr(c_name, 10), '^0+', '') AS sample FROM customer")
 def strip_leading_zeros(spark, d):
     return fr.table(spark, d, "customer").select(
-        "c_custkey", text.strip_leading_zeros(F.substring("c_name", 10, 100)).alias("sample")
+        "c_custkey", text.strip_leading_zeros(F.expr("substring(c_name, 10)")).alias("sample")
     )
 
 
@@ -855,6 +855,80 @@ def annotation_scan(spark, d):
     )
 
 
+@register(fs.sql(fs.POINTS, """
+SELECT campaignid, CASE WHEN relief IS NULL THEN 'Units: dots' WHEN type IS NOT NULL THEN 'Filename' ELSE filename END AS filename FROM points"""))
+def annotation_scan_split(spark, d):
+    """Rows spelled like lines before the header, in files that are read line by line."""
+    root = scratch_dir(spark)
+    spelled = F.when(F.col("relief").isNull(), "Units: dots").when(F.col("type").isNotNull(), "Filename").otherwise(F.col("filename"))
+    landing.write_raw(fr.points(spark, d).withColumn("filename", spelled), root, ["campaignid"], {"filename": "Filename"}, landing.PREAMBLE, "\t")
+    raw = scan_ragged(spark, root, glob="*.txt", columns=["filename"], whole_file_bytes=0)
+    folder, = columns.path_columns(F.col("__path"), root, ["folder"])
+    return raw.select(text.remove(folder, "^campaignid=").alias("campaignid"), "filename")
+
+
+_KINDS_SQL = fs.sql(fs.POINTS, fs.CLASSES, """
+SELECT 'benthos' AS kind, p.campaignid, p.direction, caab_code, CAST(count(*) AS BIGINT) AS count FROM points p GROUP BY ALL
+UNION ALL SELECT 'relief', campaignid, direction, caab_code, CAST(count(*) AS BIGINT) FROM points WHERE relief IS NOT NULL GROUP BY ALL""")
+
+
+@register(_KINDS_SQL)
+def ingest_both_kinds(spark, d):
+    """Exports of both kinds and directions, ingested in one go and counted by what their names say."""
+    root = scratch_dir(spark)
+    pts = fr.points(spark, d)
+    for kind, side in (("", pts), ("_Relief", pts.filter(F.col("relief").isNotNull()))):
+        named = side.withColumn("export", F.concat(F.lit("x_"), F.initcap("direction"), F.lit(kind)))
+        landing.write_raw(named, root, ["campaignid", "export"], {"filename": "Filename", CODE: "Code"}, landing.PREAMBLE, "\t")
+    dots = ingest(spark, root, ["filename", "code"], folders=["campaignid"], glob="*.txt")
+    dots = dots.withColumns({"campaignid": text.remove("campaignid", "^campaignid="), CODE: nulls.try_number("code")})
+    store = scratch_dir(spark)
+    store_points(dots, store)
+    return counts.tally(spark.read.schema(dots.schema).parquet(store), ["kind", "campaignid", "direction", CODE])
+
+
+@register(fs.sql(fs.POINTS, """
+SELECT 'benthos' AS kind, campaignid, caab_code, CAST(count(*) AS BIGINT) AS count FROM points GROUP BY ALL
+UNION ALL SELECT 'relief', campaignid, CAST(ascii(substr(relief, 2, 1)) AS BIGINT), CAST(count(*) AS BIGINT) FROM points WHERE relief IS NOT NULL GROUP BY ALL"""))
+def two_kind_upload(spark, d):
+    """Both outputs written to one path, one after the other; neither replaces the other."""
+    path, pts = scratch_dir(spark), fr.points(spark, d)
+    scored = pts.filter(F.col("relief").isNotNull()).withColumn(CODE, F.ascii(F.substring("relief", 2, 1)).cast("bigint"))
+    for kind, side in (("benthos", pts), ("relief", scored)):
+        counted = counts.tally(side, ["campaignid", CODE])
+        write_upload(counted, path, kind)
+    sides = [read_plain_csv(spark, f"{path}/*/upload_kind={k}", counted.schema).withColumn("kind", F.lit(k)) for k in ("benthos", "relief")]
+    return columns.union_by_name(*sides)
+
+
+@register(SQL["wide_to_counts"].replace("SELECT campaignid, opcode, count,", "SELECT 'bay' AS campaignid, opcode, count,")
+          .replace("u.campaignid = m.campaignid AND ", ""))
+def wide_rekeyed(spark, d):
+    """A count matrix whose rows get the campaign's own id before the sum and the look at metadata."""
+    users = fr.users(spark, d).withColumn("campaignid", F.lit("bay"))
+    return classify.wide_to_counts(fr.matrix(spark, d), starter_classification(spark), users, campaignid="bay")
+
+
+_PER_IMAGE = {i: (1, 2, 3)[i % 3] for i in range(10)}
+
+
+@register(fs.sql(fs.POINTS, fs.META, f"""
+SELECT campaignid, CAST(sample AS VARCHAR) AS sample, points_annotated, expected FROM (
+  SELECT p.campaignid, p.sample, p.n AS points_annotated, CAST(CASE p.campaignid
+    {" ".join(f"WHEN 'survey-{i}' THEN {n}" for i, n in _PER_IMAGE.items())} END
+    * (CASE successful_habitat_forward WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END + CASE successful_habitat_backward WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END)
+    AS BIGINT) AS expected
+  FROM (SELECT campaignid, sample, CAST(count(*) AS BIGINT) AS n FROM points GROUP BY ALL) p LEFT JOIN meta m USING (campaignid, sample))
+WHERE points_annotated <> expected"""))
+def campaign_point_checks(spark, d):
+    """Dots per sample against what each campaign expects of an image, several campaigns in one go."""
+    specs = [campaigns.CampaignSpec(f"survey-{i}", sample=campaigns.SampleRule(steps=_BETWEEN), points_per_image=n, relief=None)
+             for i, n in _PER_IMAGE.items()]
+    meta = fr.metadata(spark, d).withColumn("sample", F.col("sample").cast("string"))
+    found = campaigns.checks(specs, fr.text_points(spark, d), campaigns.Tables(fr.classes(spark, d), meta))
+    return found["wrong_point_counts"].select(*BY, "points_annotated", "expected")
+
+
 @register(SQL["wide_to_long"])
 def matrix_scan(spark, d):
     root = scratch_dir(spark)

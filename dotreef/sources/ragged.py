@@ -2,8 +2,8 @@
 
 A file up to ``WHOLE_FILE_BYTES`` is one row that is cut into lines where it is read: header,
 column positions and rows come out of one scan without an exchange. A larger file is read
-line by line and split like any other text; its header is found from its first block. Either
-way the plan has the same size for ten files and for a million.
+line by line and split like any other text; its header is found from its first block. Both give
+the same rows, and the plan has the same size for ten files and for a million.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.columns import clean_header
-from ..operators.joins import SALT, lookup
+from ..operators.joins import lookup
 
 PATH = "__path"
 WHOLE_FILE_BYTES = 16 * 1024 * 1024
@@ -24,15 +24,25 @@ _BREAK = "\r\n|\n|\r"
 
 
 def _cells(line: Column, sep: str) -> Column:
-    """Cells of one line. Quotes protect separators and are taken off; doubled ones become one."""
+    """Cells of one line. Quotes around a whole cell protect separators and are taken off; doubled ones become one.
+
+    A quote inside a cell is text. A cell that opens with a quote and does not close it would go on in the next line, which this scan
+    does not read: that is an error. Every repeat is possessive, so a line costs time in proportion to its length.
+    """
     mark = re.escape(sep)
-    outside = mark + '(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    unquote = lambda c: F.when(
-        c.rlike('^\\s*".*"\\s*$'), F.replace(F.regexp_extract(c, '^\\s*"(.*)"\\s*$', 1), F.lit('""'), F.lit('"'))
-    ).otherwise(c)
-    return F.when(F.contains(line, F.lit('"')), F.transform(F.split(line, outside), unquote)).otherwise(
-        F.split(line, mark)
-    )
+    quoted = f' *+"[^"]*+(?:""[^"]*+)*+" *+(?={mark}|$)'
+    cells = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(f"{mark}({quoted}|[^{mark}]*+)"), 1)
+
+    def unquote(c: Column) -> Column:
+        bare = F.trim(c)
+        inner = F.replace(F.substring(bare, F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"'))
+        marks = F.length(c) - F.length(F.replace(c, F.lit('"'), F.lit("")))
+        broken = F.raise_error(F.concat(F.lit("a quoted cell does not end on its line: "), F.substring(c, 1, 80))).cast("string")
+        opens = F.ltrim(c).startswith('"')
+        closed = opens & c.rlike('" *$') & (F.length(bare) > 1) & (marks % 2 == 0)
+        return F.when(closed, inner).when(opens & (marks % 2 == 1), broken).otherwise(c)
+
+    return F.when(F.contains(line, F.lit('"')), F.transform(cells, unquote)).otherwise(F.split(line, mark))
 
 
 def _small_files(spark: SparkSession, path, options: dict, skip: int, limit: int) -> DataFrame:
@@ -83,8 +93,8 @@ def scan_ragged(
     """All files as one all-text table plus ``__path``.
 
     ``columns`` names what to read; a file without a column gives NULL there. Without it the
-    union of all headers is read, which costs a look at the headers first. Quoted line breaks
-    are not supported.
+    union of all headers is read, which costs a look at the headers first (their distinct names come to the driver). A quoted
+    line break is an error.
     """
     options = {"recursiveFileLookup": "true"}
     if glob:
@@ -105,11 +115,15 @@ def scan_ragged(
 
     # Positions once per file, then the rows; empty files leave one NULL row, dropped below.
     body = small.select(PATH, at, "__lines").select(PATH, "__at", F.explode_outer("__lines").alias("value"))
-    # Lines before the rows are known by their text, not by their number: two scans of the same
-    # files need not be cut into the same tasks. The salt spreads one huge file over many.
-    big = lookup(lines, heads.select(PATH, at, "__preamble"), PATH, "inner", salt=SALT)
-    big = big.filter(~F.col("__first_block") | ~F.array_contains("__preamble", F.col("value")))
-    body = body.union(big.select(PATH, "__at", "value")).filter(F.col("value") != "")
+    # Equal lines are interchangeable: of each text in the lines up to the header, as many copies go as stand there, wherever
+    # the file is cut. Only lines with such a text are counted, all others pass.
+    big = lookup(lines, heads.select(PATH, at, "__preamble"), PATH, "inner")
+    known = F.array_contains("__preamble", F.col("value"))
+    copies = big.filter(known).groupBy(PATH, "value").agg(F.count(F.lit(1)).alias("__n"), F.first("__at").alias("__at"), F.first("__preamble").alias("__preamble"))
+    left = F.col("__n") - F.size(F.filter("__preamble", lambda t: t == F.col("value")))
+    again = copies.withColumn("__n", left).filter("__n > 0").select(PATH, "__at", "value", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n")))
+    big = big.filter(~known).select(PATH, "__at", "value").union(again.select(PATH, "__at", "value"))
+    body = body.union(big).filter(F.col("value") != "")
     body = body.select(PATH, "__at", _cells(F.col("value"), sep).alias("__cells"))
 
     def cell(i: int) -> Column:

@@ -20,8 +20,13 @@ def _local_folder() -> str:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the shared one the session names; local only where it names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    """A new folder below the shared one the session names; a local one only where all tasks run on this machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that every executor of {master} sees")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -36,6 +41,8 @@ def write_upload(
 ) -> None:
     """One folder per campaign and kind of CSV with a header, NULL written ``NA``.
 
+    Overwriting replaces the campaigns and kinds that ``df`` holds; others stay, whatever the session's mode.
+
     Rows are brought together per campaign by a rebalance, which also cuts a campaign that is
     too big for one file; nothing is squeezed through a single task.
     """
@@ -44,13 +51,18 @@ def write_upload(
     out = out.hint("rebalance", "upload_campaign")
     if order:
         out = out.sortWithinPartitions("upload_campaign", "upload_kind", *[F.col(c).asc_nulls_last() for c in order])
-    writer = out.write.mode(mode).partitionBy("upload_campaign", "upload_kind")
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("upload_campaign", "upload_kind")
     writer.csv(path, header=True, nullValue="NA", quoteAll=quote_all)
 
 
 def store_points(df: DataFrame, path: str) -> None:
-    """Ingested dots as Parquet by campaign, so that each plan reads only its own campaigns."""
-    df.hint("rebalance", "campaignid").write.mode("overwrite").partitionBy("campaignid").parquet(path)
+    """Ingested dots as Parquet by campaign and kind of export, so that each plan reads only its own.
+
+    The campaigns and kinds in ``df`` are replaced whole, all others stay as they were.
+    """
+    parts = ["campaignid"] + ["kind"] * ("kind" in df.columns)
+    writer = df.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*parts).parquet(path)
 
 
 def write_metadata(df: DataFrame, path: str) -> None:

@@ -65,7 +65,7 @@ def points(spark):
           ("in.JPG", None, "Bryozoa / Cnidaria Matrix")),
         d("2021-08_PtCloates_stereo-BRUVs", "filename direction x_6", ("PCB1_1.JPG", "forwards", "10000000"), ("PCB18.JPG", "backwards", "10000000")),
         d("2022-05_PtCloates_stereo-BRUVS", "filename direction opcode code", ("zz", "forwards", "7", "10000000"), ("7.JPG", "backwards", None, "10000000")),
-        d("2022-11_Investigator_stereo-BRUVs", "opcode catami_l2_l3", ("i1", "Sponges"), ("i1", "Macroalgae > Drift Algae"), ("i1", "??")),
+        d("2022-11_Investigator_stereo-BRUVs", "opcode level_2 level_3", ("i1", "Sponges", None), ("i1", "Macroalgae > Drift Algae", None), ("i1", "??", None)),
         d("2022-11_Salisbury_stereo-BRUVs", "opcode catami_l2_l3", ("s1", "Sponges"), ("s1", "macroalgae > drift algae"), ("s1", None)),
         d("2022-12_Daw_stereo-BOSS", "filename period level_2 level_3 level_4", ("f", " d1 ", "Macroalgae > Large canopy-forming", "Brown", "Ecklonia radiata"),
           ("f", "d1", "Matrix > Mixed", None, None), ("IO333.jpg", "d1", "Sponges", None, None), (None, "d1", "Sponges", None, None), ("f", "d1", "Sponges", None, None)),
@@ -154,16 +154,75 @@ def test_upload_names(points, tables):
 
 
 def test_checks(points, tables):
-    specs = [cp.known("2020-06_south-west_stereo-BRUVs"), cp.known("2021-05_Abrolhos_stereo-BRUVs")]
-    prepared = cp.prepare(specs, points).persist()
-    found = cp.checks(specs, prepared, cp.benthos(specs, points, tables), tables)
+    specs = [cp.known("2020-06_south-west_stereo-BRUVs"), cp.known("2021-05_Abrolhos_stereo-BRUVs"), cp.known("2020-10_south-west_stereo-BRUVs")]
+    found = cp.checks(specs, points, tables)
     assert bag(found["annotations_missing_metadata"], "campaignid", "sample") == [
-        ("2020-06_south-west_stereo-BRUVs", None), ("2021-05_Abrolhos_stereo-BRUVs", "out")]
+        ("2020-06_south-west_stereo-BRUVs", None), ("2020-10_south-west_stereo-BRUVs", "12"), ("2020-10_south-west_stereo-BRUVs", "12"),
+        ("2020-10_south-west_stereo-BRUVs", None), ("2021-05_Abrolhos_stereo-BRUVs", "out")]
     assert bag(found["metadata_missing_annotations"], "sample") == [("unseen",)]
     assert bag(found["wrong_point_counts"], "sample", "points_annotated", "expected") == [("a", 3, 20), ("in", 2, 20)]
     assert found["unmatched_codes"].count() == 0
-    assert bag(found["presence_diff"], "sample", "in_habitat") == [("unseen", None), (None, True)]
-    prepared.unpersist()
+    assert bag(found["presence_diff"].filter("campaignid like '2020-06%'"), "sample", "in_habitat") == [("unseen", None), (None, True)]
+    assert bag(found["metadata_missing_relief"], "sample") == [("a",), ("in",), ("unseen",)]
+    assert {"relief_missing_metadata", "unmatched_relief", "coverage"} <= set(found)
+
+
+def test_expected_dots_follow_the_campaign(spark, tables):
+    ids = ["2020-06_south-west_stereo-BRUVs", "2020-10_south-west_stereo-BRUVs", "2021-03_Geographe_BOSS"]
+    pts = union_by_name(
+        dots(spark, ids[0], "filename code", *[("a.JPG", "10000000")] * 40), dots(spark, ids[1], "filename qualifiers", *[("a.jpg", "10000000")] * 40),
+        dots(spark, ids[2], "filename code", *[("a.jpg", "10000000")] * 40))
+    meta = spark.createDataFrame([(c, "a", -34.0, "Yes", "Yes", "Yes", "No") for c in ids], "campaignid string, sample string, latitude_dd double, "
+        "successful_count string, successful_length string, successful_habitat_forward string, successful_habitat_backward string")
+    found = cp.checks([cp.known(c) for c in ids], pts, cp.Tables(tables.schema, meta, tables.crosswalks))
+    assert bag(found["wrong_point_counts"], "campaignid", "points_annotated", "expected") == [(ids[0], 40, 20), (ids[2], 40, 80)]
+
+
+def test_unscorable_deployments_are_reported(spark, tables):
+    pts = dots(spark, "2020-06_south-west_stereo-BRUVs", "filename code", ("a.JPG", "1"), ("unseen.JPG", "10000000"))
+    found = cp.checks([cp.known("2020-06_south-west_stereo-BRUVs")], pts, tables)
+    assert bag(found["metadata_missing_annotations"], "sample") == [("a",)]
+
+
+def test_class_checks_use_the_vocabulary(points, tables):
+    every = [s for s in cp.KNOWN_CAMPAIGNS if s.campaignid in WANT]
+    found = cp.checks(every, points, tables)
+    missing = {(r["campaignid"], r["catami_l2_l3"] or r["level_2"] or r["catami_l1"] or r["broad"]) for r in found["missing_codes"].collect()}
+    assert ("2022-11_Investigator_stereo-BRUVs", "??") in missing
+    assert not {m for m in missing if m[0] in ("2024-04_Geographe_stereo-BRUVs", "2013-05_Aidans_Hons_pilchards_stereoBRUVs", "Tasman_Fracture_202103")}
+    unmatched = {(r["campaignid"], r[CODE]) for r in found["unmatched_codes"].collect()}
+    assert ("2021-05_Abrolhos_BOSS", 10000000) not in unmatched
+
+
+def test_kinds_share_one_store(spark, tables, points):
+    """Both exports of a campaign in one table: neither output counts the other's dots."""
+    spec = [cp.known("2021-08_PtCloates_stereo-BRUVs"), cp.known("2024-04_Geographe_stereo-BRUVs"), cp.known("2023-03_SwC_stereo-BRUVs")]
+    d = lambda *a: dots(spark, *a)
+    benthos_side = points.filter(F.col("campaignid").isin([s.campaignid for s in spec])).withColumn("kind", F.lit("benthos"))
+    relief_side = union_by_name(
+        d(spec[0].campaignid, "filename x_6", ("PCB1_1.JPG", "82003004")),
+        d(spec[1].campaignid, "opcode level_2 level_3 level_5", ("w", "Relief", "Flat", "0")),
+        d(spec[2].campaignid, "filename opcode level_2 level_3 level_5 caab_code", ("g", "k", "Relief", "Flat", "0", "82003001"))).withColumn("kind", F.lit("relief"))
+    store = union_by_name(benthos_side, relief_side)
+    benthos = cp.benthos(spec, store, tables)
+    assert benthos.filter("level_2 = 'Relief'").count() == 0
+    assert bag(benthos, "campaignid", "sample", CODE, "count") == sorted(
+        [(s.campaignid, *row) for s in spec for row in WANT[s.campaignid]], key=lambda t: tuple((x is None, str(x)) for x in t))
+    relief = cp.relief(spec, store, tables)
+    assert relief.filter("level_2 <> 'Relief'").count() == 0 and relief.count() == 3
+
+
+def test_count_matrix_campaign(spark, tables):
+    campaign = "2014-12_Geographe-bay_stereo-BRUVs"
+    matrix = spark.createDataFrame(
+        [("s1", "old", "3", "0", "2"), ("s2", "old", "1", None, None), ("gone", "old", "9", "1", "1")],
+        "sample string, campaignid string, biota_sponges string, biota_worms string, relief_0_flat_substrate_sandy_rubble_with_few_features_0_substrate_slope string")
+    meta = tables.metadata.unionByName(spark.createDataFrame([(campaign, "s1"), (campaign, "s2")], "campaignid string, sample string"), True)
+    own = cp.Tables(tables.schema, meta, tables.crosswalks, {campaign: matrix})
+    none = spark.createDataFrame([], "campaignid string, filename string")
+    assert bag(cp.benthos([cp.known(campaign)], none, own), "campaignid", "sample", CODE, "count") == [
+        (campaign, "s1", 10000000, 3), (campaign, "s2", 10000000, 1)]
+    assert bag(cp.relief([cp.known(campaign)], none, own), "campaignid", "sample", CODE, "count") == [(campaign, "s1", 82003001, 2)]
 
 
 def test_one_plan_per_vocabulary_not_per_campaign(points, tables):

@@ -39,8 +39,7 @@ def dots(spark):
 
 
 @pytest.mark.parametrize("with_code", [True, False])
-@pytest.mark.parametrize("salt", [1, 3])
-def test_label_counts_equal_the_row_by_row_join(dots, schema, with_code, salt):
+def test_label_counts_equal_the_row_by_row_join(dots, schema, with_code):
     points, rows = dots
     table = [tuple(r) for r in schema.collect()]
     want = Counter()
@@ -48,7 +47,7 @@ def test_label_counts_equal_the_row_by_row_join(dots, schema, with_code, salt):
         for c in [c for c in table if c[0] == code]:
             if c[2] not in ("", "Unscorable", None):
                 want[(campaign, sample, *c[1:], *([code] if with_code else []))] += 1
-    got = classify.counts_by_code(points, schema, ["campaignid", "sample"], with_code=with_code, salt=salt)
+    got = classify.counts_by_code(points, schema, ["campaignid", "sample"], with_code=with_code)
     names = ["campaignid", "sample", *LABELS, *([CODE] if with_code else []), "count"]
     assert Counter({tuple(r)[:-1]: r["count"] for r in got.select(*names).collect()}) == want
 
@@ -209,11 +208,11 @@ def test_point_checks(frame):
         "sample string, successful_habitat_forward string, successful_habitat_backward string, successful_count string, successful_length string",
         ("a", "Yes", "Yes", "Yes", "No"), ("b", "Yes", "No", "No", "No"), ("c", None, "Yes", "Yes", "Yes"),
         ("d", "No", "No", "No", "Yes"), ("e", "No", "No", "No", None))
-    assert bag(qc.wrong_point_counts(pts, meta, 2), "sample", "points_annotated", "expected") == [("b", 3, 2)]
-    assert bag(qc.points_per_sample(pts, meta), "sample", "points_annotated") == [("a", 4), ("b", 3), ("c", 1), (None, 1)]
-    assert bag(qc.annotations_missing_metadata(pts, meta), "sample") == [(None,)]
-    assert bag(qc.metadata_missing_annotations(meta, pts), "sample") == [("d",), ("e",)]
-    assert bag(qc.metadata_missing_annotations(meta, pts, only_successful=True), "sample") == [("d",)]
+    assert bag(qc.wrong_point_counts(pts, meta, 2, on=["sample"]), "sample", "points_annotated", "expected") == [("b", 3, 2)]
+    assert bag(qc.points_per_sample(pts, meta, ["sample"]), "sample", "points_annotated") == [("a", 4), ("b", 3), ("c", 1), (None, 1)]
+    assert bag(qc.annotations_missing_metadata(pts, meta, ["sample"]), "sample") == [(None,)]
+    assert bag(qc.metadata_missing_annotations(meta, pts, ["sample"]), "sample") == [("d",), ("e",)]
+    assert bag(qc.metadata_missing_annotations(meta, pts, ["sample"], only_successful=True), "sample") == [("d",)]
     assert bag(qc.unparseable_codes(pts, "code")) == [("x",), (None,)]
     assert bag(qc.unique_values(pts, "sample")) == [("a",), ("b",), ("c",)]
     report = qc.qc_report({"none": meta.filter("false"), "some": meta})

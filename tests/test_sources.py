@@ -35,13 +35,76 @@ def test_ragged_scan(spark, exports, limit):
     """Whole-file and line-split reading give the same rows."""
     out = scan_ragged(spark, exports, glob="*_Dot Point Measurements.txt", whole_file_bytes=limit)
     assert set(out.columns) == {"filename", "image_row", "code", "note", "x", *[f"x_{i}" for i in range(1, 7)], "__path"}
-    # A data row spelled like a preamble line is only told apart by position in whole files.
-    rows = bag(out.filter("filename is null or filename <> 'Measurements'"), "filename", "image_row", "code", "note", "x", "x_6")
+    rows = bag(out, "filename", "image_row", "code", "note", "x", "x_6")
     assert rows == [
+        ("Measurements", None, None, None, None, None),
         ("a.JPG", "1", "80300910", None, None, None), ("b.jpg", None, "x", 'said "hi"\tthere', None, None),
         ("c.JPG", None, "7", None, "x0", "x6"), ("short", "2", None, None, None, None)]
 
 
+@pytest.mark.parametrize("block", ["300", "134217728"])
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_rows_that_repeat_preamble_and_header(spark, tmp_path, limit, block):
+    head = PREAMBLE + "Filename\tCode\n"
+    body = "a.JPG\t1\n" * 40 + "units\n" + "Filename\tCode\n" * 2 + "b.JPG\t2\nMeasurements\t7\nunits\n"
+    (tmp_path / "one.txt").write_text(head + body)
+    (tmp_path / "two.txt").write_text(head)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        out = scan_ragged(spark, str(tmp_path), glob="*.txt", columns=["filename", "code"], whole_file_bytes=limit)
+        want = [("a.JPG", "1")] * 40 + [("units", None)] * 2 + [("Filename", "Code")] * 2 + [("b.JPG", "2"), ("Measurements", "7")]
+        assert bag(out, "filename", "code") == sorted(want, key=lambda t: tuple((x is None, str(x)) for x in t))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_quotes(spark, tmp_path, limit):
+    wide = "\t".join(f'"cell {i}"' for i in range(3000))
+    lines = ["a\tb\tc\td", '12" deep\tx\ty\tz', '"q\tr"\t"say ""so"""\t ""\t"" ""', wide, '\t"t"\t\t']
+    (tmp_path / "q.txt").write_text("\n".join(lines) + "\n")
+    out = scan_ragged(spark, str(tmp_path), skip=0, glob="*.txt", columns=["a", "b", "c", "d"], whole_file_bytes=limit)
+    rows = bag(out, "a", "b", "c", "d")
+    assert ('12" deep', "x", "y", "z") in rows and ("cell 0", "cell 1", "cell 2", "cell 3") in rows and (None, "t", None, None) in rows
+    assert ("q\tr", 'say "so"') in [r[:2] for r in rows] and len(rows) == 4
+
+
+def test_quoted_line_break_is_an_error(spark, tmp_path):
+    (tmp_path / "m.txt").write_text('a\tb\n1\t"two\nlines"\n')
+    with pytest.raises(Exception, match="does not end on its line"):
+        scan_ragged(spark, str(tmp_path), skip=0, glob="*.txt", columns=["a", "b"]).collect()
+
+
+def test_kinds_in_one_path_under_static_mode(spark, frame):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        path, store = scratch_dir(spark), scratch_dir(spark)
+        df = frame(f"campaignid string, sample string, {CODE} bigint", ("c", "s", 1), ("d", "s", 2))
+        for kind in ("benthos", "relief", "benthos"):
+            write_upload(df, path, kind)
+            store_points(df.selectExpr("campaignid", f"'{kind}' AS kind", "sample"), store)
+        store_points(df.where("campaignid = 'c'").selectExpr("campaignid", "'relief' AS kind", "'new' AS sample"), store)
+        assert spark.read.csv(path, header=True).groupBy("upload_kind").count().count() == 2
+        assert bag(spark.read.parquet(store), "campaignid", "kind", "sample") == [
+            ("c", "benthos", "s"), ("c", "relief", "new"), ("d", "benthos", "s"), ("d", "relief", "s")]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_no_local_folder_on_a_cluster():
+    class Fake:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://somewhere:7077"
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        scratch_dir(Fake)
+
+
 def test_annotations_with_named_columns(spark, exports):
     out = read_annotations(spark, exports, columns=["filename", "x_6", "absent"])
     assert bag(out.filter("x_6 is not null"), "filename", "x_6", "absent") == [("c.JPG", "x6", None)]
