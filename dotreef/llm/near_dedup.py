@@ -6,8 +6,9 @@ those beyond w are left out. Each point has a time and a register, and a registe
 in a register with the probability of their weighted Jaccard similarity. A process ends once its time passes the latest register of its document.
 
 Signatures are banded; documents that share a band are compared by the exact overlap of their shingle multisets. Equal multisets are one
-class first. Every bucket compares its classes with a few hubs, then only classes that hubs have not joined into one component are
-compared with each other, so a large group of copies costs links in proportion to its size and no link is lost to a cap.
+class first. Every bucket names a hub, and the members of all buckets with one hub are compared together: all with the hub, then
+those that it does not join with everyone, by lists of the members that have a shingle. Tasks send on the links that join
+components, never pairs. Many members of one hub are cut into blocks that meet two by two, so no link is lost to a cap.
 
 Words are runs of letters and digits, lower-cased; a text of fewer than five words is one shingle. A NULL, empty or wordless text is
 alone in its class. Repeated rows are rows of one class, of which the one with the smallest doc_id (NULL first, then by place) stays. Extra
@@ -17,7 +18,6 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,6 +30,8 @@ from .common import PLACE, components, located, stored, tune, with_id, without_i
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
+#: Members of a hub that one block holds.
+BLOCK = 400
 
 _SEPARATE = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _U = np.uint64
@@ -118,26 +120,44 @@ def _sign(n_bands: int, rows: int):
     return run
 
 
-def _verify(pairs: DataFrame, payload: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose texts are similar enough."""
-    left = payload.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-    right = payload.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: OrderedDict[int, tuple] = OrderedDict()
-
-        def own(cid: int, text: str):
-            if cid not in held:
-                held[cid] = bag(text)
-                if len(held) > 256:
-                    held.popitem(last=False)
-            return held[cid]
-
-        for pdf in batches:
-            same = [overlap(own(a, s), own(b, t)) >= similarity for a, b, s, t in pdf[["a", "b", "text_a", "text_b"]].itertuples(index=False)]
-            yield pdf.loc[same, ["a", "b"]]
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
+def _tokens(own: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The bag as a set: the first, second, ... occurrence of a shingle are different tokens, so shared tokens are the overlap."""
+    h, n = own
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(h, n) ^ mix(nth.astype(_U))
+
+
+def _link(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Links that join the members of one hub (or of two blocks of them) into the components they form.
+
+    Everyone is compared with the hub; then each member outside the hub's component with all others, through the lists of members that have
+    a token. Pairs inside one component need no look.
+    """
+    pdf = pdf.drop_duplicates("cid", ignore_index=True)
+    cid, size = pdf["cid"].to_numpy(), len(pdf)
+    tokens = [_tokens(bag(t)) for t in pdf["text"]]
+    length = np.array([len(t) for t in tokens])
+    every = np.concatenate(tokens)
+    order = np.argsort(every, kind="stable")
+    every, holder = every[order], np.repeat(np.arange(size), length)[order]
+    part = np.arange(size)
+    links = []
+
+    def join(x: int) -> None:
+        low, high = np.searchsorted(every, tokens[x]), np.searchsorted(every, tokens[x], side="right")
+        n = high - low
+        shared = np.bincount(holder[np.repeat(high - np.cumsum(n), n) + np.arange(n.sum())], minlength=size)
+        for y in np.flatnonzero(shared >= similarity * (length + length[x] - shared)):
+            if part[x] != part[y]:
+                links.append((cid[x], cid[y]))
+                part[part == part[y]] = part[x]
+
+    hub = int(np.flatnonzero(cid == pdf["hub"].iat[0])[0])
+    join(hub)
+    for x in range(size):
+        if part[x] != part[hub]:
+            join(x)
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def group(docs: DataFrame, similarity: float = SIMILARITY, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -156,30 +176,25 @@ def _group(placed_docs: DataFrame, similarity: float, n_bands: int, rows: int) -
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     entry = classes.select("cid", F.posexplode("bands").alias("band", "key"))
-    hubs = F.array_distinct(F.array(F.min("cid"), F.max("cid"), F.min_by("cid", F.xxhash64("cid", "band"))))
-    buckets = stored(entry.groupBy("band", "key").agg(F.count("*").alias("n"), hubs.alias("hubs")).where("n > 1"), "buckets")
+    buckets = entry.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     placed = stored(entry.join(buckets, ["band", "key"]), "placed")
-    pairs = placed.select("cid", F.explode("hubs").alias("hub")).where("cid <> hub")
-    pairs = stored(pairs.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct(), "pairs")
+    # The hub of a bucket is the member with the most company over all its buckets: the middle of a group of copies.
+    company = placed.groupBy("cid").agg(F.sum("n").alias("company"))
+    hubs = placed.join(company, "cid").groupBy("band", "key").agg(F.max(F.struct("company", "cid"))["cid"].alias("hub"))
+    members = stored(placed.join(hubs, ["band", "key"]).select("hub", "cid").distinct(), "members")
 
-    needed = placed.select("cid").distinct().join(classes.select("cid", "loc"), "cid")
+    needed = members.select("cid").distinct().join(classes.select("cid", "loc"), "cid")
     payload = stored(source.select("loc", "text").join(needed, "loc").select("cid", "text"), "payload")
-    links = stored(_verify(pairs, payload, similarity), "verified")
+    blocks = members.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own, others = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+    tasks = F.transform(others, lambda o: F.struct(F.least(own, o).alias("low"), F.greatest(own, o).alias("high")))
+    all_tasks = F.flatten(F.transform(others, lambda low: F.transform(
+        F.sequence(low, F.col("blocks") - 1), lambda high: F.struct(low.alias("low"), high.alias("high")))))
+    dealt = members.join(blocks, "hub").select("hub", "cid", F.explode(F.when(F.col("hub") == F.col("cid"), all_tasks).otherwise(tasks)).alias("task"))
+    dealt = dealt.join(payload, "cid").select("hub", "task", "cid", "text")
+    links = dealt.groupBy("hub", "task").applyInPandas(lambda pdf: _link(pdf, similarity), "a long, b long")
     parts = components(links)
 
-    # What hubs left apart inside a bucket is compared member by member.
-    member = placed.where("n > 2").select("cid", "band", "key").join(parts.withColumnRenamed("node", "cid"), "cid", "left")
-    member = stored(member.withColumn("component", F.coalesce("component", "cid")), "members")
-    mixed = member.groupBy("band", "key").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first <> last")
-    apart = member.join(mixed.select("band", "key"), ["band", "key"])
-    one, two = (apart.select("band", "key", F.col("cid").alias(c), F.col("component").alias(f"{c}_part")) for c in ("x", "y"))
-    more = one.join(two, ["band", "key"]).where("x_part < y_part").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    more = stored(more.distinct().join(pairs, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        late = stored(_verify(more, payload, similarity), "late")
-        if not late.isEmpty():
-            parts = components(links.unionByName(late))
-
     known = classes.select("cid", "digest").join(parts.withColumnRenamed("node", "cid"), "cid", "left")
     known = known.select("digest", F.coalesce("component", "cid").alias("component"))
     rows_of = stored(signed.select("doc_id", "loc", "digest").join(known, "digest", "left").select("doc_id", "loc", "component"), "rows")

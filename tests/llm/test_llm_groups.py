@@ -183,7 +183,9 @@ def near_rows(spark):
     return rows
 
 
-def test_near_dedup_by_hand(spark):
+@pytest.mark.parametrize("block", [400, 5])
+def test_near_dedup_by_hand(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rows = near_rows(spark)
     bags = {i: near_dedup.bag(t or "") for i, t in rows}
     links = [(i, j) for i in bags for j in bags if i < j and len(bags[i][0]) and near_dedup.overlap(bags[i], bags[j]) >= 0.8]
