@@ -38,6 +38,7 @@ def seen(landing: DataFrame) -> DataFrame:
         return landing.groupBy("digest").agg(F.max(F.struct("doc_id", "loc")).alias("keep"), F.count("*").alias("n"))
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")  # a store is open while its task runs, not longer
     checkpoint = f"{scratch_dir(spark)}-dedup-state"
     folder = landing.inputFiles()[0].rsplit("/", 1)[0]
     rows = spark.readStream.schema(landing.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(folder)
