@@ -1,7 +1,7 @@
 """The landing folder as a stream of files.
 
-Exports arrive folder by folder. Each micro-batch stores its new dots once and recounts the
-campaigns they belong to; all other output partitions stay as they are.
+Exports arrive folder by folder. Each micro-batch stores its new dots and its own counts once; counts add, so a campaign's
+total is the sum of its batches' counts and no stored dot is read again.
 """
 
 from __future__ import annotations
@@ -31,11 +31,13 @@ def refresh_counts(
     folders: Sequence[str] = ("project", "campaignid"),
     glob: str = "*_Dot Point Measurements.txt",
     files_per_batch: int = FILES_PER_BATCH,
+    total: str = "count",
 ) -> StreamingQuery:
     """Start the stream: everything that has landed is processed, then it stops.
 
-    ``count`` maps stored dots to a table with ``campaignid``. Writing is by batch number and by
-    campaign partition, both overwritten, so a batch that runs again leaves the same result.
+    ``count`` maps dots to a table with ``campaignid``, class columns and ``total``, the number that adds up over batches. Dots, batch
+    counts and sums are written by batch number and campaign partition and overwritten, so a batch that runs again leaves
+    the same result. A batch costs its own files plus the batch counts of the campaigns it touches.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -56,12 +58,16 @@ def refresh_counts(
         dots = raw.select(*columns, *path_columns(F.col(PATH), landing, folders))
         dots.write.mode("overwrite").partitionBy("campaignid").parquet(f"{store}/batch={batch_id}")
         # With the schema given, campaign names that look like numbers stay names.
-        stored = spark.read.schema(dots.schema)
-        new = stored.parquet(f"{store}/batch={batch_id}").select("campaignid").distinct()
-        touched = [r["campaignid"] for r in new.collect()]
-        every = stored.option("basePath", store).parquet(store).drop("batch")
-        counted = count(every.filter(in_set("campaignid", touched)))
-        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        new = spark.read.schema(dots.schema).parquet(f"{store}/batch={batch_id}")
+        counted = count(new)
+        counted.write.mode("overwrite").partitionBy("campaignid").parquet(f"{store}-counts/batch={batch_id}")
+        parts = spark.read.schema(counted.schema)
+        fresh = parts.parquet(f"{store}-counts/batch={batch_id}").select("campaignid").distinct()
+        touched = [r["campaignid"] for r in fresh.collect()]  # campaigns of one batch: at most as many as it has files
+        every = parts.option("basePath", f"{store}-counts").parquet(f"{store}-counts").filter(in_set("campaignid", touched))
+        keys = [c for c in counted.columns if c != total]
+        summed = every.groupBy(*keys).agg(F.sum(total).alias(total)).select(*counted.columns)
+        writer = summed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("campaignid").parquet(out)
 
     return (

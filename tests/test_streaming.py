@@ -29,3 +29,29 @@ def test_landing_folder_is_counted_as_it_fills(spark, tmp_path):
     drop("c1", "two", "2", "3")
     assert run() == [("c1", "1", 2), ("c1", "2", 2), ("c1", "3", 1), ("c2", "1", 1)]
     assert run() == [("c1", "1", 2), ("c1", "2", 2), ("c1", "3", 1), ("c2", "1", 1)]
+
+
+def test_later_batches_read_no_old_dots(spark, tmp_path):
+    """The dots of a finished batch may be gone: totals come from counts."""
+    import shutil
+
+    land, store = tmp_path / "land", tmp_path / "store"
+
+    def drop(name, *codes):
+        folder = land / "P" / "c"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{name}_Dot Point Measurements.txt").write_text(HEAD + "Filename\tCode\n" + "".join(f"x\t{c}\n" for c in codes))
+
+    def run():
+        q = refresh_counts(
+            spark, str(land), str(store), str(tmp_path / "out"), lambda df: counts.tally(df, ["campaignid", "code"]),
+            checkpoint=str(tmp_path / "cp"), columns=["filename", "code"],
+        )
+        assert q.awaitTermination(120)
+        return bag(spark.read.parquet(str(tmp_path / "out")), "campaignid", "code", "count")
+
+    drop("one", "1", "2")
+    run()
+    shutil.rmtree(store / "batch=0")
+    drop("two", "2", "3")
+    assert run() == [("c", "1", 1), ("c", "2", 2), ("c", "3", 1)]
