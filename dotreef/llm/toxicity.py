@@ -27,8 +27,9 @@ from .common import per_document, stored, texts, tune
 
 #: Labelled rows that the lexicon and the logistic function are fitted on, at most: an even sample by hash of doc_id.
 SAMPLE = 40_000
-#: Entries of the learned lexicon, at most, and what an entry must show.
-ENTRIES, LEAST_DOCS, LEAST_ODDS = 5_000, 5, 3.0
+#: Entries of the learned lexicon, at most, and what an entry must show: log odds less one standard error, which are also its weight, and
+#: so many distinct toxic texts that among all entries seen only ``CHANCE`` would have them by chance.
+ENTRIES, LEAST_ODDS, CHANCE = 5_000, 2.5, 0.05
 STEMS = (4, 5, 6, 7, 8)
 
 # Words of the closed classes.
@@ -81,12 +82,11 @@ class Model:
     coefficients: tuple[float, ...] = (-20.0, 0.0, 0.0, 0.0)
 
     def weight(self, word: str) -> float:
-        if w := self.words.get(word):
-            return w
+        best = self.words.get(word, 0.0)
         for n in STEMS:
-            if len(word) >= n and (w := self.stems.get(word[:n])):
-                return w
-        return 0.0
+            if len(word) >= n and (w := self.stems.get(word[:n], 0.0)) > best:
+                best = w
+        return best
 
     def clause(self, words: Sequence[str], known: dict[str, float]) -> tuple[float, int]:
         """Weight and number of matches of one clause."""
@@ -106,18 +106,19 @@ class Model:
         return total + (threat if aimed and hits else 0.0), hits
 
     def features(self, text: str) -> tuple[float, float, float]:
-        """log of the summed clause weights, the heaviest clause, matches in a hundred words."""
+        """Logs of the summed clause weights, of the heaviest clause, and of the number of different matched words.
+
+        None depends on the length of the text: a few insults weigh the same in a long one.
+        """
         low = text.lower()
-        all_words = _WORD.findall(low)
-        known = {w: x for w in set(all_words) if (x := self.weight(w))}
+        known = {w: x for w in set(_WORD.findall(low)) if (x := self.weight(w))}
         if not known:
             return 0.0, 0.0, 0.0
         total = top = 0.0
-        hits = 0
         for clause in _CLAUSE.split(low):
-            weight, n = self.clause(_WORD.findall(clause), known)
-            total, top, hits = total + weight, max(top, weight), hits + n
-        return math.log1p(total), math.log1p(top), math.log1p(100 * hits / len(all_words))
+            weight, _ = self.clause(_WORD.findall(clause), known)
+            total, top = total + weight, max(top, weight)
+        return math.log1p(total), math.log1p(top), math.log1p(len(known))
 
     def score(self, text: str) -> float:
         z = self.coefficients[0] + sum(c * x for c, x in zip(self.coefficients[1:], self.features(text), strict=True))
@@ -172,7 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 seen = (Counter(), Counter())
         yield _table(seen)
 
-    counted = rows.select("text", "toxic").mapInPandas(count, "entry string, clean long, toxic long")
+    # Copies are one piece of evidence.
+    counted = rows.groupBy("text").agg(F.max("toxic").alias("toxic")).mapInPandas(count, "entry string, clean long, toxic long")
     counted = stored(counted.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "entries")
     whole = counted.where("entry = ''").first()
     model = Model()
@@ -183,7 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         model.coefficients = (30.0 if toxic else -30.0, 0.0, 0.0, 0.0)
         return model
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    best = counted.where((F.col("entry") != "") & (F.col("toxic") >= LEAST_DOCS)).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
+    least = max(5, math.ceil(math.log(counted.count() / CHANCE) / math.log((clean + toxic) / toxic)))
+    odds = odds - F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    best = counted.where((F.col("entry") != "") & (F.col("toxic") >= least)).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
     rows_best = best.orderBy(F.desc(F.col("toxic") * F.col("odds")), "entry").limit(ENTRIES).collect()
     for r in sorted(rows_best, key=lambda r: (len(r["entry"]), r["entry"])):
         entry, w = r["entry"], float(r["odds"])
@@ -198,10 +202,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def features(batch: list[str]) -> dict[str, Sequence]:
         made = [own.features(t) for t in batch]
-        return {n: [m[i] for m in made] for i, n in enumerate(("total", "top", "share"))}
+        return {n: [m[i] for m in made] for i, n in enumerate(("total", "top", "kinds"))}
 
-    table = per_document(rows, features, "total double, top double, share double", keys=("toxic",)).toPandas()  # at most ``sample`` rows
-    model.coefficients = _logistic(table[["total", "top", "share"]].to_numpy(), table["toxic"].to_numpy(float))
+    table = per_document(rows, features, "total double, top double, kinds double", keys=("toxic",)).toPandas()  # at most ``sample`` rows
+    model.coefficients = _logistic(table[["total", "top", "kinds"]].to_numpy(), table["toxic"].to_numpy(float))
     return model
 
 

@@ -36,7 +36,7 @@ def labels_of(spark, rows):
 
 
 def test_held_out_rows_teach_nothing(spark):
-    rows = [(i, f"some plain words {'grumbleface' if i % 2 else 'sunshine'} and more", "x") for i in range(400)]
+    rows = [(i, f"some plain words {'grumbleface' if i % 2 else 'sunshine'} and more {i}", "x") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     held = {i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0}
     honest = labels_of(spark, [(i, i % 2, None) for i in range(400)])
