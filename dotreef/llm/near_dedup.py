@@ -198,7 +198,9 @@ def _group(placed_docs: DataFrame, similarity: float, n_bands: int, rows: int) -
     known = classes.select("cid", "digest").join(parts.withColumnRenamed("node", "cid"), "cid", "left")
     known = known.select("digest", F.coalesce("component", "cid").alias("component"))
     rows_of = stored(signed.select("doc_id", "loc", "digest").join(known, "digest", "left").select("doc_id", "loc", "component"), "rows")
+    # A table of its own, so that the join below has two plain sides and a hot component is cut.
     stays = rows_of.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "loc")).alias("keep"), F.count("*").alias("group_size"))
+    stays = stored(stays, "stays")
     found = rows_of.where("component IS NOT NULL").join(stays, "component").select(
         "doc_id", F.col("keep.doc_id").alias("class_id"), "group_size", (F.col("keep.loc") == F.col("loc")).alias("kept"), "loc"
     )
