@@ -96,23 +96,26 @@ def encoder(path: str):
 
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
+#: Pieces alike in doc_id and start, as documents without an id are, are dealt over so many tasks.
+SPREAD = 4096
 
 
 def pieces(docs: DataFrame, path: str, end_id: int, window: int) -> DataFrame:
     """Every document's ids with the end id, cut into windows; ``ids`` are little-endian unsigned 32-bit numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path)
+        encode, n = encoder(path), 0
         for pdf in batches:
             rows = []
             for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 ids = np.array([*encode(text), end_id], "<u4")
                 for at in range(0, len(ids), window):
                     part = ids[at : at + window]
-                    rows.append((doc, at, len(part), len(ids), part.tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "ids"])
+                    rows.append((doc, at, len(part), len(ids), part.tobytes(), n % SPREAD))
+                    n += 1
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "ids", "nth"])
 
-    return with_id(texts(docs)).mapInPandas(run, PIECES)
+    return with_id(texts(docs)).mapInPandas(run, f"{PIECES}, nth int")
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = 2048, text_per_task: int = TEXT_PER_TASK) -> DataFrame:
@@ -132,5 +135,5 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = 2048, text_p
         for at in range(0, len(pdf), 1000):
             yield pdf.iloc[at : at + 1000]
 
-    dealt = pieces(docs, path, end_id, window).repartition(tasks, "doc_id", "start")
+    dealt = pieces(docs, path, end_id, window).repartition(tasks, "doc_id", "start", "nth").drop("nth")
     return without_id(dealt.mapInPandas(run, f"{PIECES}, sequence_id long, offset long"))
