@@ -4,8 +4,8 @@ Every window of ``length`` bytes chooses one position inside it, the one whose n
 at equal offsets wherever they stand. Only chosen positions are ranked (about one in fifty bytes). Ranks double: the name of
 ``half`` bytes at a position and the name of the next ``half`` make a pair, pairs are counted, and positions with a pair of their own drop
 out. The last step passes the threshold: survivors get the bytes of all windows that chose them. Equal ones among these settle all those
-windows at once; where they differ in part, each single window is named and counted. Names have 124 or 128 bits and stand
-for the bytes.
+windows at once; where they differ in part, each single window is named and counted. Contexts and single windows go by 128 bits, which
+stand for their bytes; the 64-bit names of halves only choose what is looked at.
 
 Texts are UTF-8 bytes, matches never cross texts. NULL is the empty text; a text shorter than ``length`` has no window. Repeated rows are
 texts that repeat each other, both are removed. Strings that overlap themselves count. Extra columns are not read. A long text
@@ -27,52 +27,37 @@ from .common import PLACE, located, stored, tune
 LENGTH = 400
 #: Windows of one segment of a text.
 SEGMENT = 1 << 19
-P = np.uint64((1 << 31) - 1)
-# Four bases below the prime and their inverses.
-BASES = (1_103_515_245 % ((1 << 31) - 1), 1_664_525_013, 214_013_271, 69_069_937)
+# Two odd multipliers; arithmetic is modulo 2 ** 64.
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _U = np.uint64
 _powers: dict[int, np.ndarray] = {}
 
 
-def _mod(x: np.ndarray) -> np.ndarray:
-    x = (x & P) + (x >> _U(31))
-    x = (x & P) + (x >> _U(31))
-    return np.where(x >= P, x - P, x)
-
-
 def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0 to base ** n modulo the prime."""
-    table = _powers.get(base, np.ones(1, _U))
-    while len(table) <= n:
-        step = _U(pow(base, len(table), int(P)))
-        table = np.concatenate([table, _mod(table * step)])
-    _powers[base] = table
+    """base ** 0 to base ** n."""
+    table = _powers.get(base)
+    if table is None or len(table) <= n:
+        size = 1 << (n + 1).bit_length()
+        table = np.cumprod(np.concatenate([np.ones(1, _U), np.full(size, base, _U)]), dtype=_U)
+        _powers[base] = table
     return table[: n + 1]
 
 
 class Names:
-    """62-bit names of substrings of ``data``: two polynomial hashes side by side."""
-
-    def __init__(self, data: np.ndarray, bases: tuple[int, int]):
-        self.sums, self.back = [], []
-        for base in bases:
-            powers = _power(base, len(data))
-            sums = np.zeros(len(data) + 1, _U)
-            np.cumsum(_mod((data.astype(_U) + _U(1)) * powers[:-1]), out=sums[1:])
-            self.sums.append(_mod(sums))
-            self.back.append(_power(pow(base, -1, int(P)), len(data)))
-
-    def at(self, starts: np.ndarray | slice, size: int) -> np.ndarray:
+    """64-bit names of substrings of ``data``: differences of one running sum, moved to a common place."""
+
+    def __init__(self, data: np.ndarray, base: int):
+        self.sums = np.zeros(len(data) + 1, _U)
+        np.cumsum((data.astype(_U) + _U(1)) * _power(base, len(data))[:-1], out=self.sums[1:])
+        self.back = _power(pow(base, -1, 1 << 64), len(data))
+
+    def at(self, starts: np.ndarray, size: int) -> np.ndarray:
         """Names of ``size`` bytes at the given starts."""
-        out = None
-        for sums, back in zip(self.sums, self.back, strict=True):
-            if isinstance(starts, slice):
-                ends = slice(starts.start + size, starts.stop + size)
-            else:
-                ends = starts + size
-            h = _mod(_mod(sums[ends] + P - sums[starts]) * back[starts])
-            out = h if out is None else (out << _U(31)) | h
-        return out
+        return (self.sums[starts + size] - self.sums[starts]) * self.back[starts]
+
+    def every(self, size: int) -> np.ndarray:
+        """Names of ``size`` bytes at every start."""
+        return (self.sums[size:] - self.sums[: len(self.sums) - size]) * self.back[: len(self.sums) - size]
 
 
 def _segments(n: int, length: int) -> Iterator[tuple[int, int]]:
@@ -83,9 +68,10 @@ def _segments(n: int, length: int) -> Iterator[tuple[int, int]]:
 
 def choose(data: np.ndarray, length: int, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Names]:
     """Chosen positions of one segment with the first and last window that chose each."""
-    names, windows = Names(data, BASES[:2]), len(data) - length + 1
+    names, windows = Names(data, BASES[0]), len(data) - length + 1
     span = length - 2 * half + 1
-    key = names.at(slice(0, len(data) - 2 * half + 1), 2 * half) * _U(0x9E3779B97F4A7C15)
+    key = names.every(2 * half)
+    key = (key ^ (key >> _U(29))) * _U(0xBF58476D1CE4E5B9)
     # The low bits hold the position: the leftmost of equal hashes is the least.
     key = (key >> _U(20) << _U(20)) | np.arange(len(key), dtype=_U)
     size = 1
@@ -144,39 +130,58 @@ def _joined(parts: list):
 
 def _windows(length: int):
     """Maps (file, row, text, spans) to one row per window of the spans: its name and place."""
+    names = ["file", "row", "at", "single", "one", "two"]
+    kinds = [_LONG, _LONG, _LONG, pa.bool_(), _LONG, _LONG]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["file", "row", "at", "single", "one", "two"]
-        kinds = [_LONG, _LONG, _LONG, pa.bool_(), _LONG, _LONG]
         for b in batches:
-            for file, row, text, spans in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                raw = np.frombuffer(text.encode(), np.uint8)
-                for s in spans:
-                    data = raw[s["low"] : s["high"] + length]
-                    n = s["high"] - s["low"] + 1
-                    made = [Names(data, pair).at(slice(0, n), length).view(np.int64) for pair in (BASES[:2], BASES[2:])]
-                    yield _arrow_rows(names, kinds, [np.full(n, file), np.full(n, row), np.arange(n) + s["low"], np.full(n, s["single"]), *made])
+            cols: list[list] = [[] for _ in names]
+            for i, (file, row, text) in enumerate(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)):
+                data = np.frombuffer(text.encode(), np.uint8)
+                code = np.sort(b.column(3)[i].values.to_numpy())
+                single, code = code & 1, code >> 1
+                low, n = code >> _WIDTH, (code & (1 << _WIDTH) - 1) + 1
+                at = np.repeat(low + n - np.cumsum(n), n) + np.arange(n.sum())
+                first = int(at[0])
+                data = data[first : int(at.max()) + length]  # nothing before or after is asked for
+                made = [Names(data, base).at(at - first, length).view(np.int64) for base in BASES]
+                for c, m in zip(cols, (np.full(len(at), file), np.full(len(at), row), at, np.repeat(single, n) == 1, *made), strict=True):
+                    c.append(m)
+                if sum(map(len, cols[0])) > 100_000:
+                    yield _arrow_rows(names, kinds, [_joined(c) for c in cols])
+                    cols = [[] for _ in names]
+            yield _arrow_rows(names, kinds, [_joined(c) for c in cols])
 
     return run, "file long, row long, at long, single boolean, one long, two long"
 
 
-def cut(raw: bytes, spans: list[tuple[int, int]], length: int) -> tuple[bytes, list[tuple[int, int]]]:
-    """The bytes that remain, and the maximal removed runs, for (first, last) repeated windows."""
-    runs: list[list[int]] = []
-    for low, high in sorted(spans):
-        if runs and low <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], high + length)
-        else:
-            runs.append([low, high + length])
+#: Bits for the number of windows of a span that follow its first one; a span is at most a segment.
+_WIDTH = 20
+
+
+def _span(low: str, high: str):
+    """A span of windows as one number."""
+    return F.shiftleft(F.col(low), _WIDTH) + F.col(high) - F.col(low)
+
+
+def cut(raw: bytes, spans: np.ndarray, length: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """The bytes that remain, and the maximal removed runs, for coded spans of repeated windows."""
+    if not len(spans):
+        return raw, []
+    spans = np.sort(spans)
+    low = spans >> _WIDTH
+    end = np.maximum.accumulate(low + (spans & (1 << _WIDTH) - 1) + length)
+    new = np.flatnonzero(np.concatenate([[True], low[1:] > end[:-1]]))
+    runs = list(zip(low[new].tolist(), end[np.concatenate([new[1:] - 1, [len(end) - 1]])].tolist(), strict=True))
     out, at = [], 0
     for a, b in runs:
         out.append(raw[at:a])
         at = b
-    return b"".join([*out, raw[at:]]), [(a, b) for a, b in runs]
+    return b"".join([*out, raw[at:]]), runs
 
 
 def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``file, row, spans`` of every located row with windows that occur anywhere else; spans are (low, high) window starts."""
+    """``file, row, spans`` of every located row with windows that occur anywhere else; a span is one number for the first window and how many follow."""
     tune(docs.sparkSession)
     half = 3 * length // 8
     source = docs.select(f"{PLACE}.file", f"{PLACE}.row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -194,14 +199,16 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     settled = hits.join(classes.where("n > 1").select("one", "two", "context"), ["one", "two", "context"]).select("file", "row", "low", "high")
 
     # Pairs with a context of their own: their windows are named one by one, one member standing for equal contexts.
-    partly = classes.groupBy("one", "two").agg(F.min("n").alias("least")).where("least = 1").select("one", "two")
+    partly = stored(classes.groupBy("one", "two").agg(F.min("n").alias("least")).where("least = 1").select("one", "two"), "partly")
     asked = classes.join(partly, ["one", "two"]).select("place.*", (F.col("n") == 1).alias("single"))
-    asked = asked.groupBy("file", "row").agg(F.collect_list(F.struct("low", "high", "single")).alias("spans"))
+    code = F.shiftleft(_span("low", "high"), 1) + F.col("single").cast("long")
+    asked = asked.groupBy("file", "row").agg(F.collect_list(code).alias("spans"))
     run, schema = _windows(length)
     windows = stored(long_enough.join(asked, ["file", "row"]).select("file", "row", "text", "spans").mapInArrow(run, schema), "windows")
     twice = windows.groupBy("one", "two").agg(F.count("*").alias("n"), F.max("single").alias("any")).where("n > 1 AND any").select("one", "two")
+    twice = stored(twice, "twice")  # its own table: the join's sides are then plain exchanges, and hot names are cut
     late = windows.where("single").join(twice, ["one", "two"]).select("file", "row", F.col("at").alias("low"), F.col("at").alias("high"))
-    return settled.unionByName(late).groupBy("file", "row").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    return settled.unionByName(late).groupBy("file", "row").agg(F.collect_list(_span("low", "high")).alias("spans"))
 
 
 def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -224,9 +231,9 @@ def _removed(docs: DataFrame, length: int, column: str, of) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for text, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for text, found in zip(b.column(1).to_pylist(), b.column(2), strict=True):
                 raw = text.encode()
-                rest, runs = cut(raw, [(s["low"], s["high"]) for s in found or ()], length)
+                rest, runs = cut(raw, found.values.to_numpy() if found.is_valid else (), length)
                 out.append((len(raw), len(raw) - len(rest), [{"start": a, "end": e} for a, e in runs], of(rest)))
             kinds = [_LONG, _LONG, pa.list_(pa.struct([("start", _LONG), ("end", _LONG)])), _BIN if kind == "binary" else pa.string()]
             cols = [pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)]
