@@ -1,4 +1,4 @@
-from .nulls import coalesce_from, if_else_na, in_set, not_in_set, try_number
+from .nulls import if_else_na, in_set, not_in_set, try_number
 from .samples import sample_expr
 from .text import (
     detect,
@@ -14,7 +14,6 @@ from .text import (
 )
 
 __all__ = [
-    "coalesce_from",
     "detect",
     "extract_first",
     "first_token",

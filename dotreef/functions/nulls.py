@@ -45,8 +45,3 @@ def try_number(c: str | Column, kind: str = "bigint") -> Column:
         whole = F.when(as_double == F.floor(as_double), as_double.try_cast("bigint"))
         return F.coalesce(plain, whole)
     return c.try_cast(kind)
-
-
-def coalesce_from(c: str, suffix: str) -> Column:
-    """Prefer the looked-up twin ``<c><suffix>``, fall back on the row's own value."""
-    return F.coalesce(F.col(c + suffix), F.col(c))

@@ -22,12 +22,6 @@ _S, _D, _L = T.StringType(), T.DoubleType(), T.LongType()
 
 CLASSIFICATION = _struct(caab_code=_L, **{c: _S for c in LABELS})
 
-POINTS = _struct(
-    campaignid=_S, filename=_S, opcode=_S, period=_S, image_row=_S, image_col=_S,
-    broad=_S, morphology=_S, type=_S, relief=_S, code=_S, scientific=_S, qualifiers=_S,
-    level_2=_S, level_3=_S, level_4=_S, level_5=_S,
-)
-
 METADATA = _struct(
     project=_S, campaignid=_S, sample=_S, latitude_dd=_D, longitude_dd=_D, date=_S, time=_S,
     date_time=T.TimestampType(), location=_S, status=_S, site=_S, depth_m=_D, observer=_S,
