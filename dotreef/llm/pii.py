@@ -5,7 +5,7 @@ ASCII, invisible characters vanish, ``(at)``, ``[dot]``, `` at `` and `` dot ``
 hands on where every character came from, so a span of the normalised text is mapped back to code points of the source.
 
 NULL and empty text: no spans. Repeated rows are searched on their own, other columns are not read. The search is linear in
-the text for any text. Overlaps within a kind go to the plain form, then to the one that starts first.
+the text for any text. A disguised span that cuts into a plain one of its kind is left out; one that holds it whole is given beside it.
 """
 
 from __future__ import annotations
@@ -84,6 +84,9 @@ LOOKALIKES = dict(zip("асеорхуіјѕԁһќтвнкмАСЕОРХУІЈЅ
 # Digits in words.
 SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
+# Ends of host names that are no common words of running text.
+ENDINGS = frozenset("com org net edu gov mil info biz io dev app ai eu uk de fr es ch nl se pl ru cn jp br au ca us".split())
+
 _FULL_WIDTH = {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
 _OTHER_DIGITS = {chr(c): str(unicodedata.digit(chr(c))) for c in range(0x80, 0x10000) if unicodedata.category(chr(c)) == "Nd"}
 _INVISIBLE = "­​‌‍‎‏⁠﻿"
@@ -147,8 +150,8 @@ def disguised_signs(m: Mapped) -> Mapped:
     for whole in _DISGUISED.finditer(m.text):
         parts = list(_BETWEEN.finditer(m.text, whole.start(), whole.end()))
         spaced = [p for p in parts if p[1] and not re.search(r"[\[({<@]", p[0])]
-        # A bare " at " is an ordinary word: it counts only beside a disguised or real dot that leaves no plain reading.
-        if spaced and not any(p[2] for p in parts):
+        # A bare " at " is an ordinary word: it counts only beside a disguised dot and before a known ending.
+        if spaced and not (any(p[2] for p in parts) and re.search(r"[A-Za-z]+$", whole[0])[0].lower() in ENDINGS):
             continue
         edits += [(p.start(), p.end(), "@" if p[1] else ".") for p in parts]
     for whole in _DISGUISED_IP.finditer(m.text):
@@ -196,14 +199,14 @@ def disguised(text: str) -> list[tuple[int, int, str]]:
 
 
 def find(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """Plain spans, and all spans: those and the disguised ones that touch none of the same kind."""
+    """Plain spans, and all spans: those and the disguised ones that touch none of the same kind or hold it whole."""
     base = plain(text)
     more = disguised(text)
     if not more:
         return base, base
     taken = {k: [(a, b) for a, b, kind in base if kind == k] for k in KINDS}
     for a, b, kind in more:
-        if all(b <= x or y <= a for x, y in taken[kind]):
+        if all(b <= x or y <= a or (a <= x and y <= b and (a, b) != (x, y)) for x, y in taken[kind]):
             taken[kind].append((a, b))
     every = [(a, b, k) for k in KINDS for a, b in taken[k]]
     return base, sorted(every, key=lambda s: (s[0], KINDS.index(s[2])))
