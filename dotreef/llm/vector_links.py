@@ -143,7 +143,7 @@ def link(vectors: DataFrame, threshold: float = 0.93, trees: int = 6, margin: fl
     parts = components(found.select("a", "b")).withColumnRenamed("node", "cid")
     known = classes.select("cid", "vec_id", "n", "label", "embedding").join(links, "cid", "left").join(parts, "cid", "left")
     known = stored(known.withColumn("component", F.coalesce("component", "cid")), "known")
-    names = known.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    names = stored(known.groupBy("component").agg(F.min("vec_id").alias("component_id")), "names")
     known = known.join(names, "component").select(
         "label", "embedding", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
     )
