@@ -1,12 +1,13 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 A lexical transducer turns words into classes (insult, threat, target, negation, reported speech) with weights; insults and their stems are
-learned from labelled rows. Small transducers for target, negation and reported speech are composed into one grammar that multiplies the weight of
-an insult or threat by what stands around it in its clause. A document's features are sums over its matched clauses; a logistic
-function fitted on the same rows makes a score of them.
+learned from labelled rows. Small transducers for target, threat, negation and reported speech are composed into one grammar that multiplies the
+weight of an insult or threat by what stands around it in its clause. A document's features are sums over its matched clauses, and its heaviest
+aimed threat, which needs no learned word; a logistic function fitted on the same rows makes a score of them. The weight of threats has a prior that holds
+where no labelled row has a threat.
 
 NULL and empty text match nothing and score the base rate. Repeated rows score alike; only ``text`` enters a score. Without labelled rows of
-both kinds the lexicon is empty and every score is the share of toxic rows, or 0 without any.
+both kinds the lexicon is empty and every score without an aimed threat is the share of toxic rows, or 0 without any.
 """
 
 from __future__ import annotations
@@ -44,9 +45,13 @@ _WORD = re.compile(r"[^\W_]+")
 # Each transducer: (state, class) -> (next state, factor). A class without an arc keeps the state at factor 1.
 Arcs = dict[tuple[str, str], tuple[str, float]]
 TARGET: Arcs = {
-    ("none", "target"): ("aimed", 1.0), ("aimed", "insult"): ("aimed", 1.5), ("aimed", "threat"): ("aimed", 1.5),
+    ("none", "target"): ("aimed", 1.0), ("aimed", "insult"): ("aimed", 1.5),
     ("none", "insult"): ("pending", 1.0), ("pending", "target"): ("aimed", 1.0),
 }
+#: Accepts in "made": a threat and a target in one clause, in either order.
+THREAT: Arcs = {
+    ("none", "threat"): ("open", 1.0), ("open", "target"): ("made", 1.0), ("none", "target"): ("aimed", 1.0), ("aimed", "threat"): ("made", 1.0),
+}
 NEGATION: Arcs = {
     **{(s, "negation"): ("no3", 1.0) for s in ("none", "no3", "no2", "no1")},
     **{(s, c): (s, 0.5) for s in ("no3", "no2", "no1") for c in ("insult", "threat")},
@@ -69,10 +74,18 @@ def compose(*machines: Arcs) -> dict[tuple[tuple[str, ...], str], tuple[tuple[st
     return out
 
 
-GRAMMAR = compose(TARGET, NEGATION, REPORT)
-START = ("none", "none", "none")
+GRAMMAR = compose(TARGET, THREAT, NEGATION, REPORT)
+START = ("none", "none", "none", "none")
 #: A threat counts only where a target stands in its clause; an unlearned threat word has this weight.
 THREAT_WEIGHT = 1.0
+#: Prior: log odds of a text whose only match is one aimed threat, neither negated nor reported, and the precision with which labelled
+#: rows that have threats meet it.
+THREAT_ODDS, THREAT_PRECISION = 2.0, 0.25
+
+
+def threat_prior(base: float) -> float:
+    """Coefficient of the threat feature that gives a lone threat its prior log odds over the intercept ``base``."""
+    return max(0.0, THREAT_ODDS - base) / math.log1p(THREAT_WEIGHT)
 
 
 @dataclass
@@ -80,6 +93,12 @@ class Model:
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
     coefficients: tuple[float, ...] = (-20.0, 0.0, 0.0, 0.0)
+    #: Coefficient of the heaviest aimed threat; the prior one if not given.
+    threat: float | None = None
+
+    def __post_init__(self) -> None:
+        if self.threat is None:
+            self.threat = threat_prior(self.coefficients[0])
 
     def weight(self, word: str) -> float:
         best = self.words.get(word, 0.0)
@@ -88,9 +107,12 @@ class Model:
                 best = w
         return best
 
-    def clause(self, words: Sequence[str], known: dict[str, float]) -> tuple[float, int]:
-        """Weight and number of matches of one clause."""
-        state, total, hits, threat, aimed = START, 0.0, 0, 0.0, False
+    def clause(self, words: Sequence[str], known: dict[str, float]) -> tuple[float, int, float]:
+        """Weight and number of matches of one clause, and its heaviest threat, 0 if aimed at nobody.
+
+        Threats beside a learned word add to the weight; alone they are no match.
+        """
+        state, total, hits, threats, worst = START, 0.0, 0, 0.0, 0.0
         for w in words:
             own = known.get(w, 0.0)
             kind = (
@@ -98,30 +120,32 @@ class Model:
                 else "negation" if w in NEGATIONS else "report" if w in REPORTS else "other"
             )
             state, factor = GRAMMAR[state, kind]
-            aimed |= kind == "target"
             if own:
                 total, hits = total + own * factor, hits + 1
             elif kind == "threat":
-                threat += THREAT_WEIGHT * factor
-        return total + (threat if aimed and hits else 0.0), hits
+                threats, worst = threats + THREAT_WEIGHT * factor, max(worst, THREAT_WEIGHT * factor)
+        if state[1] != "made":
+            threats = worst = 0.0
+        return total + (threats if hits else 0.0), hits, worst
 
-    def features(self, text: str) -> tuple[float, float, float]:
-        """Logs of the summed clause weights, of the heaviest clause, and of the number of different matched words.
+    def features(self, text: str) -> tuple[float, float, float, float]:
+        """Logs of the summed clause weights, of the heaviest clause, of the number of different matched words, and of the heaviest aimed threat.
 
         None depends on the length of the text: a few insults weigh the same in a long one.
         """
         low = text.lower()
-        known = {w: x for w in set(_WORD.findall(low)) if (x := self.weight(w))}
-        if not known:
-            return 0.0, 0.0, 0.0
-        total = top = 0.0
+        words = set(_WORD.findall(low))
+        known = {w: x for w in words if (x := self.weight(w))}
+        if not known and words.isdisjoint(THREATS):
+            return 0.0, 0.0, 0.0, 0.0
+        total = top = worst = 0.0
         for clause in _CLAUSE.split(low):
-            weight, _ = self.clause(_WORD.findall(clause), known)
-            total, top = total + weight, max(top, weight)
-        return math.log1p(total), math.log1p(top), math.log1p(len(known))
+            weight, _, threat = self.clause(_WORD.findall(clause), known)
+            total, top, worst = total + weight, max(top, weight), max(worst, threat)
+        return math.log1p(total), math.log1p(top), math.log1p(len(known)), math.log1p(worst)
 
     def score(self, text: str) -> float:
-        z = self.coefficients[0] + sum(c * x for c, x in zip(self.coefficients[1:], self.features(text), strict=True))
+        z = self.coefficients[0] + sum(c * x for c, x in zip((*self.coefficients[1:], self.threat), self.features(text), strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
@@ -138,14 +162,15 @@ def _entries(words: set[str]) -> set[str]:
     return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float | Sequence[float] = 1e-2, prior: Sequence[float] | None = None) -> tuple[float, ...]:
+    """Intercept and coefficients; ``ridge`` pulls each coefficient towards its ``prior`` (0 if not given)."""
     x = np.column_stack([np.ones(len(x)), x])
-    b = np.zeros(x.shape[1])
-    penalty = ridge * np.eye(len(b))
-    penalty[0, 0] = 1e-6
+    centre = np.array([0.0, *(prior or [0.0] * (x.shape[1] - 1))])
+    b = centre.copy()
+    penalty = np.diag([1e-6, *np.broadcast_to(ridge, len(b) - 1)])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (y - p) - penalty @ b)
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (y - p) - penalty @ (b - centre))
         b += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-6:
             break
@@ -182,8 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return model
     clean, toxic = whole["clean"], whole["toxic"]
     if not clean or not toxic:
-        model.coefficients = (30.0 if toxic else -30.0, 0.0, 0.0, 0.0)
-        return model
+        return Model(coefficients=(30.0 if toxic else -30.0, 0.0, 0.0, 0.0))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     least = max(5, math.ceil(math.log(counted.count() / CHANCE) / math.log((clean + toxic) / toxic)))
     odds = odds - F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
@@ -202,11 +226,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def features(batch: list[str]) -> dict[str, Sequence]:
         made = [own.features(t) for t in batch]
-        return {n: [m[i] for m in made] for i, n in enumerate(("total", "top", "kinds"))}
-
-    table = per_document(rows, features, "total double, top double, kinds double", keys=("toxic",)).toPandas()  # at most ``sample`` rows
-    model.coefficients = _logistic(table[["total", "top", "kinds"]].to_numpy(), table["toxic"].to_numpy(float))
-    return model
+        return {n: [m[i] for m in made] for i, n in enumerate(("total", "top", "kinds", "threat"))}
+
+    schema = "total double, top double, kinds double, threat double"
+    table = per_document(rows, features, schema, keys=("toxic",)).toPandas()  # at most ``sample`` rows
+    x, y = table[["total", "top", "kinds", "threat"]].to_numpy(), table["toxic"].to_numpy(float)
+    learned = _logistic(x[:, :3], y)
+    prior = threat_prior(learned[0])
+    if x[:, 3].any():
+        *learned, prior = _logistic(x, y, (1e-2, 1e-2, 1e-2, THREAT_PRECISION), (0.0, 0.0, 0.0, prior))
+    return Model(model.words, model.stems, tuple(learned), prior)
 
 
 def _table(seen: tuple[Counter, Counter]) -> pd.DataFrame:

@@ -122,3 +122,23 @@ def test_registered_operators(spark, name):
 
 def test_pipeline_is_registered():
     assert "pipeline" in entry.queries()
+
+
+def test_aimed_threat_needs_no_learned_word(spark):
+    rows = [(i, f"some plain words {'grumbleface' if i % 8 == 0 else 'sunshine'} and more {i}", "x") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    model = toxicity.fit(docs, labels_of(spark, [(i, int(i % 8 == 0), None) for i in range(800)]))
+    aimed = ["I will kill you", "some plain words. Ich werde dich töten", "te voy a matar", "plain words " * 500 + "; we will hurt you"]
+    plain = ["kill the process", "I will not kill you", "it may beat. All of you know", "he wrote I will kill you", "you are welcome", "", "some plain words"]
+    for m in (model, toxicity.Model(), toxicity.Model(coefficients=(-30.0, 0.0, 0.0, 0.0))):
+        assert all(m.score(t) >= 0.5 for t in aimed)
+        assert all(m.score(t) < 0.5 for t in plain)
+    more = spark.createDataFrame([(1, aimed[0], "a"), (2, plain[0], "b")], docs.schema)
+    assert [r["doc_id"] for r in toxicity.clean_rows(more, model).collect()] == [2]
+
+
+def test_labelled_threats_move_the_prior(spark):
+    texts = lambda i: f"{'grumbleface' if i % 8 == 0 else 'we will beat you' if i % 2 else 'sunshine'} and more {i}"
+    docs = spark.createDataFrame([(i, texts(i), "x") for i in range(800)], "doc_id long, text string, source string")
+    model = toxicity.fit(docs, labels_of(spark, [(i, int(i % 8 == 0), None) for i in range(800)]))
+    assert model.score("we will beat you") < 0.5 < model.score("grumbleface")
