@@ -229,7 +229,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return {n: [m[i] for m in made] for i, n in enumerate(("total", "top", "kinds", "threat"))}
 
     schema = "total double, top double, kinds double, threat double"
-    table = per_document(rows, features, schema, keys=("toxic",)).toPandas()  # at most ``sample`` rows
+    # Rows of one doc_id count as one document with their mean features: at most one row for each sampled label.
+    made = per_document(rows, features, schema, keys=("doc_id", "toxic")).groupBy("doc_id", "toxic")
+    table = made.agg(*[F.avg(c).alias(c) for c in ("total", "top", "kinds", "threat")]).orderBy("doc_id").toPandas()
     x, y = table[["total", "top", "kinds", "threat"]].to_numpy(), table["toxic"].to_numpy(float)
     learned = _logistic(x[:, :3], y)
     prior = threat_prior(learned[0])

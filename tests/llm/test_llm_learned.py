@@ -142,3 +142,14 @@ def test_labelled_threats_move_the_prior(spark):
     docs = spark.createDataFrame([(i, texts(i), "x") for i in range(800)], "doc_id long, text string, source string")
     model = toxicity.fit(docs, labels_of(spark, [(i, int(i % 8 == 0), None) for i in range(800)]))
     assert model.score("we will beat you") < 0.5 < model.score("grumbleface")
+
+
+def test_rows_of_one_document_weigh_one(spark, monkeypatch):
+    rows = [(i, f"some plain words {'grumbleface' if i % 2 else 'sunshine'} and more {i}", "x") for i in range(400)]
+    hot = [(2, f"some plain words sunshine and again {k}", "x") for k in range(600)]
+    docs = spark.createDataFrame(rows + hot, "doc_id long, text string, source string")
+    labels = labels_of(spark, [(i, i % 2, None) for i in range(400)])
+    fitted, own = [], toxicity._logistic
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y, *more: fitted.append(len(x)) or own(x, y, *more))
+    toxicity.fit(docs, labels)
+    assert fitted == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(400))]
