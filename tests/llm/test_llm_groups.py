@@ -55,6 +55,19 @@ def test_packing_round_trip(spark):
     assert packing.pack(EMPTY(spark), RANKS).count() == 0
 
 
+def test_packing_gives_added_tokens_their_ids(spark):
+    end, rng = "<|endoftext|>", random.Random(6)
+    texts = [end, f"a  {end}  b", end * 3, f"x{end}y", end[:-1], f"it'{end}s"]
+    texts += ["".join(rng.choices([end, "<|", "|>", " ", "  ", "\n", "ab", "'s", "é", "12", "漢"], k=rng.randint(1, 30))) for _ in range(300)]
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert want[0] == [50256]
+    for path in (RANKS, P.path("byte_bpe_50k.json")):
+        assert [packing.encoder(path)(x) for x in texts] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_packing(packing.pack(docs, RANKS, window=64).collect(), Counter((*ids, 1) for ids in want), 64)
+
+
 def test_packing_leaves_little_room(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = packing.pack(docs, RANKS).select("sequence_id", "length").groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
