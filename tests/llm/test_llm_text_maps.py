@@ -168,3 +168,20 @@ def test_personal_data_frames(spark):
     assert {r["text"] for r in out.where("doc_id = 4").collect()} == {"mail <email> from <ip>"}
     assert out.where("text IS NULL").count() == docs.where("text IS NULL").count()
     assert pii.redact(EMPTY(spark)).count() == pii.detect(EMPTY(spark)).count() == 0
+
+
+@pytest.mark.parametrize("host", [f"firma dot {e}" for e in "dk fi cz kr mx ie tv co online com".split()] + ["firma dot it.", "firma dot at", "firma dot me, please"])
+def test_bare_at_before_any_ending(host):
+    text = f"write to anna at {host}"
+    part = text[len("write to ") :].removesuffix(", please").removesuffix(".")
+    assert (9, 9 + len(part), "email") in pii.find(text)[1]
+
+
+def test_names_and_hosts_of_many_parts():
+    for text in ("a.b.c.d.e.f [at] host [dot] com", "x" * 90 + " [at] host [dot] com", "a dot b dot c dot d dot e dot f dot g (at) h.i.j.k.l.m.n.o dot org"):
+        assert pii.find("to " + text + " now")[1] == [(3, 3 + len(text), "email")]
+    for text in ("look at that dot in the corner", "look at the dot me and you", "we met at noon dot it was late", "at red dot design museum"):
+        assert pii.find(text)[1] == []
+    for text in ("a dot " * 50_000, "x at a dot " + "at dot " * 50_000, " " * 200_000 + "(at) dot x", "a." * 100_000 + " [at] x [dot] com", "a at b dot c" * 2_000,
+                 "a [at] " + "b dot " * 50_000 + "1", "[at]" + "a@" * 50_000):
+        pii.find(text)
