@@ -51,8 +51,47 @@ TEMPLATES = (
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("proprietary", "all rights reserved no part of this publication may be reproduced without permission"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+            "merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable"),
+    ("apache-2", "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive "
+                 "no charge royalty free irrevocable copyright license to reproduce prepare derivative works of"),
+    ("gpl-2", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
+              "published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl-2", "this work is licensed under the gnu general public license version 2"),
+    *((f"gpl-{n}", f"this program is free software you can redistribute it and or modify it under the terms of {name} as published by the free "
+                   "software foundation")
+      for n in (2, 3) for name in (f"version {n} of the gnu general public license", f"the gnu general public license version {n}")),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu library general public license"),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license version 2 0"),
+    ("agpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license "
+               "as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
+    *((f"cc-{kind}", f"this work is licensed under a creative commons {name} {version} license")
+      for kind, name in (("by", "attribution"), ("by-sa", "attribution sharealike"), ("by-nc", "attribution noncommercial"),
+                         ("by-nd", "attribution noderivatives"), ("by-nc-sa", "attribution noncommercial sharealike"),
+                         ("by-nc-nd", "attribution noncommercial noderivatives"))
+      for version in ("2 0 generic", "2 5 generic", "3 0 unported", "4 0 international")),
 )
 
+#: Words that tell sibling licences apart: a template that has such a run counts only where one match holds it whole.
+DISTINCT = tuple(
+    x.split() for x in ("version 2", "version 3", "gnu general public", "gnu affero general public", "gnu lesser general public", "gnu library general public",
+                                "mozilla public license version 2 0", "mozilla public license v 2 0",
+                        "eclipse public license 2 0")
+)
+
+
+def distinct_places(template: str) -> list[tuple[int, int]]:
+    """Word ranges of a template that tell it from its siblings."""
+    own = template.split()
+    out = [(i, i + len(d)) for d in DISTINCT for i in range(len(own)) if own[i : i + len(d)] == d]
+    if "commons" in own:  # kind and version together
+        at = own.index("commons")
+        out.append((at, next(i for i in range(at, len(own)) if own[i].isdigit()) + 2))
+    return out
+
+
 #: A-Z lower-cased; every other byte that is no digit, letter or part of a longer character separates words.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -81,6 +120,7 @@ class Automaton:
         self.sizes = []
         for k, (_, text) in enumerate(templates):
             self.sizes.append(self._add(words(text), k))
+        self.distinct = [distinct_places(text) for _, text in templates]
         for _, text in phrases:
             self._add(words(text), None)
         # A state's places are also those of the shorter suffixes it links to.
@@ -181,18 +221,19 @@ class Scanner:
                 by.setdefault(template, []).append((start, end - size, size))
         spans = []
         for template, parts in by.items():
-            open_chains: list[list[int]] = []  # text start, text end, template end, words
+            open_chains: list[list] = []  # text start, text end, template end, words, template ranges
             done = []
             for start, place, size in sorted(parts):
                 done += [c for c in open_chains if c[1] + self.gap < start]
                 open_chains = [c for c in open_chains if c[1] + self.gap >= start]
                 fit = max((c for c in open_chains if c[1] <= start and c[2] <= place), key=lambda c: c[3], default=None)
                 if fit:
-                    fit[1:] = [start + size, place + size, fit[3] + size]
+                    fit[1:] = [start + size, place + size, fit[3] + size, [*fit[4], (place, place + size)]]
                 else:
-                    open_chains.append([start, start + size, place + size, size])
-            for a, b, _, n in done + open_chains:
-                if n >= self.coverage * self.automaton.sizes[template]:
+                    open_chains.append([start, start + size, place + size, size, [(place, place + size)]])
+            for a, b, _, n, ranges in done + open_chains:
+                held = all(any(x <= i and j <= y for x, y in ranges) for i, j in self.automaton.distinct[template])
+                if held and n >= self.coverage * self.automaton.sizes[template]:
                     spans.append(Span(self.automaton.labels[template], a, b, n / self.automaton.sizes[template]))
         return sorted(spans, key=lambda s: (s.start, s.end, s.label))
 

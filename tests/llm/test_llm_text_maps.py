@@ -185,3 +185,17 @@ def test_names_and_hosts_of_many_parts():
     for text in ("a dot " * 50_000, "x at a dot " + "at dot " * 50_000, " " * 200_000 + "(at) dot x", "a." * 100_000 + " [at] x [dot] com", "a at b dot c" * 2_000,
                  "a [at] " + "b dot " * 50_000 + "1", "[at]" + "a@" * 50_000):
         pii.find(text)
+
+
+@pytest.mark.parametrize(("text", "labels"), [
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+     "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", {"gpl-2"}),
+    ("this work is licensed under the gnu general public license version 2", {"gpl-2"}),
+    ("this work is licensed under the gnu general public license version 4", set()),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License", {"cc-by-sa"}),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", {"cc-by-nc"}),
+    ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+     "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.", {"mit"}),
+])
+def test_sibling_licences_are_told_apart(text, labels):
+    assert {s.label for s in licences.scanner().scan("x y " + text + " z")[2]} == labels
