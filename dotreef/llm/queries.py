@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, licences, near_dedup, packing, pii, repeats, sharding, toxicity, vector_links
+from . import bpe, exact_dedup, filter_audit, licences, near_dedup, packing, pii, repeats, sharding, toxicity, vector_links
 from .common import documents
 
 
@@ -62,6 +62,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_licences": op2_licences,
@@ -73,8 +77,35 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
 }
+
+_LETTERS = "ABCDE"
+_FAILS = ", ".join(f"CASE WHEN f.{x} THEN strpos(o.filter_order, '{x}') ELSE 6 END" for x in _LETTERS)
+_FAILED_HERE = " OR ".join(f"(f.{x} AND s.letter = '{x}')" for x in _LETTERS)
+_ALONE = " OR ".join(f"(s.letter = '{x}' AND {' AND '.join(('f.' if x == y else 'NOT f.') + y for y in _LETTERS)})" for x in _LETTERS)
 SQL: dict[str, str] = {
+    "op11_filter_audit": rf"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS E FROM d),
+        m AS (SELECT part, len(words) < 100 AS A, 100 * len(list_distinct(words)) < 80 * len(words) AS B,
+            100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) AS C, regexp_matches(t, '[#$%&*|]') AS D, E,
+            EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND quality = 1) AS good,
+            EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND toxic = 1) AS toxic FROM w),
+        f AS (SELECT part, A, B, C, D, E, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY ALL),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+        o AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM x a, x b, x c, x d, x e
+          WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+        s AS (SELECT filter_order, i AS step, substr(filter_order, i, 1) AS letter FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS i)),
+        r AS (SELECT part, filter_order, step, letter, CAST(sum(n) FILTER (gone > step) AS BIGINT) AS kept,
+            coalesce(sum(n) FILTER (gone = step), 0) AS removed, coalesce(sum(n) FILTER (gone < step AND failed), 0) AS redundant,
+            coalesce(sum(n) FILTER (alone), 0) AS unique_fails, coalesce(sum(good) FILTER (gone = step), 0) AS good_lost,
+            coalesce(sum(toxic) FILTER (gone = step), 0) AS toxic_lost
+          FROM (SELECT f.part, f.n, f.good, f.toxic, s.filter_order, s.step, s.letter, least({_FAILS}) AS gone, {_FAILED_HERE} AS failed, {_ALONE} AS alone
+            FROM f, s, o WHERE o.filter_order = s.filter_order) GROUP BY ALL)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, coalesce(kept, 0) AS kept, CAST(removed AS BIGINT) AS removed,
+          CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+          CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM r""",
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
