@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, filter_audit, licences, near_dedup, packing, pii, repeats, sharding, toxicity, vector_links
+from . import bpe, context_mixing, exact_dedup, filter_audit, licences, near_dedup, packing, pii, repeats, sharding, source_divergence, toxicity, vector_links
 from .common import documents
 
 
@@ -66,6 +66,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(documents(spark, sf_dir))
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_licences": op2_licences,
@@ -78,6 +86,8 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 
 _LETTERS = "ABCDE"
@@ -110,4 +120,23 @@ SQL: dict[str, str] = {
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op12_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT id, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        kept AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+        c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        v AS (SELECT lang, count(*) AS kinds FROM kept GROUP BY ALL),
+        g AS (SELECT lang, source, coalesce(any_value(kinds), 0) AS kinds, CAST(coalesce(sum(c.n), 0) AS HUGEINT) AS total
+          FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) LEFT JOIN v USING (lang) GROUP BY ALL),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (total + 5 * kinds) AS p
+          FROM g JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        l AS (SELECT lang, sum(total) AS total, any_value(kinds) AS kinds FROM g GROUP BY ALL),
+        q AS (SELECT c.lang, c.term, 1 + (1000000000 * (sum(c.n) + 5)) // (any_value(l.total) + 5 * any_value(l.kinds)) AS q FROM c JOIN l USING (lang) GROUP BY ALL),
+        f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+          UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50""",
 }
