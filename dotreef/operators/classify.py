@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions.nulls import if_else_na, in_set, not_in_set
 from ..functions.text import separate
-from ..plans import fixed
 from ..schemas import CODE, LABELS, LEVELS, TAXONOMY
 from .columns import ensure_cols
-from .counts import MULT, UNSCORABLE, first_by, from_literal, label_counts, multiplicity, scorable, tally, wide_to_long
+from .counts import FOLDED, MULT, UNSCORABLE, first_by, from_literal, keep, label_counts, multiplicity, scorable, tally, wide_to_long
 from .joins import lookup, semi_on
 
 
@@ -85,6 +85,35 @@ def repair_codes(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn(CODE, repaired(rules))
 
 
+RULE_TABLE = "campaignid string, priority int, column string, value string, code bigint, only_if_null boolean"
+
+
+def rule_table(spark: SparkSession, rules: Mapping[str, Sequence[Rule]]) -> DataFrame:
+    """The rules of each campaign as rows; the first one has the lowest priority number."""
+    rows = [
+        (campaignid, i, r.column, None if v is None else str(v), r.code, r.only_if_null)
+        for campaignid, own in rules.items() for i, r in enumerate(own) for v in r.values
+    ]
+    return spark.createDataFrame(rows, RULE_TABLE)
+
+
+def repair_by_table(df: DataFrame, rules: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``repair_codes`` with rules as rows (``RULE_TABLE``), for any number of campaigns and rules in a plan of one size.
+
+    Rules look at ``columns`` and the code. They are joined to the distinct classes of each campaign, not to dots; of those that hit, a folded minimum keeps the
+    first.
+    """
+    keys = ["campaignid", *columns, CODE]
+    seen = df.select(*keys) if FOLDED not in df.columns else df.filter(F.col(FOLDED) > 0).select(*keys, FOLDED)
+    seen = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("__seen")).filter("__seen > 0").drop("__seen")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in [*columns, CODE]])
+    hits = lookup(seen.select(*keys, F.inline(cells)), rules, ["campaignid", "column", "value"], "inner")
+    hits = hits.filter(~F.col("only_if_null") | F.col(CODE).isNull())
+    first = hits.groupBy(*keys).agg(F.min(F.struct("priority", "code"))["code"].alias("__fixed"))
+    out = lookup(df, first, keys)
+    return out.withColumn(CODE, F.coalesce("__fixed", CODE)).drop("__fixed")
+
+
 # --- labels --------------------------------------------------------------------------------
 
 
@@ -181,8 +210,8 @@ def relief_digit(df: DataFrame, position: int, text: str = "relief", drop: str |
 
     ``n`` is what an "Unknown" sentence leaves at position 2.
     """
-    out = df.filter(F.col(text).isNotNull()).withColumn("level_5", F.substring(text, position, 1))
-    return out if drop is None else out.filter(not_in_set("level_5", [drop]))
+    out = keep(df, F.col(text).isNotNull()).withColumn("level_5", F.substring(text, position, 1))
+    return out if drop is None else keep(out, not_in_set("level_5", [drop]))
 
 
 # --- counting by vocabulary ------------------------------------------------------------------
@@ -203,7 +232,7 @@ def native_counts(points: DataFrame, by: Sequence[str], constants: dict[str, str
                   name: str = "count") -> DataFrame:
     """The export already carries standard labels and code: nothing to look up."""
     out = points.withColumns({c: F.lit(v) for c, v in (constants or {}).items()})
-    out = out.filter(not_in_set(drop_on, drop))
+    out = keep(out, not_in_set(drop_on, drop))
     return tally(out, [*by, *[c for c in labels if c in out.columns], CODE], name=name)
 
 
@@ -229,13 +258,14 @@ def counts_with_relabel(
     by: Sequence[str] = ("campaignid", "sample"),
     with_code: bool = False,
     name: str = "count",
+    unique: bool = False,
 ) -> DataFrame:
     """Classes to codes to labels, count per label set, codes back through the labels.
 
     The dots are folded once; both small tables are looked up for the fold, then it is summed once. A class that the crosswalk
     lacks meets the class without a code.
 
-    Labels shared by several codes give one row per code (``relabel`` may fan out).
+    Labels shared by several codes give one row per code, each with the whole count; with ``unique`` that is an error (``joins.fan_outs`` lists them).
     """
     wide = tally(points, [*by, *keys], name="__n")
     for dim, on in ((crosswalk.distinct().select(*keys, CODE), list(keys)), (schema, [CODE])):
@@ -243,12 +273,12 @@ def counts_with_relabel(
         wide = wide.withColumn("__n", F.col("__n") * F.coalesce(F.col(MULT), F.lit(1))).drop(MULT)
     labels = [c for c in LABELS if c in wide.columns]
     counted = tally(scorable(wide), [*by, *labels, *[CODE] * with_code], "__n", name)
-    return relabel(counted.drop(CODE), schema)
+    return relabel(counted.drop(CODE), schema, unique=unique)
 
 
-def relabel(counts: DataFrame, schema: DataFrame, on: Sequence[str] = tuple(LABELS)) -> DataFrame:
+def relabel(counts: DataFrame, schema: DataFrame, on: Sequence[str] = tuple(LABELS), unique: bool = False) -> DataFrame:
     keys = [c for c in on if c in counts.columns]
-    return lookup(counts, schema, keys)
+    return lookup(counts, schema, keys, unique=unique)
 
 
 def scientific_counts(points: DataFrame, schema: DataFrame, by: Sequence[str], name: str = "count") -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,6 +116,22 @@ def with_row_id(df: DataFrame, name: str = "id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def with_row_number(df: DataFrame, name: str = "id") -> DataFrame:
+    """1 to n in the order of the files' paths and of the rows in them, for a table that is read from files (and filtered or projected, no more).
+
+    Two passes: rows and first running id of each block of a file, summed up over the blocks; then each row's place behind the start of its block. No row is
+    moved; the only thing in one place is one row for each block.
+    """
+    hidden, taken = df.metadataColumn("_metadata"), set(df.columns)
+    block = [hidden["file_path"].alias("__path"), hidden["file_block_start"].alias("__start")]
+    rows = df.select("*", *block, F.monotonically_increasing_id().alias("__mid"))
+    blocks = rows.groupBy("__path", "__start").agg(F.count(F.lit(1)).alias("__rows"), F.min("__mid").alias("__first"))
+    before = F.coalesce(F.sum("__rows").over(W.orderBy("__path", "__start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("__path", "__start", (before - F.col("__first") + 1).alias("__shift"))
+    out = rows.join(blocks, ["__path", "__start"]).withColumn(name, F.col("__mid") + F.col("__shift"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c in taken and c != name], name)
+
+
 def path_columns(path: Column, root: str, into: Sequence[str] = ("project", "campaignid")) -> list[Column]:
     """Folder names below ``root`` as columns; deeper folders are dropped, missing ones NULL."""
     plain = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))

@@ -14,6 +14,24 @@ from .joins import lookup, semi_on, tagged_keys
 UNSCORABLE = ("", "Unscorable", None)
 
 MULT = "__mult"
+#: Rows that a folded row stands for.
+FOLDED = "__n"
+
+
+def folded(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Dots folded on the columns that several plans look at. All of them then share one exchange and one scan.
+
+    The test of the count keeps it in every branch, so that the branches stay the same plan up to there.
+    """
+    return points.groupBy(*keys).agg(F.count(F.lit(1)).alias(FOLDED)).filter(F.col(FOLDED) > 0)
+
+
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet the condition. Folded rows are weighed by it instead: a filter on their keys would go below the fold and make it another plan."""
+    if FOLDED not in df.columns:
+        return df.filter(condition)
+    weight = F.col(FOLDED) * F.coalesce(condition, F.lit(False)).cast("bigint")
+    return df.withColumn(FOLDED, weight).filter(F.col(FOLDED) > 0)
 
 
 def scorable(df: DataFrame, column: str = "level_2", drop: Iterable = UNSCORABLE) -> DataFrame:
@@ -21,7 +39,9 @@ def scorable(df: DataFrame, column: str = "level_2", drop: Iterable = UNSCORABLE
 
 
 def tally(df: DataFrame, keys: Sequence[str], weight: str | None = None, name: str = "count") -> DataFrame:
-    """Rows per group, or the sum of ``weight``. NULL is a group like any other."""
+    """Rows per group, or the sum of ``weight``. NULL is a group like any other, a folded row counts for all that it stands for."""
+    if weight is None and FOLDED in df.columns:
+        weight = FOLDED
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return df.groupBy(*keys).agg(n.cast("bigint").alias(name))
 
@@ -79,7 +99,9 @@ def label_counts(
     wide = lookup(folded, multiplicity(dim), list(on))
     wide = wide.withColumn("__n", F.col("__n") * F.coalesce(F.col(MULT), F.lit(1))).drop(MULT)
     present = [c for c in labels if c in wide.columns]
-    wide = scorable(wide, drop_on, drop) if drop is not None else wide
+    if drop is not None:
+        # ``__n`` is the weight here: where the points came folded, their fold stays the plan that others share.
+        wide = keep(wide, not_in_set(drop_on, drop)) if FOLDED in points.columns else scorable(wide, drop_on, drop)
     if where is not None:
         wide = wide.filter(where)
     keys = [*by, *present] + ([CODE] if with_code and CODE not in present and CODE in wide.columns else [])

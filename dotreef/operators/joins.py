@@ -73,10 +73,12 @@ def lookup(
     on: Key | Sequence[Key],
     how: str = "left",
     suffix: str = "_right",
+    unique: bool = False,
 ) -> DataFrame:
     """Left (or inner) join that keeps the left key once and may fan out.
 
-    Other columns present on both sides get ``suffix`` on the right one.
+    Other columns present on both sides get ``suffix`` on the right one. With ``unique`` a key that occurs more than once on the right is an error, raised
+    where a row of the left side meets it; ``fan_outs`` lists such keys beforehand.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -88,8 +90,28 @@ def lookup(
     r = right.selectExpr(
         f"{_key_sql(rkeys, types)} AS __rk", *[f"{_q(a)} AS {_q(b)}" for a, b in brought]
     )
+    if unique:
+        r = r.groupBy("__rk").agg(F.count(F.lit(1)).alias("__copies"), F.first(F.struct(F.lit(1).alias("__one"), *[F.col(_q(b)) for _, b in brought])).alias("__row"))
     l = left.selectExpr("*", f"{_key_sql(lkeys, types)} AS __lk")
-    return l.join(r, F.expr(_SAME_KEY), how).selectExpr(*map(_q, mine), *[_q(b) for _, b in brought])
+    out = l.join(r, F.expr(_SAME_KEY), how)
+    if not unique:
+        return out.selectExpr(*map(_q, mine), *[_q(b) for _, b in brought])
+    # Checked on joined rows: keys that nobody looks up may repeat. The filter keeps the check whatever columns are read, the
+    # partition (never below 0) keeps the filter above the join.
+    told = "raise_error(concat('lookup key ', to_json(__lk), ' occurs ', __copies, ' times'))"
+    out = out.filter(F.expr(f"coalesce(CASE WHEN __copies > 1 AND spark_partition_id() >= 0 THEN {told} ELSE true END, true)"))
+    return out.selectExpr(*map(_q, mine), *[f"__row.{_q(b)} AS {_q(b)}" for _, b in brought])
+
+
+def fan_outs(left: DataFrame, right: DataFrame, on: Key | Sequence[Key]) -> DataFrame:
+    """Keys of ``left`` that a lookup in ``right`` would multiply: the key, ``rows`` of the left side and ``copies`` on the right. NULL matches NULL."""
+    pairs = _pairs(on)
+    types = _key_types(left, right, pairs)
+    lkeys, rkeys = [p[0] for p in pairs], [p[1] for p in pairs]
+    l = left.selectExpr(f"{_key_sql(lkeys, types)} AS __lk").groupBy("__lk").agg(F.count(F.lit(1)).alias("rows"))
+    r = right.selectExpr(f"{_key_sql(rkeys, types)} AS __rk").groupBy("__rk").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    keys = [f"__lk.k{i} AS {_q(k)}" for i, k in enumerate(lkeys)]
+    return l.join(r, F.expr(_SAME_KEY)).selectExpr(*keys, "rows", "copies")
 
 
 def counted_lookup(points: DataFrame, right: DataFrame, on: Key | Sequence[Key], name: str) -> DataFrame:
@@ -133,8 +155,8 @@ def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
     return [c for c in left.columns if c in right.columns]
 
 
-def natural_join(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
-    """Join on every column the two sides share; the keys are logged because they are implicit."""
+def natural_join(left: DataFrame, right: DataFrame, how: str = "left", unique: bool = False) -> DataFrame:
+    """Join on every column the two sides share; the keys are logged because they are implicit. ``unique`` as in ``lookup``."""
     keys = shared_columns(left, right)
     if not keys:
         raise ValueError("the two sides share no column")
@@ -143,7 +165,7 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "left") -> DataFr
         return semi_on(left, right, keys)
     if how == "left_anti":
         return anti_on(left, right, keys)
-    return lookup(left, right, keys, how)
+    return lookup(left, right, keys, how, unique=unique)
 
 
 def full_on(left: DataFrame, right: DataFrame, on: Key | Sequence[Key]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import try_number
 from ..schemas import CODE
+from .counts import FOLDED, folded  # noqa: F401  (checks fold first)
 from .joins import anti_on, counted_lookup, lookup, natural_join, value_setdiff
 
 #: A sample id is unique within its campaign only.
@@ -130,18 +131,6 @@ def profile(df: DataFrame) -> DataFrame:
     return row.select(F.inline(F.array(*items)))
 
 
-#: Rows that a folded row stands for.
-FOLDED = "__n"
-
-
-def folded(points: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Dots folded on the columns that several checks look at. All of them then share one exchange and one scan.
-
-    The test of the count keeps it in every branch, so that the branches stay the same plan up to there.
-    """
-    return points.groupBy(*keys).agg(F.count(F.lit(1)).alias(FOLDED)).filter(F.col(FOLDED) > 0)
-
-
 def qc_report(checks: dict[str, DataFrame]) -> DataFrame:
     """Findings per check, zero included: the row-count guard as data instead of a warning."""
     parts = [

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions.nulls import if_else_na, in_set, not_in_set, try_number
 from ..functions.samples import sample_expr
 from ..functions.text import detect, separate
@@ -23,7 +24,6 @@ from ..operators.columns import ensure_cols, rename, union_by_name
 from ..operators.joins import lookup, presence_diff
 from ..schemas import CODE, COUNTS, CROSSWALK_KEYS, LABELS, LEVELS, TAXONOMY, conform
 from ..sources.dimensions import labels_by_code
-from . import fixed
 
 BY = ("campaignid", "sample")
 
@@ -224,12 +224,20 @@ RAW_COLUMNS = [
 ]
 
 
-def per_campaign(specs: Sequence[CampaignSpec], value: Callable[[CampaignSpec], Column]) -> Column:
-    """``value`` of the row's campaign; no CASE where there is only one."""
-    if len(specs) == 1:
+def per_campaign(
+    specs: Sequence[CampaignSpec], value: Callable[[CampaignSpec], Column], of: Callable[[CampaignSpec], object] | None = None
+) -> Column:
+    """``value`` of the row's campaign; no CASE where there is only one.
+
+    ``of`` names what ``value`` depends on: campaigns that agree in it share a branch, so that the CASE grows with different values, not with campaigns.
+    """
+    groups: dict[str, list[CampaignSpec]] = {}
+    for s in specs:
+        groups.setdefault(s.campaignid if of is None else repr(of(s)), []).append(s)
+    if len(groups) == 1:
         return value(specs[0])
-    chain = reduce(lambda c, s: (F if c is None else c).when(F.col("campaignid") == s.campaignid, value(s)), specs, None)
-    return chain
+    same = lambda g: F.col("campaignid") == g[0].campaignid if len(g) == 1 else F.col("campaignid").isin([s.campaignid for s in g])
+    return reduce(lambda c, g: (F if c is None else c).when(same(g), value(g[0])), groups.values(), None)
 
 
 def _behind() -> Column:
@@ -268,26 +276,34 @@ def _meant(spec: CampaignSpec, column: str) -> Column:
 
 
 def _rows(specs: Sequence[CampaignSpec], points: DataFrame, kept: Callable[[CampaignSpec], Column], kind: str) -> DataFrame:
-    out = ensure_cols(points, RAW_COLUMNS).filter(in_set("campaignid", [s.campaignid for s in specs]))
+    out = counts.keep(ensure_cols(points, RAW_COLUMNS), in_set("campaignid", [s.campaignid for s in specs]))
     if "kind" in points.columns:
-        out = out.filter(per_campaign(specs, lambda s: _of_kind(s, kind)))
+        out = counts.keep(out, per_campaign(specs, lambda s: _of_kind(s, kind), lambda s: s.one_export))
     if kind == "benthos":
         meant = dict.fromkeys(c for s in specs for _, c in s.aliases)
-        out = out.withColumns({c: per_campaign(specs, lambda s, c=c: _meant(s, c)) for c in meant}) if meant else out
+        out = out.withColumns({c: per_campaign(specs, lambda s, c=c: _meant(s, c), lambda s: s.aliases) for c in meant}) if meant else out
     if any(s.exclude_files or s.exclude_class for s in specs):
-        out = out.filter(per_campaign(specs, kept))
+        what = lambda s: (s.exclude_files, s.exclude_null_files, s.exclude_class, s.relief and s.relief.exclude_files)
+        out = counts.keep(out, per_campaign(specs, kept, what))
     if any(s.strip_files for s in specs):
-        out = out.withColumn("filename", per_campaign(specs, _file_name))
+        out = out.withColumn("filename", per_campaign(specs, _file_name, lambda s: s.strip_files))
     return out
 
 
-def prepare(specs: Sequence[CampaignSpec], points: DataFrame) -> DataFrame:
+#: Different rule sets from which on they are a table that is joined to the distinct classes, not branches of a CASE.
+RULE_SETS = 30
+
+
+def prepare(specs: Sequence[CampaignSpec], points: DataFrame, rule_sets: int = RULE_SETS) -> DataFrame:
     """Dots with sample id and repaired numeric code. Worth persisting when checks run too."""
     out = _rows(specs, points, lambda s: _kept_files(s) & _kept_classes(s), "benthos")
-    out = out.withColumn("sample", per_campaign(specs, lambda s: s.sample.expr()))
-    out = out.withColumn(CODE, try_number(per_campaign(specs, lambda s: F.col(s.code_from))))
+    out = out.withColumn("sample", per_campaign(specs, lambda s: s.sample.expr(), lambda s: s.sample))
+    out = out.withColumn(CODE, try_number(per_campaign(specs, lambda s: F.col(s.code_from), lambda s: s.code_from)))
+    if len({s.rules for s in specs}) >= rule_sets:
+        columns = sorted({r.column for s in specs for r in s.rules} - {CODE})
+        return classify.repair_by_table(out, classify.rule_table(points.sparkSession, {s.campaignid: s.rules for s in specs}), columns)
     if any(s.rules for s in specs):
-        out = out.withColumn(CODE, per_campaign(specs, lambda s: classify.repaired(s.rules)))
+        out = out.withColumn(CODE, per_campaign(specs, lambda s: classify.repaired(s.rules), lambda s: s.rules))
     return out
 
 
@@ -396,11 +412,11 @@ def _scoped(specs: Sequence[CampaignSpec], out: DataFrame, metadata: DataFrame |
     return kept.filter(not_in_set("campaignid", limited) | F.col("__inside").isNotNull()).drop("__inside")
 
 
-def benthos(specs: Sequence[CampaignSpec], points: DataFrame, t: Tables) -> DataFrame:
-    """Benthos of all ``specs``: one plan per vocabulary, one canonical table."""
+def benthos(specs: Sequence[CampaignSpec], points: DataFrame, t: Tables, rule_sets: int = RULE_SETS) -> DataFrame:
+    """Benthos of all ``specs``: one plan per vocabulary, one canonical table. ``rule_sets`` as in ``prepare``."""
     family = lambda s: (s.vocabulary, s.with_code, s.drop, s.drop_level_1, s.biota_code, s.crosswalk, s.depth)
     dotted = [s for s in specs if s.vocabulary != "wide"]
-    parts = [VOCABULARIES[group[0].vocabulary](group, prepare(group, points), t) for group in _families(dotted, family)]
+    parts = [VOCABULARIES[group[0].vocabulary](group, prepare(group, points, rule_sets), t) for group in _families(dotted, family)]
     parts += _wide([s for s in specs if s.vocabulary == "wide"], t, classify.wide_to_counts)
     out = union_by_name(*[conform(p, COUNTS, keep_extra=True) for p in parts])
     return _scoped(specs, out, t.metadata)
@@ -409,7 +425,7 @@ def benthos(specs: Sequence[CampaignSpec], points: DataFrame, t: Tables) -> Data
 def prepare_relief(specs: Sequence[CampaignSpec], points: DataFrame) -> DataFrame:
     """Relief dots with sample id and, for scored sentences, the score in ``level_5``."""
     out = _rows(specs, points, lambda s: _kept_files(s) if s.relief.exclude_files else F.lit(True), "relief")
-    out = out.withColumn("sample", per_campaign(specs, lambda s: (s.relief.sample or s.sample).expr()))
+    out = out.withColumn("sample", per_campaign(specs, lambda s: (s.relief.sample or s.sample).expr(), lambda s: s.relief.sample or s.sample))
     r = specs[0].relief
     if r.mode == "digit":
         return classify.relief_digit(out, r.position, r.text, r.drop)
@@ -417,7 +433,7 @@ def prepare_relief(specs: Sequence[CampaignSpec], points: DataFrame) -> DataFram
         return out.withColumn(CODE, try_number(r.code_from))
     if r.mode in ("levels", "native"):
         # Rows without a score must not meet the classes that have none either.
-        out = out.filter(F.col("level_5").isNotNull())
+        out = counts.keep(out, F.col("level_5").isNotNull())
         return out.withColumn(CODE, try_number(r.code_from)) if r.mode == "native" else out
     return out
 
@@ -506,7 +522,7 @@ def checks(
     found = union_by_name(*[_classes(g, p, t) for g, p in zip(families, prepared)])
     classes = [c for c in found.columns if c not in (CODE, "level_1")]
     benthos_counts, relief_counts = benthos(specs, points, t), relief(with_relief, points, t) if with_relief else None
-    expected = per_campaign(specs, lambda s: F.lit(s.points_per_image))
+    expected = per_campaign(specs, lambda s: F.lit(s.points_per_image), lambda s: s.points_per_image)
     out = {
         "annotations_missing_metadata": qc.annotations_missing_metadata(narrow, meta),
         "metadata_missing_annotations": qc.metadata_missing_annotations(due, benthos_counts),
@@ -528,6 +544,71 @@ def checks(
     }
 
 
+#: Numbers that the findings of a sample follow from: dots and counts of both outputs, deployments, and those that should have annotations.
+_MEASURES = ("dots", "benthos", "relief_dots", "relief", "rows", "due")
+
+
+def _measured(df: DataFrame, **measures: Column) -> DataFrame:
+    none = F.lit(0).cast("bigint")
+    return df.select(*BY, *[measures.get(m, none).cast("bigint").alias(m) for m in _MEASURES])
+
+
+def findings(
+    specs: Sequence[CampaignSpec], points: DataFrame, t: Tables, only_successful: bool | None = None
+) -> DataFrame:
+    """Every finding of ``checks`` in one table ``finding, campaignid, sample, class, caab_code, n``, from one scan of the dots.
+
+    The dots are folded once on everything that any vocabulary reads; all plans branch off that fold. What is found about a sample
+    follows from six numbers of it, which are summed in one place. ``n`` is how many dots, counts or deployments a finding is about (samples, for coverage).
+    """
+    specs = [s for s in specs if s.vocabulary != "wide"]
+    with_relief = [s for s in specs if s.relief is not None]
+    relief_ids = [s.campaignid for s in with_relief]
+    meta = t.metadata.filter(in_set("campaignid", [s.campaignid for s in specs])).filter(in_scope(specs))
+    wanted = {s.campaignid: s.only_successful if only_successful is None else only_successful for s in specs}
+    is_due = in_set("campaignid", [c for c, only in wanted.items() if not only]) | F.coalesce(qc.was_successful(), F.lit(False))
+
+    base = counts.folded(points, [c for c in RAW_COLUMNS if c in points.columns])
+    families = _families(specs, lambda s: (s.vocabulary, s.crosswalk, s.class_columns))
+    prepared = [prepare(g, base) for g in families]
+    one, n = F.lit(1), F.col(counts.FOLDED)
+    sides = [_measured(p, dots=n) for p in prepared]
+    sides.append(_measured(benthos(specs, base, t), benthos=one))
+    relief_counts = relief(with_relief, base, t) if with_relief else None
+    if with_relief:
+        sides.append(_measured(relief_counts, relief=one))
+        sides += [_measured(prepare_relief(g, base), relief_dots=n) for g in _families(with_relief, _relief_family)]
+    sides.append(_measured(meta, rows=one, due=is_due.cast("bigint")))
+    samples = union_by_name(*sides).groupBy(*BY).agg(*[F.sum(m).alias(m) for m in _MEASURES])
+
+    has_relief = in_set("campaignid", relief_ids)
+    rules = {
+        "annotations_missing_metadata": ("dots", F.col("rows") == 0), "metadata_missing_annotations": ("due", F.col("benthos") == 0),
+        "relief_missing_metadata": ("relief_dots", F.col("rows") == 0), "metadata_missing_relief": ("due", (F.col("relief") == 0) & has_relief),
+        "in_habitat_only": ("benthos", F.col("rows") == 0), "in_metadata_only": ("rows", F.col("benthos") == 0),
+    }
+    flags = [F.struct(F.lit(name).alias("finding"), F.when(when & (F.col(m) > 0), F.col(m)).alias("n")) for name, (m, when) in rules.items()]
+    of_samples = samples.select(*BY, F.inline(F.array(*flags))).filter("n IS NOT NULL")
+
+    expected = qc.expected_points(per_campaign(specs, lambda s: F.lit(s.points_per_image), lambda s: s.points_per_image), "successful_habitat_forward", "successful_habitat_backward")
+    due_points = meta.select(*BY, expected.alias("expected"))
+    wrong = lookup(samples.filter("dots > 0").select(*BY, F.col("dots").alias("n")), due_points, list(BY), "inner").filter("n <> expected")
+    covered = samples.groupBy("campaignid").agg(F.count_if(F.col("relief") > 0).alias("relief"), F.count_if(F.col("benthos") > 0).alias("benthos"))
+    covered = covered.select("campaignid", F.inline(F.array(*[F.struct(F.lit(f"samples_with_{c}").alias("finding"), F.col(c).alias("n")) for c in ("relief", "benthos")])))
+
+    parts = [of_samples, wrong.select(F.lit("wrong_point_counts").alias("finding"), *BY, "n"), covered.filter("n > 0")]
+    for group, p in zip(families, prepared, strict=True):
+        seen = _classes(group, p, t)
+        label = F.concat_ws(" | ", *[c for c in seen.columns if c not in (CODE, "level_1", "campaignid")]).alias("class")
+        bad = F.when(F.col(CODE).isNull(), "missing_codes").when(F.col("level_1").isNull(), "unmatched_codes").alias("finding")
+        parts.append(seen.select(bad, "campaignid", label, CODE).filter("finding IS NOT NULL").distinct().withColumn("n", F.lit(1).cast("bigint")))
+    if relief_counts is not None:
+        label = F.concat_ws(" | ", *LABELS).alias("class")
+        unknown = relief_counts.filter(F.col("level_1").isNull()).select("campaignid", *LABELS, CODE).distinct()
+        parts.append(unknown.select(F.lit("unmatched_relief").alias("finding"), "campaignid", label, CODE, F.lit(1).cast("bigint").alias("n")))
+    return union_by_name(*parts).select("finding", "campaignid", "sample", "class", CODE, "n")
+
+
 def as_upload(spec: CampaignSpec, df: DataFrame, kind: str = "benthos") -> DataFrame:
     """The campaign's own columns and names for one of its two outputs."""
     r = spec.relief
@@ -549,5 +630,5 @@ def known(campaignid: str) -> CampaignSpec:
 
 __all__ = [
     "AS_IS", "CampaignSpec", "KNOWN_CAMPAIGNS", "ReliefSpec", "SampleRule", "TAXONOMY", "Tables", "as_upload", "benthos",
-    "checks", "known", "per_campaign", "prepare", "prepare_relief", "relief",
+    "checks", "findings", "known", "per_campaign", "prepare", "prepare_relief", "relief",
 ]

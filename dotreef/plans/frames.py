@@ -96,6 +96,11 @@ def metadata(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def moved_points(spark: SparkSession, d: str) -> DataFrame:
+    """Dots of which some stand under a sample that metadata spells otherwise."""
+    return points(spark, d).withColumn("sample", F.when(F.col("broad") == "Open Water", -F.col("sample")).otherwise(F.col("sample")))
+
+
 def south(spark: SparkSession, d: str) -> DataFrame:
     """Metadata cut by latitude."""
     return metadata(spark, d).filter(F.col("latitude_dd") < -27.71)

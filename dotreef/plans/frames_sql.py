@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fixed
+from .. import fixed
 from .frames import EXTRA_CLASSES, MATRIX_COLUMNS
 
 V = "CAST(NULL AS VARCHAR)"
@@ -31,6 +31,8 @@ POINTS = """points AS (
       ELSE '.' || (l_linenumber - 1) || '. relief' END AS relief
   FROM lineitem)"""
 
+MOVED = "moved AS (SELECT * REPLACE (CASE WHEN broad = 'Open Water' THEN -sample ELSE sample END AS sample) FROM points)"
+
 _EXTRA = " UNION ALL ".join(
     f"SELECT {literal(c)}, {literal(a)}, {literal(b)}, {', '.join([V] * 9)}" for c, a, b in EXTRA_CLASSES
 )

@@ -6,6 +6,7 @@ file to file, metadata in two spellings.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.columns import union_by_name
 from ..operators.joins import lookup
+from ..sources.files import Files, partition_value
 from . import frames as fr
 
 ROWS_PER_FILE = 500_000
@@ -69,3 +71,28 @@ def write_metadata_files(spark: SparkSession, d: str, root: str) -> None:
     recent = F.col("campaignid").isin("survey-1", "survey-2")
     for side, header in ((meta.filter(recent), new), (meta.filter(~recent), old)):
         write_raw(side, root, ["project", "campaignid"], header, [], ",")
+
+
+def land(spark: SparkSession, df: DataFrame, staged: str, box: str, header: Mapping[str, str], name: str, sep: str = "\t", days_old: int = 0) -> None:
+    """``df`` as files ``project/campaign/name-i...`` of a landing folder; files of that name are replaced. ``days_old`` sets their times back."""
+    write_raw(df, staged, ["campaignid"], header, PREAMBLE if sep == "\t" else [], sep)
+    files = Files(spark, box)
+    for path in files.files_below(staged):
+        parts = path.split("/")
+        if not parts[-1].startswith("part-"):
+            continue
+        campaignid, number = partition_value(parts[-3]), partition_value(parts[-2])
+        target = f"{box}/survey project/{campaignid}/{name}-{number}{ENDINGS[sep]}"
+        files.move(path, target)
+        if days_old:
+            files.set_time(target, int((time.time() - 86_400 * days_old) * 1000))
+
+
+def withdraw(spark: SparkSession, box: str, name: str) -> None:
+    files = Files(spark, box)
+    for path in files.files_below(box):
+        if path.rsplit("/", 1)[1].startswith(f"{name}-"):
+            files.delete(path)
+
+
+ENDINGS = {"\t": "_Dot Point Measurements.txt", ",": "_Metadata.csv"}

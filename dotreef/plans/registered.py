@@ -15,7 +15,8 @@ from ..sources import metadata as metadata_source
 from ..sources.dimensions import labels_by_code, read_classification, read_crosswalk, starter_classification
 from ..sources.exports import ingest
 from ..sources.ragged import read_annotations, scan_ragged
-from ..sources.sinks import read_plain_csv, scratch_dir, store_points, write_metadata, write_report, write_upload
+from ..sources.sinks import read_plain_csv, scratch_dir, store_points, write_metadata, write_report, write_upload, write_upload_files
+from ..streaming import FindingsLog, Landing, deployments, watch
 from . import campaigns
 from . import frames as fr
 from . import frames_sql as fs
@@ -220,6 +221,14 @@ def archive_benthos(spark, d):
     return campaigns.benthos(_SPECS, fr.text_points(spark, d), campaigns.Tables(fr.classes(spark, d), meta))
 
 
+@register(SQL["archive_benthos"])
+def archive_benthos_by_rule_table(spark, d):
+    """The same counts with the repair rules of all campaigns as rows that meet distinct classes."""
+    meta = fr.metadata(spark, d).withColumn("sample", F.col("sample").cast("string"))
+    tables = campaigns.Tables(fr.classes(spark, d), meta)
+    return campaigns.benthos(_SPECS, fr.text_points(spark, d), tables, rule_sets=1)
+
+
 @register(fs.sql(fs.POINTS, f"""
 SELECT campaignid, filename, {_ARCHIVE_SAMPLE} AS sample FROM points"""))
 def sample_rules(spark, d):
@@ -480,10 +489,10 @@ def suffix_join_coalesce(spark, d):
     return out.withColumn("level_4", F.coalesce("level_4", "level_4_tax"))
 
 
-@register(fs.sql(fs.POINTS, fs.META, fs.SOUTH, """
-SELECT sample, filename FROM points p WHERE NOT EXISTS (SELECT 1 FROM south s WHERE s.sample = p.sample)"""))
+@register(fs.sql(fs.POINTS, fs.MOVED, fs.META, """
+SELECT sample, filename FROM moved p WHERE NOT EXISTS (SELECT 1 FROM meta m WHERE m.sample = p.sample)"""))
 def anti_single(spark, d):
-    return qc.annotations_missing_metadata(fr.points(spark, d).select("sample", "filename"), fr.south(spark, d), ["sample"])
+    return qc.annotations_missing_metadata(fr.moved_points(spark, d).select("sample", "filename"), fr.metadata(spark, d), ["sample"])
 
 
 @register(fs.sql(fs.POINTS, fs.META, """
@@ -501,12 +510,12 @@ def anti_natural(spark, d):
     return qc.missing_in_schema(fr.points(spark, d).select("filename", CODE), fr.classes(spark, d))
 
 
-@register(fs.sql(fs.POINTS, fs.META, fs.SOUTH, """
-SELECT campaignid, sample, direction, CAST(count(*) AS BIGINT) AS count FROM points p
-WHERE EXISTS (SELECT 1 FROM south s WHERE s.campaignid = p.campaignid AND s.sample = p.sample) GROUP BY ALL"""))
+@register(fs.sql(fs.POINTS, fs.MOVED, fs.META, """
+SELECT campaignid, sample, direction, CAST(count(*) AS BIGINT) AS count FROM moved p
+WHERE EXISTS (SELECT 1 FROM meta m WHERE m.campaignid = p.campaignid AND m.sample = p.sample) GROUP BY ALL"""))
 def semi_natural(spark, d):
-    counted = counts.tally(fr.points(spark, d), [*BY, "direction"])
-    return joins.natural_join(counted, fr.south(spark, d).select(*BY), "left_semi")
+    counted = counts.tally(fr.moved_points(spark, d), [*BY, "direction"])
+    return joins.natural_join(counted, fr.metadata(spark, d).select(*BY), "left_semi")
 
 
 @register("""SELECT doc_id, CASE WHEN l.doc_id IS NULL THEN true END AS in_habitat, CAST(NULL AS BOOLEAN) AS in_metadata
@@ -532,14 +541,29 @@ def duplicate_keys(spark, d):
     return joins.duplicate_keys(fr.classes(spark, d), LEVELS[:3])
 
 
+@register(fs.sql(fs.LEGACY, fs.CROSSWALK, fs.CLASSES, """
+SELECT l.level_2, l.level_3, l.rows, c.copies FROM
+(SELECT level_2, level_3, CAST(count(*) AS BIGINT) AS rows FROM legacy l LEFT JOIN crosswalk x ON l.broad IS NOT DISTINCT FROM x.broad
+  AND l.morphology IS NOT DISTINCT FROM x.morphology AND l.type IS NOT DISTINCT FROM x.type
+  LEFT JOIN (SELECT caab_code, level_3 FROM classes) k ON x.caab_code IS NOT DISTINCT FROM k.caab_code GROUP BY ALL) l
+JOIN (SELECT level_2, level_3, CAST(count(*) AS BIGINT) AS copies FROM classes GROUP BY ALL HAVING count(*) > 1) c
+  ON l.level_2 IS NOT DISTINCT FROM c.level_2 AND l.level_3 IS NOT DISTINCT FROM c.level_3"""))
+def fan_outs(spark, d):
+    """Label pairs of legacy dots that a lookup by labels would multiply."""
+    keys = ["broad", "morphology", "type"]
+    coded = joins.lookup(fr.legacy_points(spark, d), fr.crosswalk(spark, d), keys)
+    labelled = joins.lookup(coded, fr.classes(spark, d).select(CODE, "level_3"), [CODE])
+    return joins.fan_outs(labelled, fr.classes(spark, d), ["level_2", "level_3"])
+
+
 # --- checks --------------------------------------------------------------------------------
 
 
-@register(fs.sql(fs.POINTS, fs.META, fs.SOUTH, """
-SELECT p.sample, p.n AS points_annotated, s.campaignid, s.location FROM
-(SELECT sample, CAST(count(*) AS BIGINT) AS n FROM points GROUP BY ALL) p LEFT JOIN south s ON p.sample = s.sample"""))
+@register(fs.sql(fs.POINTS, fs.MOVED, fs.META, """
+SELECT p.sample, p.n AS points_annotated, m.campaignid, m.location FROM
+(SELECT sample, CAST(count(*) AS BIGINT) AS n FROM moved GROUP BY ALL) p LEFT JOIN meta m ON p.sample = m.sample"""))
 def points_per_sample(spark, d):
-    return qc.points_per_sample(fr.points(spark, d), fr.south(spark, d).select(*BY, "location"), ["sample"])
+    return qc.points_per_sample(fr.moved_points(spark, d), fr.metadata(spark, d).select(*BY, "location"), ["sample"])
 
 
 @register(fs.sql(fs.POINTS, fs.META, """
@@ -624,16 +648,16 @@ def preview(spark, d):
     return fr.table(spark, d, "documents").select("doc_id", "source", "lang").orderBy("doc_id").limit(10)
 
 
-@register(fs.sql(fs.POINTS, fs.META, fs.SOUTH, fs.CLASSES, """
-SELECT 'annotations_missing_metadata' AS "check", CAST(count(*) AS BIGINT) AS findings FROM points p
-  WHERE NOT EXISTS (SELECT 1 FROM south s WHERE s.sample = p.sample)
-UNION ALL SELECT 'metadata_missing_annotations', CAST(count(*) AS BIGINT) FROM south s
-  WHERE NOT EXISTS (SELECT 1 FROM points p WHERE s.sample = p.sample)
-UNION ALL SELECT 'missing_codes', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT broad, morphology, type FROM points WHERE caab_code IS NULL)
-UNION ALL SELECT 'unmatched_classes', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT p.caab_code FROM points p
+@register(fs.sql(fs.POINTS, fs.MOVED, fs.META, fs.CLASSES, """
+SELECT 'annotations_missing_metadata' AS "check", CAST(count(*) AS BIGINT) AS findings FROM moved p
+  WHERE NOT EXISTS (SELECT 1 FROM meta m WHERE m.sample = p.sample)
+UNION ALL SELECT 'metadata_missing_annotations', CAST(count(*) AS BIGINT) FROM meta m
+  WHERE NOT EXISTS (SELECT 1 FROM moved p WHERE m.sample = p.sample)
+UNION ALL SELECT 'missing_codes', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT broad, morphology, type FROM moved WHERE caab_code IS NULL)
+UNION ALL SELECT 'unmatched_classes', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT p.caab_code FROM moved p
   LEFT JOIN classes c ON c.caab_code IS NOT DISTINCT FROM p.caab_code WHERE c.level_1 IS NULL)"""))
 def qc_report(spark, d):
-    pts, meta = qc.folded(fr.points(spark, d), ["sample", "broad", "morphology", "type", CODE]), fr.south(spark, d)
+    pts, meta = qc.folded(fr.moved_points(spark, d), ["sample", "broad", "morphology", "type", CODE]), fr.metadata(spark, d)
     return qc.qc_report({
         "annotations_missing_metadata": qc.annotations_missing_metadata(pts, meta, ["sample"]),
         "metadata_missing_annotations": qc.metadata_missing_annotations(meta, pts, ["sample"]),
@@ -708,6 +732,12 @@ def row_id(spark, d):
     return one_each.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("ids"))
 
 
+@register("SELECT l_orderkey, l_linenumber, CAST(row_number() OVER () AS BIGINT) AS id FROM lineitem")
+def row_number(spark, d):
+    """1 to n in file order."""
+    return columns.with_row_number(fr.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
+
+
 @register("""SELECT page_id, split_part(u, '/', 1) AS project,
   CASE WHEN length(u) - length(replace(u, '/', '')) >= 2 THEN split_part(u, '/', 2) END AS campaignid
 FROM (SELECT page_id, regexp_replace(url, '^https?://', '') AS u FROM pages)""")
@@ -929,6 +959,48 @@ def campaign_point_checks(spark, d):
     return found["wrong_point_counts"].select(*BY, "points_annotated", "expected")
 
 
+_FINDING = "SELECT '{}' AS finding, campaignid, CAST(sample AS VARCHAR) AS sample, CAST(NULL AS VARCHAR) AS class, CAST(NULL AS BIGINT) AS caab_code, CAST({} AS BIGINT) AS n FROM"
+_NO_META = "LEFT JOIN m USING (campaignid, sample) WHERE m.rows IS NULL"
+_PER_CAMPAIGN = " ".join(f"WHEN 'survey-{i}' THEN {n}" for i, n in _PER_IMAGE.items())
+
+
+@register(fs.sql(fs.POINTS, fs.CLASSES, fs.STARTER, fs.META, """named AS (
+  SELECT *, CASE WHEN broad = 'Open Water' THEN sample || '-deep' ELSE CAST(sample AS VARCHAR) END AS id FROM points),
+m AS (SELECT campaignid, CAST(sample AS VARCHAR) AS sample, count(*) AS rows, count(*) FILTER (campaignid <> 'survey-1' OR successful_count = 'Yes' OR successful_length = 'Yes') AS due FROM meta GROUP BY ALL),
+dots AS (SELECT campaignid, id AS sample, count(*) AS n FROM named GROUP BY ALL),
+benthos AS (SELECT p.campaignid, id AS sample, count(DISTINCT c.caab_code) AS n FROM named p JOIN classes c ON p.caab_code = c.caab_code
+  WHERE level_2 NOT IN ('', 'Unscorable') GROUP BY ALL),
+scored AS (SELECT campaignid, id AS sample, substr(relief, 2, 1) AS digit FROM named WHERE relief IS NOT NULL AND substr(relief, 2, 1) <> 'n'),
+relief AS (SELECT campaignid, sample, count(DISTINCT digit) AS n FROM scored JOIN starter s ON digit = s.level_5 GROUP BY ALL),
+relief_dots AS (SELECT campaignid, sample, count(*) AS n FROM scored GROUP BY ALL)""", f"""
+{_FINDING.format('annotations_missing_metadata', 'n')} dots {_NO_META}
+UNION ALL {_FINDING.format('relief_missing_metadata', 'n')} relief_dots {_NO_META}
+UNION ALL {_FINDING.format('in_habitat_only', 'n')} benthos {_NO_META}
+UNION ALL {_FINDING.format('in_metadata_only', 'rows')} m ANTI JOIN benthos USING (campaignid, sample)
+UNION ALL {_FINDING.format('metadata_missing_annotations', 'due')} m ANTI JOIN benthos USING (campaignid, sample) WHERE due > 0
+UNION ALL {_FINDING.format('metadata_missing_relief', 'due')} m ANTI JOIN relief USING (campaignid, sample) WHERE due > 0 AND campaignid <> 'survey-2'
+UNION ALL {_FINDING.format('wrong_point_counts', 'n')} (SELECT d.campaignid, d.sample, d.n, CASE d.campaignid {_PER_CAMPAIGN} END
+    * (CASE successful_habitat_forward WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END + CASE successful_habitat_backward WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END) AS expected
+  FROM dots d JOIN meta ON d.campaignid = meta.campaignid AND d.sample = CAST(meta.sample AS VARCHAR)) WHERE n <> expected
+UNION ALL SELECT 'samples_with_benthos', campaignid, NULL, NULL, NULL, CAST(count(*) AS BIGINT) FROM benthos GROUP BY ALL
+UNION ALL SELECT 'samples_with_relief', campaignid, NULL, NULL, NULL, CAST(count(*) AS BIGINT) FROM relief WHERE campaignid <> 'survey-2' GROUP BY ALL
+UNION ALL SELECT 'missing_codes', campaignid, NULL, concat_ws(' | ', broad, morphology, type), NULL, CAST(1 AS BIGINT) FROM (
+  SELECT DISTINCT campaignid, broad, morphology, type FROM points WHERE caab_code IS NULL)
+UNION ALL SELECT 'unmatched_codes', campaignid, NULL, concat_ws(' | ', broad, morphology, type), caab_code, CAST(1 AS BIGINT) FROM (
+  SELECT DISTINCT campaignid, broad, morphology, type, p.caab_code FROM points p LEFT JOIN classes c ON p.caab_code = c.caab_code
+  WHERE p.caab_code IS NOT NULL AND c.level_1 IS NULL)""").replace("relief_dots LEFT JOIN", "(FROM relief_dots WHERE campaignid <> 'survey-2') LEFT JOIN"))
+def archive_findings(spark, d):
+    """Every finding of all campaigns, benthos and relief, from one scan of the dots."""
+    specs = [campaigns.CampaignSpec(f"survey-{i}", sample=campaigns.SampleRule("opcode", ()), points_per_image=n, only_successful=i == 1,
+                                    relief=None if i == 2 else campaigns.ReliefSpec()) for i, n in _PER_IMAGE.items()]
+    sample = F.col("sample").cast("string")
+    named = F.when(F.col("broad") == "Open Water", F.concat(sample, F.lit("-deep"))).otherwise(sample).alias("opcode")
+    pts = fr.points(spark, d).select("campaignid", "direction", "filename", "broad", "morphology", "type", "relief", named, F.col(CODE).cast("string").alias("code"))
+    classes = columns.union_by_name(fr.classes(spark, d), starter_classification(spark).filter(F.col("level_2") == "Relief"))
+    tables = campaigns.Tables(classes, fr.metadata(spark, d).withColumn("sample", sample))
+    return campaigns.findings(specs, pts, tables)
+
+
 @register(SQL["wide_to_long"])
 def matrix_scan(spark, d):
     root = scratch_dir(spark)
@@ -969,6 +1041,42 @@ def upload_roundtrip(spark, d):
     return read_plain_csv(spark, path, struct).select(*struct.fieldNames())
 
 
+@register(fs.sql(fs.POINTS, fs.CLASSES, f"""
+SELECT p.campaignid || '_benthos.csv' AS file, p.campaignid, p.sample AS opcode, {fs.LABELS}, p.caab_code, CAST(count(*) AS BIGINT) AS count
+FROM points p LEFT JOIN classes c ON p.caab_code IS NOT DISTINCT FROM c.caab_code GROUP BY ALL"""))
+def upload_files(spark, d):
+    """One CSV for each campaign, read back with the name of its file."""
+    counted = classify.counts_by_code(fr.points(spark, d), fr.classes(spark, d), BY, drop=None)
+    struct = columns.rename(counted, {"sample": "opcode"}).schema
+    path = scratch_dir(spark)
+    write_upload_files(counted, path, "benthos", rename_sample="opcode", order=["opcode", *LEVELS])
+    back = read_plain_csv(spark, path, struct)
+    return back.select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), *struct.fieldNames())
+
+
+@register(fs.sql(fs.POINTS, """
+SELECT 'rows' AS "check", CAST(count(*) AS BIGINT) AS findings FROM (SELECT DISTINCT campaignid, caab_code, broad FROM points)
+UNION ALL SELECT 'no_code', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT campaignid, caab_code, broad FROM points) WHERE caab_code IS NULL
+UNION ALL SELECT 'more_than_five', CAST(count(*) AS BIGINT) FROM (SELECT campaignid, caab_code, broad FROM points GROUP BY ALL HAVING count(*) > 5)"""))
+def observed_upload(spark, d):
+    """Findings counted by the job that writes the upload."""
+    counted = counts.tally(fr.points(spark, d), ["campaignid", CODE, "broad"])
+    seen = write_upload(counted, scratch_dir(spark), "benthos", watch={"no_code": F.col(CODE).isNull(), "more_than_five": F.col("count") > 5})
+    return spark.createDataFrame(list(seen.items()), "check string, findings long")
+
+
+@register(fs.sql(fs.POINTS, """
+SELECT campaignid, filename, broad, CASE WHEN direction = 'backwards' THEN morphology END AS morphology,
+  CASE WHEN direction = 'forwards' THEN type END AS type, CASE WHEN direction = 'forwards' THEN relief END AS relief FROM points"""))
+def annotation_scan_rest(spark, d):
+    """Columns that were not asked for, from the map that keeps them."""
+    root = scratch_dir(spark)
+    landing.write_exports(spark, d, root)
+    raw = read_annotations(spark, root, columns=["filename"], glob="*.txt", rest="rest")
+    folder, = columns.path_columns(F.col("__path"), root, ["folder"])
+    return raw.select(text.remove(folder, "^campaignid=").alias("campaignid"), "filename", *[F.col("rest")[c].alias(c) for c in ("broad", "morphology", "type", "relief")])
+
+
 @register(fs.sql(fs.META, """
 SELECT * FROM (SELECT campaignid, sample, location, successful_habitat_forward FROM meta) CROSS JOIN (VALUES ('csv'), ('parquet')) v(kind)"""))
 def metadata_sink(spark, d):
@@ -1000,3 +1108,61 @@ def classification_snapshot(spark, d):
     own = fr.classes(spark, d).withColumns({CODE: F.col(CODE).cast("string"), "qualifiers": F.lit("a note")})
     own.write.parquet(path)
     return read_classification(spark, path)
+
+
+# --- landing folders -------------------------------------------------------------------------
+
+_DOT_HEADER = {"filename": "Filename", CODE: "Code"}
+
+
+def _dot_landing(spark, count, **options):
+    root = scratch_dir(spark)
+    return Landing(spark, f"{root}/box", f"{root}/store", count, ["filename", "code"], **options), root
+
+
+@register(fs.sql(fs.POINTS, """
+SELECT campaignid, code, CAST(count(*) AS BIGINT) AS count FROM (
+  SELECT campaignid, CAST(caab_code AS VARCHAR) AS code FROM points
+  UNION ALL SELECT campaignid, CAST(caab_code AS VARCHAR) FROM points WHERE type IS NOT NULL) GROUP BY ALL"""))
+def landing_stream(spark, d):
+    """Counts of a folder that fills in three arrivals: then a late export with an old time, at last a corrected and a withdrawn one."""
+    box, root = _dot_landing(spark, lambda df: counts.tally(df, ["campaignid", "code"]), files_per_batch=40)
+    pts = fr.points(spark, d)
+    ahead, behind = (pts.filter(F.col("direction") == x) for x in ("forwards", "backwards"))
+
+    def arrive(*files):
+        for k, (df, name, days_old) in enumerate(files):
+            landing.land(spark, df, f"{root}/staged-{name}-{days_old}-{k}", box.landing, _DOT_HEADER, name, days_old=days_old)
+        box.scan()
+        box.start(f"{root}/checkpoint").awaitTermination()
+
+    arrive((ahead, "forwards", 0), (behind.withColumn(CODE, F.col(CODE) + 1), "backwards", 3), (pts, "test", 0))
+    arrive((pts.filter(F.col("type").isNotNull()), "late", 40))
+    landing.withdraw(spark, box.landing, "test")
+    arrive((behind, "backwards", 1))
+    return box.counts()
+
+
+@register(fs.sql(fs.POINTS, fs.META, """named AS (
+  SELECT campaignid, CASE WHEN broad = 'Open Water' THEN sample || '-deep' ELSE CAST(sample AS VARCHAR) END AS sample FROM points)""", """
+SELECT 'annotations_missing_metadata' AS finding, campaignid, sample, CAST(count(*) AS BIGINT) AS n FROM named p
+WHERE NOT EXISTS (SELECT 1 FROM meta m WHERE m.campaignid = p.campaignid AND CAST(m.sample AS VARCHAR) = p.sample) GROUP BY ALL
+UNION ALL SELECT 'metadata_missing_annotations', campaignid, CAST(sample AS VARCHAR), CAST(count(*) AS BIGINT) FROM meta m
+WHERE NOT EXISTS (SELECT 1 FROM named p WHERE m.campaignid = p.campaignid AND CAST(m.sample AS VARCHAR) = p.sample) GROUP BY ALL"""))
+def landing_findings(spark, d):
+    """What is open between annotations and metadata that arrive by turns; findings of the first look are withdrawn later."""
+    by_sample = lambda df: counts.tally(df, BY)
+    dots, root = _dot_landing(spark, lambda df: by_sample(df.withColumnRenamed("filename", "sample")))
+    meta = Landing(spark, dots.landing, f"{root}/deployments", by_sample, ["sample"], glob="*_Metadata.csv", read=deployments)
+    log = FindingsLog(spark, f"{root}/log")
+    name = F.when(F.col("broad") == "Open Water", F.concat(F.col("sample").cast("string"), F.lit("-deep"))).otherwise(F.col("sample").cast("string"))
+    pts, deployed = fr.points(spark, d).withColumn("filename", name), fr.metadata(spark, d)
+    ahead, behind = (pts.filter(F.col("direction") == x) for x in ("forwards", "backwards"))
+    for k, (side, df, label, sep, header) in enumerate([
+        (dots, ahead, "forwards", "\t", _DOT_HEADER), (meta, deployed, "all", ",", {"sample": "Sample"}), (dots, behind, "backwards", "\t", _DOT_HEADER),
+    ]):
+        landing.land(spark, df, f"{root}/staged-{k}", side.landing, header, label, sep)
+        side.scan()
+        side.start(f"{root}/checkpoint-{side.glob[2:6].strip()}").awaitTermination()
+        watch(dots, meta, log)
+    return log.still_open()

@@ -1,7 +1,7 @@
 from .dimensions import literal_table, read_classification, read_crosswalk, starter_classification
 from .metadata import read_metadata, synthesise_metadata
 from .ragged import read_annotations, scan_ragged
-from .sinks import read_plain_csv, scratch_dir, store_points, write_metadata, write_report, write_upload
+from .sinks import read_plain_csv, scratch_dir, store_points, write_metadata, write_report, write_upload, write_upload_files
 
 __all__ = [
     "literal_table",
@@ -18,4 +18,5 @@ __all__ = [
     "write_metadata",
     "write_report",
     "write_upload",
+    "write_upload_files",
 ]

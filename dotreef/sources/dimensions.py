@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .. import fixed
 from ..functions.nulls import try_number
 from ..operators.columns import with_clean_names
-from ..plans import fixed
 from ..schemas import CLASSIFICATION, CODE, LEVELS, conform
 
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import rename
+from .files import Files, partition_value
 
 
 @cache
@@ -19,15 +22,47 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="dotreef-")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the shared one the session names; a local one only where all tasks run on this machine."""
+#: Scratch folders of this process that have not been dropped.
+_made: list[str] = []
+
+
+@cache
+def _at_exit(files: Files) -> None:
+    """What a run has left in the shared folder goes when its process ends."""
+    atexit.register(lambda: [files.delete(p) for p in _made])
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> None:
+    """Deletes the scratch folders made after the first ``since`` ones; results that still read them must not be used any more."""
+    for path in [p for p in _made[since:] if p not in keep]:
+        Files(spark, path).delete(path)
+        _made.remove(path)
+
+
+def scratch_count() -> int:
+    return len(_made)
+
+
+def scratch_dir(spark: SparkSession, name: str = "") -> str:
+    """A new folder below the shared one the session names; a local one only where all tasks run on this machine.
+
+    It is deleted when the process ends, or by ``drop_scratch``.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError(f"set spark.checkpoint.dir to a folder that every executor of {master} sees")
         shared = _local_folder()
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{uuid.uuid4().hex}" + (f"-{name}" if name else "")
+    _at_exit(_files(spark, shared))
+    _made.append(path)
+    return path
+
+
+@cache
+def _files(spark: SparkSession, root: str) -> Files:
+    return Files(spark, root)
 
 
 def write_upload(
@@ -38,21 +73,66 @@ def write_upload(
     quote_all: bool = False,
     order: Sequence[str] = (),
     mode: str = "overwrite",
-) -> None:
+    watch: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
     """One folder per campaign and kind of CSV with a header, NULL written ``NA``.
 
+    Returns ``rows`` and, for each condition of ``watch``, how many rows meet it. Both are observed while the rows are written: no second scan.
+
     Overwriting replaces the campaigns and kinds that ``df`` holds; others stay, whatever the session's mode.
 
     Rows are brought together per campaign by a rebalance, which also cuts a campaign that is
     too big for one file; nothing is squeezed through a single task.
     """
-    out = rename(df, {"sample": rename_sample}) if rename_sample else df
+    out, seen = _observed(df, watch)
+    out = rename(out, {"sample": rename_sample}) if rename_sample else out
     out = out.withColumns({"upload_campaign": F.col("campaignid"), "upload_kind": F.lit(kind)})
     out = out.hint("rebalance", "upload_campaign")
     if order:
         out = out.sortWithinPartitions("upload_campaign", "upload_kind", *[F.col(c).asc_nulls_last() for c in order])
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("upload_campaign", "upload_kind")
     writer.csv(path, header=True, nullValue="NA", quoteAll=quote_all)
+    return _figures(seen, watch)
+
+
+def _observed(df: DataFrame, watch: Mapping[str, Column] | None) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(name) for name, c in (watch or {}).items()]), seen
+
+
+def _figures(seen: Observation, watch: Mapping[str, Column] | None) -> dict[str, int]:
+    try:
+        return seen.get
+    except Py4JJavaError:  # a plan that is known to be empty is cut away with what would have observed it
+        return dict.fromkeys(["rows", *(watch or {})], 0)
+
+
+def write_upload_files(
+    df: DataFrame,
+    path: str,
+    kind: str,
+    rename_sample: str | None = None,
+    order: Sequence[str] = (),
+    watch: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
+    """``path/<campaign>_<kind>.csv``, one file for each campaign; returns what ``write_upload`` does.
+
+    A file is written by one task, which sorts with what memory it has, while all campaigns are written side by side. The files of a finished job are
+    then moved to their names one by one: a task that is tried again leaves one file, and a file of the same name is replaced whole.
+    """
+    out, seen = _observed(df, watch)
+    out = rename(out, {"sample": rename_sample}) if rename_sample else out
+    out = out.withColumn("upload_campaign", F.col("campaignid")).repartition("upload_campaign")
+    out = out.sortWithinPartitions("upload_campaign", *[F.col(c).asc_nulls_last() for c in order])
+    files, staged = Files(df.sparkSession, path), f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    out.write.partitionBy("upload_campaign").option("maxRecordsPerFile", 0).csv(staged, header=True, nullValue="NA")
+    for folder in [n for n in files.names(staged) if n.startswith("upload_campaign=")]:
+        campaign = partition_value(folder)
+        name = "NA" if campaign == "__HIVE_DEFAULT_PARTITION__" else campaign.replace("/", "%2F")
+        part, = [n for n in files.names(f"{staged}/{folder}") if n.startswith("part-")]
+        files.move(f"{staged}/{folder}/{part}", f"{path.rstrip('/')}/{name}_{kind}.csv")
+    files.delete(staged)
+    return _figures(seen, watch)
 
 
 def store_points(df: DataFrame, path: str) -> None:

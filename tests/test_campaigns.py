@@ -2,9 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bag
+from dotreef.operators import classify, counts
 from dotreef.operators.columns import ensure_cols, union_by_name
 from dotreef.plans import campaigns as cp
 from dotreef.schemas import CLASSIFICATION, CODE, COUNTS, LEVELS
+from dotreef.sources import starter_classification
 
 
 def classes(spark):
@@ -231,3 +233,123 @@ def test_one_plan_per_vocabulary_not_per_campaign(points, tables):
     plan = cp.benthos(same, raw, tables)._jdf.queryExecution().optimizedPlan().toString()
     alone = cp.benthos(same[:1], raw, tables)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == alone.count("Aggregate")
+
+
+# --- all findings from one fold, rules as a table --------------------------------------------
+
+
+def as_rows(df, finding, extra=()):
+    """What ``checks`` gives, in the columns of ``findings``."""
+    n = {"annotations_missing_metadata": "count", "relief_missing_metadata": "count", "metadata_missing_annotations": "count", "metadata_missing_relief": "count"}
+    if finding in n:
+        return [(finding, *r) for r in bag(counts.tally(df, ["campaignid", "sample"], name="n"), "campaignid", "sample", "n")]
+    return [(finding, *r) for r in bag(df, "campaignid", "sample", "points_annotated")]
+
+
+def test_findings_equal_the_checks(spark):
+    import __spark_entry__ as entry  # noqa: F401
+    from dotreef.plans import frames as fr
+
+    d = "/root/testdata/sf0.001"
+    between = cp.SampleRule(steps=[("extract", "(?<=_)[0-9]+(?=_)")])
+    specs = [cp.CampaignSpec(f"survey-{i}", sample=between, points_per_image=i % 3 + 1, only_successful=i % 2 == 0, relief=None if i == 4 else cp.ReliefSpec(),
+                             exclude_files=("img_1_1.JPG",) if i == 1 else (), one_export=i == 3) for i in range(1, 8)]
+    pts = fr.points(spark, d).filter("sample % 5 <> 0").select(
+        "campaignid", "direction", "filename", "broad", "morphology", "type", "relief", F.col(CODE).cast("string").alias("code"),
+        F.when(F.col("broad") == "Sponges", "relief").otherwise("benthos").alias("kind"),
+    )
+    classes = fr.classes(spark, d).unionByName(starter_classification(spark).filter("level_2 = 'Relief'"), allowMissingColumns=True)
+    meta = fr.metadata(spark, d).filter("sample % 7 <> 0").withColumn("sample", F.col("sample").cast("string"))
+    tables = cp.Tables(classes, meta.union(meta.filter("sample % 11 = 0")))
+    old, new = cp.checks(specs, pts, tables), cp.findings(specs, pts, tables).cache()
+    for finding in ("annotations_missing_metadata", "metadata_missing_annotations", "relief_missing_metadata", "metadata_missing_relief", "wrong_point_counts"):
+        want = as_rows(old[finding], finding)
+        assert bag(new.filter(F.col("finding") == finding), "finding", "campaignid", "sample", "n") == want and want, finding
+    for side, finding in (("in_habitat", "in_habitat_only"), ("in_metadata", "in_metadata_only")):
+        want = bag(old["presence_diff"].filter(F.col(side)), "campaignid", "sample")
+        assert bag(new.filter(F.col("finding") == finding), "campaignid", "sample") == want
+    for finding in ("missing_codes", "unmatched_codes"):
+        assert new.filter(F.col("finding") == finding).count() == old[finding].count() > 0
+    for kind in ("relief", "benthos"):
+        want = bag(old["coverage"].filter(f"{kind}_sample IS NOT NULL"), "campaignid", f"{kind}_sample")
+        assert bag(new.filter(F.col("finding") == f"samples_with_{kind}"), "campaignid", "n") == want
+
+
+def test_findings_of_every_vocabulary_scan_the_dots_once(spark, tmp_path):
+    """All known campaigns at once: the same findings as campaign by campaign, one scan."""
+    rows = []
+    for s in cp.KNOWN_CAMPAIGNS:
+        for i in range(6):
+            rows.append((s.campaignid, "forwards" if i % 2 else "backwards", f"{i}_7_x.jpg", f"op{i}", f"op{i}", str(80300902 + i), "Sponges", "Erect", None, f".{i}. flat", "Macroalgae", None))
+    names = "campaignid string, direction string, filename string, opcode string, period string, code string, broad string, morphology string, type string, relief string, level_2 string, level_5 string"
+    spark.createDataFrame(rows, names).write.parquet(str(tmp_path / "dots"))
+    dots = spark.read.parquet(str(tmp_path / "dots"))
+    walk = {name: spark.createDataFrame([], ", ".join(f"{k} string" for k in keys) + f", {CODE} bigint, level_2 string, level_5 string")
+            for name, keys in {"catami": ["catami_l1", "catami_l2", "catami_l3", "catami_l4", "catami_l5"], "broad_morphology_type": ["broad", "morphology", "type"],
+                               "l2_l3": ["catami_l2_l3", "catami_l4", "catami_l5"]}.items()}
+    walk["relief_text"] = spark.createDataFrame([], f"catami_l5 string, {CODE} bigint, level_2 string, level_5 string")
+    meta = spark.createDataFrame([(s.campaignid, f"op{i}", "Yes", "Yes", "Yes", "Yes", -30.0) for s in cp.KNOWN_CAMPAIGNS for i in range(4)],
+                                 "campaignid string, sample string, successful_count string, successful_length string, successful_habitat_forward string, successful_habitat_backward string, latitude_dd double")
+    tables = cp.Tables(starter_classification(spark), meta, walk)
+    found = cp.findings(cp.KNOWN_CAMPAIGNS, dots, tables)
+    together = bag(found)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    import re
+
+    assert len(re.findall(r"FileScan parquet[^\n]*dots", plan)) == 1
+    one_by_one = []
+    for s in cp.KNOWN_CAMPAIGNS:
+        if s.vocabulary != "wide":
+            one_by_one += [tuple(r) for r in cp.findings([s], dots, tables).collect()]
+    # Class labels join the columns that all campaigns of a family use.
+    plain = lambda rows: sorted(str(tuple(x for i, x in enumerate(r) if i != 3)) for r in rows)
+    assert plain(together) == plain(one_by_one) and together
+
+
+def test_a_thousand_campaigns_with_ten_rules_each(spark):
+    import random
+
+    rng = random.Random(5)
+    labels = [f"label {i}" for i in range(12)]
+    rules = lambda: tuple(classify.Rule(rng.choice(["broad", "type"]), (rng.choice([*labels, None]),), rng.randint(1, 99), rng.random() < 0.2) if rng.random() < 0.8
+                          else classify.Rule(CODE, (rng.randint(1, 9), None), rng.randint(1, 99)) for _ in range(10))
+    specs = [cp.CampaignSpec(f"c{i}", sample=cp.SampleRule("opcode", ()), rules=rules(), relief=None) for i in range(1000)]
+    dots = spark.createDataFrame([(f"c{rng.randint(0, 999)}", f"o{rng.randint(0, 2)}", rng.choice([*labels, None]), rng.choice(labels), rng.choice([None, "5", "x", "17"])) for _ in range(3000)],
+                                 "campaignid string, opcode string, broad string, type string, code string")
+    schema = spark.createDataFrame([(i, "Biota", f"class {i}") for i in range(1, 100)], f"{CODE} bigint, level_1 string, level_2 string")
+    keys = ["campaignid", "sample", CODE]
+    want = []
+    for a in range(0, 1000, 250):
+        some = specs[a : a + 250]
+        want += bag(counts.tally(cp.prepare(some, dots, rule_sets=10**6), keys), *keys, "count")
+    table = cp.prepare(specs, dots)
+    order = lambda rows: sorted(rows, key=str)
+    assert order(bag(counts.tally(table, keys), *keys, "count")) == order(want)
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().numberedTreeString().split("\n"))
+    assert size(table) == size(cp.prepare(specs[:40], dots))
+    assert order(bag(cp.benthos(specs, dots, cp.Tables(schema)), "campaignid", "sample", CODE, "count")) == order(
+        [r for r in want if r[2] is not None and 1 <= r[2] < 100])
+
+
+def test_campaigns_that_agree_share_a_branch():
+    specs = [cp.CampaignSpec(f"c{i}", code_from="code" if i % 2 else "x_6") for i in range(50)]
+    chain = str(cp.per_campaign(specs, lambda s: F.col(s.code_from), lambda s: s.code_from))
+    assert chain.count("WHEN") == 2 and "CASE" not in str(cp.per_campaign(specs[::2], lambda s: F.col(s.code_from), lambda s: s.code_from))
+
+
+# --- fixed values: headers of finished uploads ------------------------------------------------
+UPLOADS = {
+    ("2012-08_Flinders_CMR_BRUV", "relief"): "campaignid,sample,caab_code,number,level_1,level_2,level_3,level_4,level_5,level_6,level_7,level_8,family,genus,species",
+    ("2013-05_Aidans_Hons_pilchards_stereoBRUVs", "benthos"): "campaignid,sample,caab_code,number,level_1,level_2,level_3,level_4,level_5,level_6,level_7,level_8,family,genus,species",
+    ("2013-05_Aidans_Hons_pilchards_stereoBRUVs", "relief"): "campaignid,sample,caab_code,number,level_1,level_2,level_3,level_4,level_5,level_6,level_7,level_8,family,genus,species",
+    ("2021-05_Abrolhos_stereo-BRUVs", "relief"): "campaignid,opcode,level_1,level_5,level_2,level_3,level_4,level_6,level_7,level_8,family,genus,species,caab_code,count",
+    ("2021-05_PtCloates_stereo-BRUVS", "relief"): "campaignid,sample,level_1,level_5,level_2,level_3,level_4,level_6,level_7,level_8,family,genus,species,count",
+    ("2022-11_Investigator_stereo-BRUVs", "relief"): "campaignid,opcode,level_5,count,caab_code,level_1,level_2,level_3,level_4,level_6,level_7,level_8,family,genus,species",
+    ("2023-03_SwC_stereo-BRUVs", "relief"): "campaignid,opcode,level_1,level_2,level_3,level_4,level_5,caab_code,count",
+}
+
+
+@pytest.mark.parametrize("campaignid,kind", list(UPLOADS))
+def test_uploads_have_the_columns_of_finished_ones(spark, campaignid, kind):
+    out = cp.as_upload(cp.known(campaignid), spark.createDataFrame([], COUNTS).withColumn("filename", F.lit("x")), kind)
+    assert set(out.columns) == set(UPLOADS[campaignid, kind].split(",")), set(out.columns) ^ set(UPLOADS[campaignid, kind].split(","))

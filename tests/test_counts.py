@@ -5,7 +5,7 @@ import pytest
 
 from conftest import bag
 from dotreef.operators import classify, counts, qc
-from dotreef.plans import fixed
+from dotreef import fixed
 from dotreef.schemas import CLASSIFICATION, CODE, LABELS, LEVELS
 from dotreef.sources import starter_classification
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bag
+from dotreef.operators import joins
 from dotreef.operators import joins as j
 
 
@@ -133,3 +134,33 @@ def test_materialised_side_is_what_was_estimated(spark):
     joined = j.lookup(spark.range(10).select(F.col("id").alias("k")), right, ["k"])
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "explode" not in plan
+
+
+def test_unique_lookups_raise_where_a_key_would_multiply(frame):
+    from pyspark.errors import PySparkException
+
+    left = frame("k string, n int", ("a", 1), ("b", 2), (None, 3), ("z", 4))
+    right = frame("k string, v int", ("a", 1), ("b", 2), (None, 5), ("unused", 1), ("unused", 2))
+    assert bag(joins.lookup(left, right, "k", unique=True)) == bag(joins.lookup(left, right, "k"))
+    assert bag(joins.lookup(left, right, "k", "inner", unique=True)) == bag(joins.lookup(left, right, "k", "inner"))
+    for twice in (("a", 9), (None, 9)):
+        double = right.union(frame("k string, v int", twice))
+        for df in (joins.lookup(left, double, "k", unique=True), joins.lookup(left, double, "k", unique=True).select("n"), joins.natural_join(left, double, unique=True)):
+            with pytest.raises(PySparkException, match="occurs 2 times"):
+                df.collect()
+        assert bag(joins.fan_outs(left, double, "k")) == [(twice[0], 1, 2)]
+    assert joins.fan_outs(left, right, "k").isEmpty()
+
+
+def test_strict_relabel(frame):
+    from pyspark.errors import PySparkException
+
+    from dotreef.operators import classify
+
+    points = frame("campaignid string, sample string, broad string", ("c", "s", "x"), ("c", "s", "x"))
+    walk = frame("broad string, caab_code bigint", ("x", 1))
+    schema = frame("caab_code bigint, level_1 string, level_2 string", (1, "Biota", "Sponges"), (2, "Biota", "Sponges"))
+    loose = classify.counts_with_relabel(points, walk, schema, ["broad"])
+    assert bag(loose, "caab_code", "count") == [(1, 2), (2, 2)]
+    with pytest.raises(PySparkException, match="occurs 2 times"):
+        classify.counts_with_relabel(points, walk, schema, ["broad"], unique=True).collect()

@@ -33,16 +33,16 @@ def test_plans_stay_in_the_jvm_and_never_pair_everything(spark):
         plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         found = re.findall(r"CartesianProduct|BroadcastNestedLoopJoin|ArrowEvalPython|BatchEvalPython|SinglePartition", plan)
         # One-row results (and the preview) end in a single partition by nature.
-        allowed = {"SinglePartition"} if name in ("qc_report", "profile", "row_id", "preview") else set()
+        allowed = {"SinglePartition"} if name in ("qc_report", "profile", "row_id", "row_number", "preview") else set()
         assert set(found) <= allowed, (name, found)
 
 
-@pytest.mark.parametrize("name", ["unmatched_classes", "unmatched_classes_sink", "campaign_id_diff", "campaign_point_checks", "coverage_summary"])
+@pytest.mark.parametrize("name", ["unmatched_classes", "unmatched_classes_sink", "campaign_id_diff", "campaign_point_checks", "coverage_summary", "anti_single", "fan_outs", "landing_findings", "archive_findings"])
 def test_findings_are_not_empty(spark, name):
     assert registered.QUERIES[name](spark, SMALL).count() > 0
 
 
-@pytest.mark.parametrize("name", ["overlay_labels", "counts_by_path", "rosetta_counts", "qc_report"])
+@pytest.mark.parametrize("name", ["overlay_labels", "counts_by_path", "rosetta_counts", "qc_report", "archive_findings"])
 def test_dots_are_read_once(spark, name):
     df = registered.QUERIES[name](spark, SMALL)
     df.collect()

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import bag
@@ -8,7 +9,7 @@ from dotreef.operators.columns import rename
 from dotreef.schemas import CLASSIFICATION, CODE
 from dotreef.sources import (
     read_annotations, read_classification, read_crosswalk, read_metadata, read_plain_csv, scan_ragged, scratch_dir,
-    store_points, synthesise_metadata, write_metadata, write_report, write_upload,
+    store_points, synthesise_metadata, write_metadata, write_report, write_upload, write_upload_files,
 )
 
 PREAMBLE = "Measurements\n\nby someone\nunits\n"
@@ -70,10 +71,57 @@ def test_quotes(spark, tmp_path, limit):
     assert ("q\tr", 'say "so"') in [r[:2] for r in rows] and len(rows) == 4
 
 
-def test_quoted_line_break_is_an_error(spark, tmp_path):
-    (tmp_path / "m.txt").write_text('a\tb\n1\t"two\nlines"\n')
-    with pytest.raises(Exception, match="does not end on its line"):
-        scan_ragged(spark, str(tmp_path), skip=0, glob="*.txt", columns=["a", "b"]).collect()
+TORN = (
+    'a\tb\tc\n1\t"two\nlines"\tx\n2\t"a ""quoted"" word\n\nand\ta tab\n"\ty\n3\tplain\tz\n"4\n4"\t"5"\t"6\n6\n6"\n5\t12" deep\t"7" x\n6\tend\t"last\none"'
+)
+TORN_ROWS = [
+    ("1", "two\nlines", "x"), ("2", 'a "quoted" word\n\nand\ta tab\n', "y"), ("3", "plain", "z"), ("4\n4", "5", "6\n6\n6"), ("5", '12" deep', '"7" x'), ("6", "end", "last\none"),
+]
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+@pytest.mark.parametrize("block", ["7", "20", "134217728"])
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_quoted_line_breaks(spark, tmp_path, limit, block, ending):
+    """The same rows whole or split, wherever the file is cut; other files are not touched by it."""
+    for k in range(2):
+        (tmp_path / f"torn{k}.txt").write_bytes((TORN + ("" if k else "\n")).replace("\n", ending).encode())
+    (tmp_path / "plain.txt").write_text('b\ta\n"q"\t7\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        out = scan_ragged(spark, str(tmp_path), skip=0, glob="*.txt", columns=["a", "b", "c"], whole_file_bytes=limit)
+        assert bag(out, "a", "b", "c") == sorted(TORN_ROWS * 2 + [("7", "q", None)], key=lambda t: tuple((x is None, str(x)) for x in t))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_random_tables_with_quotes(spark, tmp_path):
+    """What a CSV writer wrote comes back, whatever stands in its cells."""
+    import csv
+    import random
+
+    rng, want = random.Random(11), []
+    for k in range(4):
+        rows = [["".join(rng.choice(['a', 'b', '"', '\n', ',', ' ', 'é', '""']) for _ in range(rng.randint(1, 7))).strip(' "') or "x" for _ in range(3)] for _ in range(40)]
+        with open(tmp_path / f"t{k}.csv", "w", newline="") as f:
+            csv.writer(f, lineterminator="\n").writerows([["a", "b", "c"], *rows])
+        want += [tuple(r) for r in rows]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for limit, block in ((1 << 20, "134217728"), (0, "134217728"), (0, "61"), (0, "150")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+            out = scan_ragged(spark, str(tmp_path), sep=",", skip=0, glob="*.csv", columns=["a", "b", "c"], whole_file_bytes=limit)
+            assert bag(out, "a", "b", "c") == sorted(want, key=lambda t: tuple((x is None, str(x)) for x in t)), (limit, block)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_a_quoted_cell_that_never_ends_is_an_error(spark, tmp_path, limit):
+    (tmp_path / "m.txt").write_text('a\tb\n1\t"two\nlines\n' + "x\ty\n" * 50)
+    with pytest.raises(Exception, match="quoted cell does not end"):
+        scan_ragged(spark, str(tmp_path), skip=0, glob="*.txt", columns=["a", "b"], whole_file_bytes=limit).collect()
 
 
 def test_kinds_in_one_path_under_static_mode(spark, frame):
@@ -182,3 +230,77 @@ def test_dimension_snapshots(spark, tmp_path):
     (tmp_path / "walk.csv").write_text("Broad,caab_code\nA,1\nA,1\nNA,2\n")
     assert bag(read_crosswalk(spark, str(tmp_path / "walk.csv"))) == [("A", 1), (None, 2)]
     assert isinstance(got.schema[CODE].dataType, T.LongType)
+
+
+def test_no_column_of_any_file_is_lost(spark, tmp_path):
+    (tmp_path / "one.txt").write_text(PREAMBLE + "Filename\tCode\tNote\tNote\na.JPG\t1\tx\ty\tbeyond\nb.JPG\t\t\tz\n")
+    (tmp_path / "two.txt").write_text(PREAMBLE + "Other\tFILENAME\nq\tc.JPG\n")
+    for limit in (0, 1 << 20):
+        out = scan_ragged(spark, str(tmp_path), glob="*.txt", columns=["filename"], rest="rest", whole_file_bytes=limit)
+        got = {r["filename"]: r["rest"] for r in out.collect()}
+        assert got == {"a.JPG": {"code": "1", "note": "x", "note_2": "y", "cell_5": "beyond"}, "b.JPG": {"note_2": "z"}, "c.JPG": {"other": "q"}}
+
+
+def test_rows_taken_for_headers_do_not_flood_the_driver(spark, tmp_path, monkeypatch):
+    from dotreef.sources import ragged
+
+    monkeypatch.setattr(ragged, "MOST_NAMES", 20)
+    for i in range(5):
+        (tmp_path / f"{i}.txt").write_text(PREAMBLE + "\t".join(f"n{i}_{k}" for k in range(6)) + "\n")
+    with pytest.raises(ValueError, match="more than 20 different names"):
+        scan_ragged(spark, str(tmp_path), glob="*.txt")
+
+
+def test_one_file_for_each_campaign(spark, tmp_path):
+    rows = [(c, f"s{i}", i % 3 or None) for c in ("c one", "c/2", "ü=x") for i in range(20)]
+    df = spark.createDataFrame(rows, "campaignid string, sample string, count int").repartition(5)
+    path = str(tmp_path / "up")
+    for _ in range(2):  # the second one replaces the files of the first
+        seen = write_upload_files(df, path, "benthos", rename_sample="opcode", order=["opcode"], watch={"empty": F.col("count").isNull()})
+    assert seen == {"rows": 60, "empty": 21}
+    names = sorted(p.relative_to(path).as_posix() for p in (tmp_path / "up").rglob("*.csv"))
+    assert names == sorted(["c one_benthos.csv", "c%2F2_benthos.csv", "ü=x_benthos.csv"])
+    text = (tmp_path / "up" / "c one_benthos.csv").read_text().splitlines()
+    assert text[0] == "campaignid,opcode,count" and text[1:] == sorted(text[1:], key=lambda r: r.split(",")[1]) and len(text) == 21 and text[1].endswith("NA")
+
+
+def test_findings_are_observed_while_writing(spark, tmp_path):
+    rows = [("c", "s", i % 4 or None) for i in range(40)]
+    df = spark.createDataFrame(rows, "campaignid string, sample string, count int")
+    seen = write_upload(df, str(tmp_path / "up"), "benthos", watch={"empty": F.col("count").isNull(), "big": F.col("count") > 2})
+    assert seen == {"rows": 40, "empty": 10, "big": 10}
+    assert write_upload(df.limit(0), str(tmp_path / "none"), "benthos", watch={"empty": F.lit(True)}) == {"rows": 0, "empty": 0}
+
+
+@pytest.mark.parametrize("block", ["2000", "134217728"])
+def test_row_numbers_follow_the_files(spark, tmp_path, block):
+    from dotreef.operators.columns import with_row_number
+
+    for k in range(3):
+
+        (tmp_path / f"f{k}.txt").write_text("".join(f"{k * 1000 + i}\n" for i in range(400)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        lines = spark.read.text(str(tmp_path))
+        want = [(str(k * 1000 + i), k * 400 + i + 1) for k in range(3) for i in range(400)]
+        assert sorted(tuple(r) for r in with_row_number(lines).collect()) == sorted(want)
+        odd = [(v, j) for j, (v, _) in enumerate([w for w in want if int(w[0]) % 2], 1)]
+        assert sorted(tuple(r) for r in with_row_number(lines.filter("value % 2 = 1"), "n").collect()) == sorted(odd)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_scratch_folders_go(spark):
+    from pathlib import Path
+
+    from dotreef.sources import sinks
+
+    first = sinks.scratch_count()
+    kept, gone = scratch_dir(spark, "kept"), scratch_dir(spark)
+    for path in (kept, gone):
+        spark.range(3).write.parquet(path)
+    sinks.drop_scratch(spark, first, keep=[kept])
+    assert Path(kept).exists() and not Path(gone).exists() and sinks.scratch_count() == first + 1
+    sinks.drop_scratch(spark, first)
+    assert not Path(kept).exists()
