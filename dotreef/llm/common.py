@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -25,6 +26,7 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
+    """Results are lazy and run later, so these stay set for the session; whatever is needed only inside an operator goes through ``settings``."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     # Workers find this package also where the driver was started elsewhere.
@@ -33,9 +35,28 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, name: str = "part") -> DataFrame:
-    """``df`` as a table in the shared folder: lineage ends here, and a lost executor costs no recomputation before it."""
-    path = f"{scratch_dir(df.sparkSession)}-{name}"
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """The session with ``values`` set, and as it was before afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def stored(df: DataFrame, name: str = "part", path: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder: lineage ends here, and a lost executor costs no recomputation before it.
+
+    The table goes with the process (``scratch_dir``), or earlier if the caller drops it.
+    """
+    path = path or scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -61,22 +82,28 @@ def without_id(df: DataFrame) -> DataFrame:
     return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
-#: Name of the column that ``located`` adds.
-PLACE = "_place_of_row"
-
-
 def located(docs: DataFrame) -> DataFrame:
-    """Every column of ``docs`` with ``PLACE``, the place of the row: hash of its file and row number there.
+    """Every column of ``docs`` and last the place of the row: hash of its file and row number there, under a name that is free (``place_of``).
 
     Rows that come from no file (or through an operator that hides it) are first stored once in the shared folder.
     """
-    place = F.struct(
-        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").cast("long").alias("row")
-    ).alias(PLACE)
+    name, taken = "_place_of_row", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+
+    def placed(df: DataFrame) -> DataFrame:
+        hidden = df.metadataColumn("_metadata")  # a column of that name may stand beside it
+        return df.select("*", F.struct(F.xxhash64(hidden["file_path"]).alias("file"), hidden["row_index"].cast("long").alias("row")).alias(name))
+
     try:
-        return docs.select("*", place)
+        return placed(docs)
     except AnalysisException:
-        return stored(docs, "rows").select("*", place)
+        return placed(stored(docs, "rows"))
+
+
+def place_of(rows: DataFrame) -> str:
+    """Name of the column that ``located`` added."""
+    return rows.columns[-1]
 
 
 def per_document(df: DataFrame, fn: Callable[[list[str]], dict[str, Sequence]], schema: str, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -17,10 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.sinks import scratch_dir
-from .common import PLACE, located, stored, tune
+from .common import located, place_of, settings, stored, tune
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FILES_PER_BATCH = 64
+#: While the stream runs: disk-backed state, and a store is open while its task runs, not longer.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKS,
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -36,17 +42,13 @@ def seen(landing: DataFrame) -> DataFrame:
     spark = landing.sparkSession
     if landing.isEmpty():
         return landing.groupBy("digest").agg(F.max(F.struct("doc_id", "loc")).alias("keep"), F.count("*").alias("n"))
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-    spark.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")  # a store is open while its task runs, not longer
-    checkpoint = f"{scratch_dir(spark)}-dedup-state"
+    checkpoint = scratch_dir(spark, "dedup-state")
     folder = landing.inputFiles()[0].rsplit("/", 1)[0]
     rows = spark.readStream.schema(landing.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(folder)
     state = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "loc")).alias("keep"), F.count("*").alias("n"))
-    query = (
-        state.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    sink = state.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with settings(spark, STATE):
+        sink.start().awaitTermination()
     held = spark.read.format("statestore").load(checkpoint)
     keep, n = held.schema["value"].dataType.names
     return held.select(F.col("key.digest").alias("digest"), F.col(f"value.`{keep}`").alias("keep"), F.col(f"value.`{n}`").alias("n"))
@@ -59,7 +61,7 @@ def assign(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> Data
 
 def _assign(placed: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     tune(placed.sparkSession)
-    rows = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(PLACE).alias("loc"), _text().alias("text"))
+    rows = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{place_of(placed)}`").alias("loc"), _text().alias("text"))
     landing = stored(rows.select("doc_id", "loc", digest(F.col("text")).alias("digest"), sha256(F.col("text")).alias("sha")), "landing")
     state = stored(seen(landing), "state")
     out = landing.join(state, "digest").select(
@@ -83,5 +85,5 @@ def _assign(placed: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stay: one of each group of equal texts."""
     rows = located(docs)
-    kept = _assign(rows, sha256).where("kept").select(F.col("loc").alias(PLACE))
-    return rows.join(kept, PLACE, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = _assign(rows, sha256).where("kept").select(F.col("loc").alias(place_of(rows)))
+    return rows.join(kept, place_of(rows), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

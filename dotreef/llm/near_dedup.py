@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACE, components, located, stored, tune, with_id, without_id
+from .common import components, located, place_of, stored, tune, with_id, without_id
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
@@ -168,7 +168,7 @@ def group(docs: DataFrame, similarity: float = SIMILARITY, n_bands: int = BANDS,
 def _group(placed_docs: DataFrame, similarity: float, n_bands: int, rows: int) -> DataFrame:
     tune(placed_docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    source = placed_docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(PLACE).alias("loc"), text)
+    source = placed_docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{place_of(placed_docs)}`").alias("loc"), text)
     flat = with_id(source.select("doc_id", "loc.file", "loc.row", "text"))
     signed = without_id(flat.mapInPandas(_sign(n_bands, rows), "doc_id long, file long, row long, digest binary, bands array<long>"))
     signed = stored(signed.select("doc_id", F.struct("file", "row").alias("loc"), "digest", "bands"), "signed")
@@ -213,5 +213,5 @@ def _group(placed_docs: DataFrame, similarity: float, n_bands: int, rows: int) -
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stay: one of each group of near duplicates."""
     rows = located(docs)
-    kept = _group(rows, SIMILARITY, BANDS, ROWS).where("kept").select(F.col("loc").alias(PLACE))
-    return rows.join(kept, PLACE, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = _group(rows, SIMILARITY, BANDS, ROWS).where("kept").select(F.col("loc").alias(place_of(rows)))
+    return rows.join(kept, place_of(rows), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,11 +1,11 @@
-"""Removal of long byte strings that occur more than once, by prefix doubling over chosen positions.
+"""Removal of long byte strings that occur more than once, by window minima and counted fingerprints.
 
-Every window of ``length`` bytes chooses one position inside it, the one whose next ``2 * half`` bytes hash lowest, so equal windows choose
-at equal offsets wherever they stand. Only chosen positions are ranked (about one in fifty bytes). Ranks double: the name of
-``half`` bytes at a position and the name of the next ``half`` make a pair, pairs are counted, and positions with a pair of their own drop
-out. The last step passes the threshold: survivors get the bytes of all windows that chose them. Equal ones among these settle all those
-windows at once; where they differ in part, each single window is named and counted. Contexts and single windows go by 128 bits, which
-stand for their bytes; the 64-bit names of halves only choose what is looked at.
+This is not prefix doubling: no position is sorted or ranked (README says why). Every window of ``length`` bytes chooses one position inside it, the one
+whose next ``2 * half`` bytes hash lowest, so equal windows choose at equal offsets wherever they stand. Only chosen positions are looked at (about one
+in fifty bytes): the fingerprint of ``half`` bytes there and that of the next ``half`` make a pair, pairs are counted, and positions with a pair of their own
+drop out. Survivors get the bytes of all windows that chose them. Equal ones among these settle all those windows at once; where they differ in part, each
+single window is named and counted. Contexts and single windows go by the MD5 of their bytes, which stands for them; the 64-bit fingerprints of halves
+only choose what is looked at.
 
 Texts are UTF-8 bytes, matches never cross texts. NULL is the empty text; a text shorter than ``length`` has no window. Repeated rows are
 texts that repeat each other, both are removed. Strings that overlap themselves count. Extra columns are not read. A long text
@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACE, located, stored, tune
+from .common import located, place_of, stored, tune
 
 LENGTH = 400
 #: Windows of one segment of a text.
 SEGMENT = 1 << 19
-# Two odd multipliers; arithmetic is modulo 2 ** 64.
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+# An odd multiplier; arithmetic is modulo 2 ** 64.
+BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 _powers: dict[int, np.ndarray] = {}
 
@@ -68,7 +68,7 @@ def _segments(n: int, length: int) -> Iterator[tuple[int, int]]:
 
 def choose(data: np.ndarray, length: int, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Names]:
     """Chosen positions of one segment with the first and last window that chose each."""
-    names, windows = Names(data, BASES[0]), len(data) - length + 1
+    names, windows = Names(data, BASE), len(data) - length + 1
     span = length - 2 * half + 1
     key = names.every(2 * half)
     key = (key ^ (key >> _U(29))) * _U(0xBF58476D1CE4E5B9)
@@ -129,30 +129,27 @@ def _joined(parts: list):
 
 
 def _windows(length: int):
-    """Maps (file, row, text, spans) to one row per window of the spans: its name and place."""
-    names = ["file", "row", "at", "single", "one", "two"]
-    kinds = [_LONG, _LONG, _LONG, pa.bool_(), _LONG, _LONG]
+    """Maps (file, row, text, spans) to one row per window of the spans: its digest and place."""
+    names = ["file", "row", "at", "single", "name"]
+    kinds = [_LONG, _LONG, _LONG, pa.bool_(), _BIN]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[] for _ in names]
             for i, (file, row, text) in enumerate(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)):
-                data = np.frombuffer(text.encode(), np.uint8)
-                code = np.sort(b.column(3)[i].values.to_numpy())
-                single, code = code & 1, code >> 1
-                low, n = code >> _WIDTH, (code & (1 << _WIDTH) - 1) + 1
-                at = np.repeat(low + n - np.cumsum(n), n) + np.arange(n.sum())
-                first = int(at[0])
-                data = data[first : int(at.max()) + length]  # nothing before or after is asked for
-                made = [Names(data, base).at(at - first, length).view(np.int64) for base in BASES]
-                for c, m in zip(cols, (np.full(len(at), file), np.full(len(at), row), at, np.repeat(single, n) == 1, *made), strict=True):
-                    c.append(m)
-                if sum(map(len, cols[0])) > 100_000:
-                    yield _arrow_rows(names, kinds, [_joined(c) for c in cols])
-                    cols = [[] for _ in names]
+                raw = memoryview(text.encode())
+                for code in b.column(3)[i].values.to_pylist():
+                    low, n = code >> 1 >> _WIDTH, (code >> 1 & (1 << _WIDTH) - 1) + 1
+                    made = (np.full(n, file), np.full(n, row), np.arange(low, low + n), np.full(n, code & 1 == 1),
+                            [hashlib.md5(raw[k : k + length]).digest() for k in range(low, low + n)])
+                    for c, m in zip(cols, made, strict=True):
+                        c.append(m)
+                    if sum(map(len, cols[0])) > 100_000:
+                        yield _arrow_rows(names, kinds, [_joined(c) for c in cols])
+                        cols = [[] for _ in names]
             yield _arrow_rows(names, kinds, [_joined(c) for c in cols])
 
-    return run, "file long, row long, at long, single boolean, one long, two long"
+    return run, "file long, row long, at long, single boolean, name binary"
 
 
 #: Bits for the number of windows of a span that follow its first one; a span is at most a segment.
@@ -184,7 +181,8 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``file, row, spans`` of every located row with windows that occur anywhere else; a span is one number for the first window and how many follow."""
     tune(docs.sparkSession)
     half = 3 * length // 8
-    source = docs.select(f"{PLACE}.file", f"{PLACE}.row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    place = f"`{place_of(docs)}`"
+    source = docs.select(f"{place}.file", f"{place}.row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     long_enough = source.where(F.octet_length("text") >= length)
 
     run, schema = _positions(length, half, contexts=False)
@@ -205,9 +203,9 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     asked = asked.groupBy("file", "row").agg(F.collect_list(code).alias("spans"))
     run, schema = _windows(length)
     windows = stored(long_enough.join(asked, ["file", "row"]).select("file", "row", "text", "spans").mapInArrow(run, schema), "windows")
-    twice = windows.groupBy("one", "two").agg(F.count("*").alias("n"), F.max("single").alias("any")).where("n > 1 AND any").select("one", "two")
+    twice = windows.groupBy("name").agg(F.count("*").alias("n"), F.max("single").alias("any")).where("n > 1 AND any").select("name")
     twice = stored(twice, "twice")  # its own table: the join's sides are then plain exchanges, and hot names are cut
-    late = windows.where("single").join(twice, ["one", "two"]).select("file", "row", F.col("at").alias("low"), F.col("at").alias("high"))
+    late = windows.where("single").join(twice, "name").select("file", "row", F.col("at").alias("low"), F.col("at").alias("high"))
     return settled.unionByName(late).groupBy("file", "row").agg(F.collect_list(_span("low", "high")).alias("spans"))
 
 
@@ -223,9 +221,10 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def _removed(docs: DataFrame, length: int, column: str, of) -> DataFrame:
     placed = located(docs)
+    place = f"`{place_of(placed)}`"
     spans = stored(repeated(placed, length), "spans")
     rows = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-                         F.col(f"{PLACE}.file").alias("file"), F.col(f"{PLACE}.row").alias("row"))
+                         F.col(f"{place}.file").alias("file"), F.col(f"{place}.row").alias("row"))
     name, kind = column.split()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

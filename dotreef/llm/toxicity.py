@@ -1,13 +1,14 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A lexical transducer turns words into classes (insult, threat, target, negation, reported speech) with weights; insults and their stems are
-learned from labelled rows. Small transducers for target, threat, negation and reported speech are composed into one grammar that multiplies the
-weight of an insult or threat by what stands around it in its clause. A document's features are sums over its matched clauses, and its heaviest
-aimed threat, which needs no learned word; a logistic function fitted on the same rows makes a score of them. The weight of threats has a prior that holds
-where no labelled row has a threat.
+A lexical transducer turns words into classes (insult, threat, target, speaker, negation, reported speech and a few more) with weights; insults and
+their stems are learned from labelled rows. Small transducers for insult, target, threat, negation and reported speech are composed into one grammar that
+multiplies the weight of an insult or threat by what stands around it in its clause. A document's features are sums over its matched clauses, and its
+heaviest vow, which needs no learned word: the speaker, then a verb of violence with the person addressed as its object ("I will shoot you", "ich werde dich
+töten", but neither "you burn calories" nor "I will shoot you an email"). A logistic function fitted on the same rows makes a score of the features. The
+weight of vows has a prior that holds where no labelled row has one; verbs with everyday meanings (``MILD``) stay below one half until labels support them.
 
 NULL and empty text match nothing and score the base rate. Repeated rows score alike; only ``text`` enters a score. Without labelled rows of
-both kinds the lexicon is empty and every score without an aimed threat is the share of toxic rows, or 0 without any.
+both kinds the lexicon is empty and every score without a vow is the share of toxic rows, or 0 without any.
 """
 
 from __future__ import annotations
@@ -38,29 +39,49 @@ TARGETS = frozenset("you your yours u ur he she they him her them these those du
 NEGATIONS = frozenset("not no never neither nor isn aren wasn weren don doesn didn nicht kein keine nie niemals ne pas jamais non nunca jamás tampoco".split())
 REPORTS = frozenset("said says say wrote writes quoted quote quotes called claimed according sagte schrieb zitiert dit écrit cité dijo escribió citó".split())
 THREATS = frozenset("kill killing murder hurt beat destroy burn shoot stab hang töten umbringen tuer frapper matar golpear".split())
+#: Of these, verbs with everyday meanings.
+MILD = frozenset("beat destroy burn hang frapper golpear".split())
+SPEAKERS = frozenset("i we ich wir je nous yo nosotros voy vamos werde".split())
+#: The person addressed: after the verb, and as an object that stands before it.
+ADDRESSED, CLITICS = frozenset("you u ya".split()), frozenset("dich dir euch te toi vous os".split())
+ARTICLES = frozenset("a an the some one ein eine einen un une una la le el".split())
+COPULAS = frozenset("are re is am bist ist sind seid es eres sois est êtes suis".split())
 
 _CLAUSE = re.compile(r"[.!?;:\n|]+")
 _WORD = re.compile(r"[^\W_]+")
 
 # Each transducer: (state, class) -> (next state, factor). A class without an arc keeps the state at factor 1.
 Arcs = dict[tuple[str, str], tuple[str, float]]
+CLASSES = ("insult", "threat", "target", "addressed", "clitic", "speaker", "negation", "report", "article", "copula", "other")
+#: Classes that name somebody.
+SOMEBODY = ("target", "addressed", "clitic")
+#: An insult that is said of somebody ("you are a ...").
+INSULT: Arcs = {
+    **{("none", c): ("subject", 1.0) for c in SOMEBODY}, ("subject", "copula"): ("said", 1.0), ("said", "insult"): ("said", 1.2),
+}
 TARGET: Arcs = {
-    ("none", "target"): ("aimed", 1.0), ("aimed", "insult"): ("aimed", 1.5),
-    ("none", "insult"): ("pending", 1.0), ("pending", "target"): ("aimed", 1.0),
+    **{("none", c): ("aimed", 1.0) for c in SOMEBODY}, ("aimed", "insult"): ("aimed", 1.5),
+    ("none", "insult"): ("pending", 1.0), **{("pending", c): ("aimed", 1.0) for c in SOMEBODY},
 }
-#: Accepts in "made": a threat and a target in one clause, in either order.
+#: Accepts in "due" and "vowed" (the speaker, a verb, the person addressed, in the order of the language) and, for clauses that hold an insult as
+#: well, in "made" (a verb next to anybody). An article after "due" shows that something else is the object.
 THREAT: Arcs = {
-    ("none", "threat"): ("open", 1.0), ("open", "target"): ("made", 1.0), ("none", "target"): ("aimed", 1.0), ("aimed", "threat"): ("made", 1.0),
+    **{("none", c): ("met", 1.0) for c in ("target", "addressed")}, ("none", "clitic"): ("before", 1.0), ("none", "threat"): ("act", 1.0),
+    **{(s, "speaker"): ("spoke", 1.0) for s in ("none", "met", "act")}, ("before", "speaker"): ("both", 1.0),
+    **{("act", c): ("made", 1.0) for c in SOMEBODY}, **{(s, "threat"): ("made", 1.0) for s in ("met", "before")},
+    ("spoke", "clitic"): ("both", 1.0), ("spoke", "threat"): ("open", 1.0), ("both", "threat"): ("vowed", 1.0),
+    **{("open", c): ("spoke", 1.0) for c in CLASSES}, ("open", "threat"): ("open", 1.0), ("open", "target"): ("made", 1.0),
+    ("open", "addressed"): ("due", 1.0), ("open", "clitic"): ("due", 1.0),
+    **{("due", c): ("vowed", 1.0) for c in CLASSES}, ("due", "article"): ("spoke", 1.0),
 }
 NEGATION: Arcs = {
     **{(s, "negation"): ("no3", 1.0) for s in ("none", "no3", "no2", "no1")},
     **{(s, c): (s, 0.5) for s in ("no3", "no2", "no1") for c in ("insult", "threat")},
-    ("no3", "other"): ("no2", 1.0), ("no2", "other"): ("no1", 1.0), ("no1", "other"): ("none", 1.0),
+    **{(s, c): (t, 1.0) for s, t in (("no3", "no2"), ("no2", "no1"), ("no1", "none")) for c in ("other", "article", "copula")},
 }
 REPORT: Arcs = {
     ("none", "report"): ("told", 1.0), ("told", "insult"): ("told", 0.6), ("told", "threat"): ("told", 0.6),
 }
-CLASSES = ("insult", "threat", "target", "negation", "report", "other")
 
 
 def compose(*machines: Arcs) -> dict[tuple[tuple[str, ...], str], tuple[tuple[str, ...], float]]:
@@ -74,26 +95,38 @@ def compose(*machines: Arcs) -> dict[tuple[tuple[str, ...], str], tuple[tuple[st
     return out
 
 
-GRAMMAR = compose(TARGET, THREAT, NEGATION, REPORT)
-START = ("none", "none", "none", "none")
-#: A threat counts only where a target stands in its clause; an unlearned threat word has this weight.
-THREAT_WEIGHT = 1.0
-#: Prior: log odds of a text whose only match is one aimed threat, neither negated nor reported, and the precision with which labelled
-#: rows that have threats meet it.
+GRAMMAR = compose(INSULT, TARGET, THREAT, NEGATION, REPORT)
+START = ("none",) * 5
+MADE = ("due", "vowed", "made")
+#: Weight of an unlearned verb of violence, and of one that has everyday meanings, is negated or reported.
+THREAT_WEIGHT, MILD_WEIGHT = 1.0, 0.4
+#: Prior: log odds of a text whose only match is one vow, neither negated nor reported, and the precision with which labelled
+#: rows that have vows meet it.
 THREAT_ODDS, THREAT_PRECISION = 2.0, 0.25
 
 
 def threat_prior(base: float) -> float:
-    """Coefficient of the threat feature that gives a lone threat its prior log odds over the intercept ``base``."""
+    """Coefficient of the threat feature that gives a lone vow its prior log odds over the intercept ``base``."""
     return max(0.0, THREAT_ODDS - base) / math.log1p(THREAT_WEIGHT)
 
 
+#: Words of the closed classes; where a word is in several, the first class has it.
+LEXICON = {
+    w: kind
+    for kind, words in reversed([
+        ("threat", THREATS), ("addressed", ADDRESSED), ("clitic", CLITICS), ("speaker", SPEAKERS), ("target", TARGETS), ("negation", NEGATIONS),
+        ("report", REPORTS), ("copula", COPULAS), ("article", ARTICLES),
+    ])
+    for w in words
+}
+
+
 @dataclass
 class Model:
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
     coefficients: tuple[float, ...] = (-20.0, 0.0, 0.0, 0.0)
-    #: Coefficient of the heaviest aimed threat; the prior one if not given.
+    #: Coefficient of the heaviest vow; the prior one if not given.
     threat: float | None = None
 
     def __post_init__(self) -> None:
@@ -108,28 +141,29 @@ class Model:
         return best
 
     def clause(self, words: Sequence[str], known: dict[str, float]) -> tuple[float, int, float]:
-        """Weight and number of matches of one clause, and its heaviest threat, 0 if aimed at nobody.
+        """Weight and number of matches of one clause, and its heaviest vow, 0 without one.
 
         Threats beside a learned word add to the weight; alone they are no match.
         """
-        state, total, hits, threats, worst = START, 0.0, 0, 0.0, 0.0
+        state, total, hits, threats, last, worst = START, 0.0, 0, 0.0, 0.0, 0.0
         for w in words:
             own = known.get(w, 0.0)
-            kind = (
-                "insult" if own else "threat" if w in THREATS else "target" if w in TARGETS
-                else "negation" if w in NEGATIONS else "report" if w in REPORTS else "other"
-            )
+            kind = "insult" if own else LEXICON.get(w, "other")
+            before = state[2]
             state, factor = GRAMMAR[state, kind]
             if own:
                 total, hits = total + own * factor, hits + 1
             elif kind == "threat":
-                threats, worst = threats + THREAT_WEIGHT * factor, max(worst, THREAT_WEIGHT * factor)
-        if state[1] != "made":
-            threats = worst = 0.0
-        return total + (threats if hits else 0.0), hits, worst
+                last = (MILD_WEIGHT if w in MILD or factor < 1 else THREAT_WEIGHT) * factor
+                threats += last
+            if state[2] == "vowed" and before != "vowed":
+                worst = last
+        if state[2] == "due":
+            worst = last
+        return total + (threats if hits and state[2] in MADE else 0.0), hits, worst
 
     def features(self, text: str) -> tuple[float, float, float, float]:
-        """Logs of the summed clause weights, of the heaviest clause, of the number of different matched words, and of the heaviest aimed threat.
+        """Logs of the summed clause weights, of the heaviest clause, of the number of different matched words, and of the heaviest vow.
 
         None depends on the length of the text: a few insults weigh the same in a long one.
         """

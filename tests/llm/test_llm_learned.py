@@ -109,13 +109,36 @@ def test_stages_on_awkward_rows(spark, tmp_path):
         assert out.count() == 0 or "sequence_id" in out.columns
 
 
+_LONGS = lambda *names: dict.fromkeys(names, "bigint")
+#: Columns that each query must return.
+CONTRACT = {
+    "op1_packing": _LONGS("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"),
+    "op2_licences": {**_LONGS("doc_id", "n_words", "n_base", "first_word", "last_word"), "base_labels": "string", "labels": "string", "score": "double"},
+    "op3_repeats": {**_LONGS("doc_id", "n_bytes", "n_removed", "n_spans"), "kept_sha256": "string"},
+    "op4_exact_dedup": {**_LONGS("doc_id", "keep_id", "group_size"), "kept": "boolean", "text_sha256": "string"},
+    "op5_sharding": {**_LONGS("doc_id", "size", "text_crc32", "slot"), "law": "string", "shard": "int", "grown_shard": "int"},
+    "op6_vector_links": {**_LONGS("vec_id", "n_links", "component_id"), "kept": "boolean"},
+    "op7_bpe": {**_LONGS("doc_id", "n_tokens"), "ids_sha256": "string", "decoded_sha256": "string"},
+    "op8_near_dedup": {**_LONGS("doc_id", "class_id"), "kept": "boolean"},
+    "op9_pii": {**_LONGS("doc_id", "n_email", "n_ip", "n_card", "n_phone"), "base_sha256": "string", "spans": "string"},
+    "op10_toxicity": {**_LONGS("doc_id"), "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_filter_audit": {**_LONGS("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"), "part": "string", "filter_order": "string", "step": "int"},
+    "op12_source_divergence": {**dict.fromkeys(("lang", "source", "part", "item"), "string"), "value": "bigint", "rank": "int"},
+    "op13_lm_scoring": {**_LONGS("doc_id", "n_tokens", "n_known", "train_tokens"), "held_out": "boolean", "base_score": "double", "score": "double"},
+}
+
+
 @pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()])
 def test_registered_operators(spark, name):
     from check import compare, connect
 
-    df = entry.queries()[name](spark, SMALL)
-    ids = "vec_id" if "vec_id" in df.columns else "doc_id"
-    assert df.select(ids).distinct().count() == (500 if ids == "vec_id" else 200) or df.count() > 0
+    df = entry.queries()[name](spark, SMALL).cache()
+    assert {c: dict(df.dtypes)[c] for c in CONTRACT[name]} == CONTRACT[name]
+    table, ids = ("embeddings", "vec_id") if "vec_id" in df.columns else ("documents", "doc_id")
+    if ids in df.columns:
+        whole = spark.read.parquet(f"{SMALL}/{table}.parquet")
+        assert {r[0] for r in df.select(ids).distinct().collect()} == {r[0] for r in whole.select(ids).collect()}
+        assert df.count() == whole.count() or name == "op1_packing"
     if name in entry.oracle_sql():
         assert compare(spark, connect(SMALL), SMALL, name) == ""
 
@@ -124,6 +147,28 @@ def test_pipeline_is_registered():
     assert "pipeline" in entry.queries()
 
 
+def test_a_stage_leaves_only_what_the_next_one_reads(spark):
+    from dotreef.sources import sinks
+
+    first, shared = sinks.scratch_count(), spark.conf.get("spark.checkpoint.dir")
+    from pathlib import Path
+
+    before = set(Path(shared).iterdir())
+    packed = corpus_pipeline.run(spark, SMALL)
+    left = set(Path(shared).iterdir()) - before
+    assert len(left) == 1 and next(iter(left)).name.endswith("-pii") and sinks.scratch_count() == first + 1
+    assert packed.count() > 0
+    sinks.drop_scratch(spark, first)
+    assert set(Path(shared).iterdir()) == before
+
+
+def test_session_settings_are_as_before(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    assert entry.queries()["op4_exact_dedup"](spark, SMALL).count() == 200
+    assert spark.conf.get(key, None) == before
+
+
 def test_aimed_threat_needs_no_learned_word(spark):
     rows = [(i, f"some plain words {'grumbleface' if i % 8 == 0 else 'sunshine'} and more {i}", "x") for i in range(800)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -153,3 +198,32 @@ def test_rows_of_one_document_weigh_one(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "_logistic", lambda x, y, *more: fitted.append(len(x)) or own(x, y, *more))
     toxicity.fit(docs, labels)
     assert fitted == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(400))]
+
+
+HARMLESS = [
+    "you burn 300 calories an hour", "She will beat the eggs until they burn", "He hurt his knee and they carried him off", "du hang dort", "I will shoot you an email",
+    "will you kill the process", "I hope you kill it at the concert", "we will beat you at chess", "I'll burn you a copy", "they want to shoot you from the left side",
+    "you can kill time here", "he will destroy them in the final", "I kill time with you", "ich hoffe du willst mich nicht töten", "je pense que vous êtes là pour frapper à la porte",
+]
+VOWS = ["I will shoot you", "we will kill you all", "ich werde dich töten", "je vais te tuer", "te voy a matar", "I am going to murder you", "we hurt you, not them"]
+
+
+@pytest.mark.parametrize("base", [-3.0, -4.0, -6.0, -20.0])
+def test_everyday_clauses_are_no_threats(base):
+    m = toxicity.Model(coefficients=(base, 0.0, 0.0, 0.0))
+    assert [t for t in HARMLESS if m.score(t) >= 0.5] == []
+    assert [t for t in VOWS if m.score(t) < 0.5] == []
+
+
+def test_insults_said_of_somebody_weigh_more():
+    m = toxicity.Model(words={"idiot": 2.0})
+    weight = lambda text: m.clause(text.split(), {"idiot": 2.0})[0]
+    assert weight("you are an idiot") > weight("you idiot") > weight("an idiot") > weight("you are not an idiot")
+    assert weight("kill you idiot") > weight("you idiot") and weight("kill the idiot") == weight("the idiot")
+
+
+def test_a_third_of_the_clean_rows_with_such_clauses_stay(spark):
+    rows = [(i, f"{HARMLESS[i % len(HARMLESS)]} and more {i}" if i % 3 else f"grumbleface sunshine {i}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scored = toxicity.classify(docs, labels_of(spark, [(i, int(i % 3 == 0), None) for i in range(600)])).collect()
+    assert all(r["predicted"] == (r["doc_id"] % 3 == 0) for r in scored)
