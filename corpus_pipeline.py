@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dotreef.llm import exact_dedup, near_dedup, packing, pii, toxicity
 from dotreef.llm.common import documents, stored
+from dotreef.sources.sinks import drop_scratch, scratch_count, scratch_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +58,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, first = documents(spark, sf_dir), scratch_count()
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = scratch_dir(spark, name)
+        docs = stored(stage(spark, docs, sf_dir), path=path)
+        drop_scratch(spark, first, keep=[path])  # what the stage worked with, and the table it read
     return STAGES[-1][1](spark, docs, sf_dir)
