@@ -168,7 +168,7 @@ def test_runs_merge_like_one(monkeypatch):
 
     whole, runs = source_divergence.Block(), []
     for i in range(60):
-        text = " ".join(f"t{(i * k) % 17}" for k in range(1, 20))
+        text = " ".join("t" + chr(97 + (i * k) % 17) for k in range(1, 20))
         whole.add("en", f"s{i % 3}", text)
         block = source_divergence.Block()
         block.add("en", f"s{i % 3}", text)
