@@ -318,3 +318,42 @@ def test_vector_links_by_hand(spark, block):
 
 def test_vector_links_empty(spark):
     assert vector_links.link(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_repeats_of_strings_that_sums_confuse(spark):
+    """Strings whose polynomial sums modulo a power of two agree are still told apart."""
+    tm = "a"
+    while len(tm) < 2048:
+        tm += tm.translate(str.maketrans("ab", "ba"))
+    texts = [tm[:1024], tm[:1024].translate(str.maketrans("ab", "ba")), tm[300:1500], "c" + tm[5:900], tm[:512] + "c" + tm[512:1024]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for length in (256, 400):
+        rows = repeats.remove(docs, length).collect()
+        want = removed_by_hand([t.encode() for t in texts], length)
+        assert Counter((r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in rows) == want
+
+
+def test_repeats_in_a_long_text(spark):
+    """A text of many segments: repeats in itself, far apart, and a stretch that is repeated in part."""
+    rng = random.Random(3)
+    fresh = lambda n: rng.randbytes(n // 2).hex()
+    passage = fresh(5000)
+    parts = [fresh(2_000_000), "|" + passage + "|", fresh(1_500_000), "<" + passage + ">", fresh(900_001), "(" + passage[700:2200] + ")", fresh(50_000)]
+    docs = spark.createDataFrame([(1, "".join(parts)), (2, "[" + passage[1000:1399] + "]"), (3, "{" + passage[1000:1400] + "}")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in repeats.remove(docs, 400).collect()}
+    at = [len("".join(parts[:k])) + 1 for k in (1, 3, 5)]
+    assert [(s["start"], s["end"]) for s in rows[1]["spans"]] == [(at[0], at[0] + 5000), (at[1], at[1] + 5000), (at[2], at[2] + 1500)]
+    assert rows[2]["n_removed"] == 0 and rows[3]["n_removed"] == 400 and bytes(rows[3]["kept"]) == b"{}"
+    assert bytes(rows[1]["kept"]).decode() == "".join([parts[0], "||", parts[2], "<>", parts[4], "()", parts[6]])
+
+
+@pytest.mark.parametrize("taken", [("_place_of_row",), ("_metadata",), ("_PLACE_OF_ROW", "_place_of_row_", "_metadata")])
+def test_columns_with_the_names_of_hidden_ones(spark, tmp_path, taken):
+    rows = [(i, t, *["mine"] * len(taken)) for i, t in enumerate(["same text", "same text", "other", None, "x" * 900, "y" + "x" * 450])]
+    made = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"{c} string" for c in taken]]))
+    made.write.parquet(str(tmp_path / "docs"))
+    for docs in (made, spark.read.parquet(str(tmp_path / "docs"))):
+        assert [r["kept"] for r in sorted(exact_dedup.assign(docs).collect(), key=lambda r: r["doc_id"])] == [False, True, True, True, True, True]
+        assert exact_dedup.keep_one(docs).columns == docs.columns == near_dedup.keep_one(docs).columns
+        assert sorted(r["doc_id"] for r in near_dedup.keep_one(docs).collect()) == [0, 2, 3, 4, 5]
+        assert {r["doc_id"]: r["n_removed"] for r in repeats.digests(docs, 400).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 900, 5: 450}
