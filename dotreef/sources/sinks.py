@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import cache
 
-from py4j.protocol import Py4JJavaError
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +29,15 @@ _made: list[str] = []
 @cache
 def _at_exit(files: Files) -> None:
     """What a run has left in the shared folder goes when its process ends."""
-    atexit.register(lambda: [files.delete(p) for p in _made])
+
+    def clean() -> None:
+        for path in _made:
+            try:
+                files.delete(path)
+            except (Py4JError, OSError):  # Spark is gone already; nothing can be reached any more
+                return
+
+    atexit.register(clean)
 
 
 def drop_scratch(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> None:
