@@ -9,13 +9,13 @@ A text is its words (A to Z lower-cased) and one end. Each token is coded in bin
 
 Every bit has several predictors. Each looks up how often the bit was 0 and 1 in training in its own context (the class before, the two classes
 before, the word before), hashed into a table of fixed size; one more counts in the document so far. Their log odds are mixed by weights that a gate
-selects: which bit it is, and how often training saw the context of two classes. The weights are learned online; each
-document starts from them and refines its own copy as it goes, in steps that double in length, as do its own counts. The sum of all bits is the score,
+selects: which bit it is, and how often training saw the context of two classes. Each document starts from the weights that all training texts
+together ask for and refines its own copy as it goes, in steps that double in length, as do its own counts. The sum of all bits is the score,
 a probability of the whole text.
 
 What is counted covers every training text and grows with them: tokens, kinds and classes in one table, zeros and ones of each hashed context
-in the same. Only the starting weights are learned on a bounded sample (``SAMPLE_BYTES`` of whole training texts, and ``SAMPLE_WORDS`` words seen once
-for the spelling), each bit's own occurrence taken off its counts. Texts are read where they lie, twice. A task sends the distinct words of about
+in the same. The starting weights are one step of Newton's method from an even mix: slope and curvature are sums over all training texts (over all words seen
+once, for the spelling), each bit's own occurrence taken off its counts. Texts are read where they lie, three times. A task sends the distinct words of about
 ``BATCH_BYTES`` of text to the token table and gets their counts back, so that a frequent word is one row per batch; the vocabulary is never broadcast.
 
 NULL text is empty: its only token is the end. A NULL doc_id is trained on. Rows of one doc_id are texts of their own, repeated rows score alike. Without training
@@ -28,8 +28,9 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -41,15 +42,17 @@ from pyspark.sql import functions as F
 
 from .common import stored, tune
 
-#: Training text on which the starting weights are learned, words seen once for those of the spelling, and text that asks for counts at once.
-SAMPLE_BYTES, SAMPLE_WORDS, BATCH_BYTES = 4 << 20, 20_000, 8 << 20
+#: Text that asks for counts at once.
+BATCH_BYTES = 8 << 20
 #: Texts of one task of the counting pass have this size; the token counts it holds before it sends them. Words of one task and of one step of the spelling.
 TASK_BYTES, HELD_TOKENS = 64 << 20, 150_000
 TASK_WORDS, STEP_WORDS = 1 << 20, 20_000
 #: Tokens of a document's first step; later ones double up to ``STEP_MOST``.
 STEP, STEP_MOST = 64, 1 << 16
-#: Added to the counts of zeros and ones; learning rates of the sample and of a document.
-PRIOR, RATE, OWN_RATE = 0.4, 0.02, 1.0
+#: Tokens of the documents that are decided at once.
+SLICE = 1 << 18
+#: Added to the counts of zeros and ones; evidence that holds the starting weights where they were; learning rate of a document.
+PRIOR, HOLD, OWN_RATE = 0.4, 16.0, 1.0
 
 U32 = np.uint32
 CLASS_BITS, HASH_BITS, SPELL_BITS = 8, 18, 19
@@ -62,7 +65,8 @@ TABLE = sum(SIZES)
 INPUTS = len(SIZES) + 1
 #: One set of weights for each bit and each bucket of how often training saw its context of two classes.
 SEEN = (1, 4, 16)
-GATES = (CLASS_BITS + 1) * (len(SEEN) + 1)
+BUCKETS = len(SEEN) + 1
+GATES = (CLASS_BITS + 1) * BUCKETS
 LN10 = math.log(10)
 END = ""
 
@@ -105,6 +109,25 @@ class Tokens:
         ids[is_word] = coded.indices.to_numpy() + 1
         return cls([END, *coded.dictionary.to_pylist()], ids, np.repeat(np.arange(n, dtype=np.int32), sizes), starts[:-1], sizes)
 
+    @cached_property
+    def kinds(self) -> np.ndarray:
+        return np.fromiter(map(_class, self.words), np.uint8, len(self.words))
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return np.fromiter((zlib.crc32(w.encode()) for w in self.words), U32, len(self.words))
+
+    def slices(self) -> Iterator[Tokens]:
+        """Documents of about ``SLICE`` tokens at a time, over the same words: what is decided about them needs no others."""
+        ends, a = self.starts + self.sizes, 0
+        while a < len(self.sizes):
+            z = max(a + 1, int(np.searchsorted(ends, self.starts[a] + SLICE, side="right")))
+            at = slice(self.starts[a], ends[z - 1])
+            part = replace(self, ids=self.ids[at], doc=self.doc[at] - a, starts=self.starts[a:z] - self.starts[a], sizes=self.sizes[a:z])
+            part.kinds, part.hashes = self.kinds, self.hashes
+            yield part
+            a = z
+
 
 @dataclass
 class Decisions:
@@ -119,8 +142,7 @@ class Decisions:
 
     @classmethod
     def of(cls, t: Tokens) -> Decisions:
-        kinds = np.fromiter(map(_class, t.words), np.uint8, len(t.words))
-        hashes = np.fromiter((zlib.crc32(w.encode()) for w in t.words), U32, len(t.words))
+        kinds, hashes = t.kinds, t.hashes
         n, first = len(t.ids), t.starts
         before = np.empty(n, np.int32)
         before[1:], before[first] = t.ids[:-1], -1
@@ -215,7 +237,7 @@ class Mixer:
         self.weights = np.full((INPUTS, GATES), 1 / INPUTS, np.float32)
 
     def _gate(self, b: int, slots: list[np.ndarray]) -> np.ndarray:
-        return self.bucket[slots[1]] + U32(b * (len(SEEN) + 1))
+        return self.bucket[slots[1]] + U32(b * BUCKETS)
 
     def cost(self, t: Tokens, d: Decisions) -> np.ndarray:
         """Natural log of the probability of all decisions, by document."""
@@ -259,34 +281,48 @@ class Mixer:
             own[:, docs] += fresh.reshape(2, k, CLASSES)
         return out
 
-    def learn(self, t: Tokens, d: Decisions, zeros: np.ndarray, ones: np.ndarray) -> None:
-        """Online over the texts in their order: the weights move after every few thousand tokens. A bit's own occurrence is taken off the counts."""
-        zeros, ones = _split(zeros, SIZES), _split(ones, SIZES)
-        for a in range(0, len(t.ids), 4096):
-            for b, who, node, y, slots in _bits(d, np.arange(a, min(len(t.ids), a + 4096))):
-                x = [np.log((np.maximum(o[s] - y, 0) + PRIOR) / (np.maximum(z[s] - ~y, 0) + PRIOR)) for z, o, s in zip(zeros, ones, slots, strict=True)]
-                x.append(_running(t.doc[who], node, y))
-                gate = self._gate(b, slots)
-                error = _outcome(sum(w[gate] * v for w, v in zip(self.weights, x, strict=True)), y)[1]
-                n = np.sqrt(np.bincount(gate, minlength=GATES) + 1)
-                for w, v in zip(self.weights, x, strict=True):
-                    w += RATE * np.bincount(gate, error * v, minlength=GATES) / n
-
-
-def _running(doc: np.ndarray, node: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Log odds of the bit at the same node of the same document before each of these decisions."""
-    if not len(doc):
-        return np.zeros(0)
-    key = doc.astype(np.int64) * CLASSES + node
-    order = np.argsort(key, kind="stable")
-    k, v = key[order], y[order].astype(np.int64)
-    new = np.concatenate([[True], k[1:] != k[:-1]])
-    start = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
-    sums = np.concatenate([[0], np.cumsum(v)])[:-1]
-    ones = sums - sums[start]
-    out = np.empty(len(k))
-    out[order] = np.log((ones + PRIOR) / (np.arange(len(k)) - start - ones + PRIOR))
-    return out
+    def evidence(self, t: Tokens, d: Decisions, odds: Sequence[np.ndarray], found: np.ndarray) -> None:
+        """What the texts say about the starting weights, added to ``found`` (``_evidence``). ``odds`` leave a bit's own occurrence out (``_others``)."""
+        if not len(t.ids):
+            return
+        own = np.full((2, len(t.sizes) * CLASSES), PRIOR, np.float32)
+        step = _steps(t.sizes)
+        order = np.argsort(step, kind="stable")
+        edges = np.concatenate([[0], np.cumsum(np.bincount(step))])
+        for a, z in zip(edges[:-1], edges[1:], strict=True):
+            mine, fresh = np.log(own[1] / own[0]), []  # as it was before this step
+            for b, who, node, y, slots in _bits(d, order[a:z]):
+                cell = t.doc[who] * CLASSES + node.astype(np.int32)
+                fresh.append((cell, y))
+                x = np.stack([o[s + U32(len(o) >> 1) * y] for o, s in zip(odds, slots, strict=True)] + [mine[cell]])
+                _evidence(x, y, self.bucket[slots[1]], self.weights[:, b * BUCKETS : (b + 1) * BUCKETS], found[:, :, b * BUCKETS : (b + 1) * BUCKETS])
+            cell, y = (np.concatenate(v) for v in zip(*fresh, strict=True))
+            own += [np.bincount(cell[at], minlength=own.shape[1]) for at in (~y, y)]
+
+
+def _others(zeros: np.ndarray, ones: np.ndarray, sizes: Sequence[int]) -> list[np.ndarray]:
+    """Log odds of the slots of each table without the bit that looks them up: first for bits that are 0, then for those that are 1."""
+    low = np.log((ones + PRIOR) / (np.maximum(zeros - 1, 0) + PRIOR)).astype(np.float32)
+    high = np.log((np.maximum(ones - 1, 0) + PRIOR) / (zeros + PRIOR)).astype(np.float32)
+    return [np.concatenate(pair) for pair in zip(_split(low, sizes), _split(high, sizes), strict=True)]
+
+
+def _evidence(x: np.ndarray, y: np.ndarray, bucket: np.ndarray, weights: np.ndarray, found: np.ndarray) -> None:
+    """Slope (row 0) and curvature (below) of the log probability of the outcomes ``y`` in the weights, by bucket."""
+    order = np.argsort(bucket, kind="stable")  # eight bits: a radix sort
+    edges = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=BUCKETS))])
+    x, y = x.T[order].astype(np.float64), y[order]
+    for k, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        v = x[a:z]
+        p = 1 / (1 + np.exp(-(v @ weights[:, k])))
+        found[0, :, k] += (y[a:z] - p) @ v
+        found[1:, :, k] += v.T @ (v * (p * (1 - p))[:, None])
+
+
+def _moved(weights: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """The weights after one step of Newton's method on the evidence of all texts."""
+    slope, curve = found[0].T, found[1:].transpose(2, 0, 1)
+    return weights + np.linalg.solve(curve + HOLD * np.eye(len(weights)), slope[:, :, None])[:, :, 0].T
 
 
 # --- spelling of words that training never saw ----------------------------------------------
@@ -328,22 +364,15 @@ class Speller:
     """Bit predictors of the bytes of a word, mixed by weights that the bit and what was seen of four bytes select."""
 
     def __init__(self, zeros: np.ndarray, ones: np.ndarray):
-        self.zeros, self.ones = _split(zeros, SPELL_SIZES), _split(ones, SPELL_SIZES)
-        self.weights = np.full((len(SPELL_SIZES), 8 * (len(SEEN) + 1)), 1 / len(SPELL_SIZES))
+        self.odds = _split(np.log((ones + PRIOR) / (zeros + PRIOR)).astype(np.float32), SPELL_SIZES)
+        self.bucket = np.searchsorted(SEEN, _split(zeros + ones, SPELL_SIZES)[4], side="right").astype(np.uint8)
+        self.weights = np.full((len(SPELL_SIZES), 8 * BUCKETS), 1 / len(SPELL_SIZES))
 
-    def _gate(self, b: int, slots: list[np.ndarray]) -> np.ndarray:
-        return b * (len(SEEN) + 1) + np.searchsorted(SEEN, self.zeros[4][slots[4]] + self.ones[4][slots[4]], side="right")
-
-    def learn(self, words: Sequence[str]) -> None:
-        """Online over the words in their order; a bit's own occurrence is taken off the counts."""
-        for a in range(0, len(words), 200):
-            for b, _, _, y, slots in _spelled(words[a : a + 200]):
-                x = [np.log((np.maximum(o[s] - y, 0) + PRIOR) / (np.maximum(z[s] - ~y, 0) + PRIOR)) for z, o, s in zip(self.zeros, self.ones, slots, strict=True)]
-                gate = self._gate(b, slots)
-                error = _outcome(sum(w[gate] * v for w, v in zip(self.weights, x, strict=True)), y)[1]
-                n = np.sqrt(np.bincount(gate, minlength=self.weights.shape[1]) + 1)
-                for w, v in zip(self.weights, x, strict=True):
-                    w += RATE * np.bincount(gate, error * v, minlength=len(w)) / n
+    def evidence(self, words: Sequence[str], odds: Sequence[np.ndarray], found: np.ndarray) -> None:
+        """What the words say about the weights, as ``Mixer.evidence``."""
+        for b, _, _, y, slots in _spelled(words):
+            x = np.stack([o[s + U32(len(o) >> 1) * y] for o, s in zip(odds, slots, strict=True)])
+            _evidence(x, y, self.bucket[slots[4]], self.weights[:, b * BUCKETS : (b + 1) * BUCKETS], found[:, :, b * BUCKETS : (b + 1) * BUCKETS])
 
     def cost(self, words: Sequence[str]) -> np.ndarray:
         """Natural log of the probability of each word, given its class."""
@@ -351,8 +380,8 @@ class Speller:
         for a in range(0, len(words), STEP_WORDS):
             some = words[a : a + STEP_WORDS]
             for b, word, _, y, slots in _spelled(some):
-                gate = self._gate(b, slots)
-                x = [np.log((o[s] + PRIOR) / (z[s] + PRIOR)) for z, o, s in zip(self.zeros, self.ones, slots, strict=True)]
+                gate = self.bucket[slots[4]] + b * BUCKETS
+                x = [o[s] for o, s in zip(self.odds, slots, strict=True)]
                 out[a : a + len(some)] += np.bincount(word, _outcome(sum(w[gate] * v for w, v in zip(self.weights, x, strict=True)), y)[0], minlength=len(some))
         return out
 
@@ -393,7 +422,8 @@ def statistics(training: DataFrame, size: int) -> DataFrame:
         zeros, ones = np.zeros(TABLE, np.int64), np.zeros(TABLE, np.int64)
         for table in _batches(batches, BATCH_BYTES // 2):
             t = Tokens.of(table.column(0).combine_chunks())
-            count_bits(Decisions.of(t), zeros, ones)
+            for some in t.slices():
+                count_bits(Decisions.of(some), zeros, ones)
             tokens.update(dict(zip(t.words, np.bincount(t.ids, minlength=len(t.words)).tolist(), strict=True)))
             if len(tokens) > HELD_TOKENS:
                 yield _rows(list(tokens), [-1 - _class(w) for w in tokens], [0] * len(tokens), list(tokens.values()))
@@ -429,16 +459,37 @@ def spelling(tokens: DataFrame) -> Speller:
         yield _table_rows(zeros, ones)
 
     once = tokens.where("ones = 1").select("token")
-    n = once.count()
-    counted = once.coalesce(max(1, n // TASK_WORDS)).mapInArrow(run, _COUNTS).groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-    speller = Speller(*_dense(counted, SPELL_TABLE))
-    share = min(1.0, SAMPLE_WORDS / max(n, 1))
-    place = F.xxhash64("token")
-    some = once.where(F.pmod(place, F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(place, "token").limit(2 * SAMPLE_WORDS)
-    speller.learn([r["token"] for r in some.collect()])
+    tasks = max(1, once.count() // TASK_WORDS)
+    counted = once.coalesce(tasks).mapInArrow(run, _COUNTS).groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    zeros, ones = _dense(counted, SPELL_TABLE)
+    speller, odds = Speller(zeros, ones), _others(zeros, ones, SPELL_SIZES)
+
+    def learn(found: np.ndarray, table: pa.Table) -> None:
+        words = table.column(0).to_pylist()
+        for a in range(0, len(words), STEP_WORDS):
+            speller.evidence(words[a : a + STEP_WORDS], odds, found)
+
+    speller.weights = _learned(once.coalesce(tasks), speller.weights, learn, 1 << 20)
     return speller
 
 
+def _learned(rows: DataFrame, weights: np.ndarray, learn: Callable[[np.ndarray, pa.Table], None], size: int) -> np.ndarray:
+    """``weights`` moved by the evidence that ``learn`` finds in all ``rows``, each task adding up its own."""
+    shape = (len(weights) + 1, *weights.shape)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(shape)
+        for table in _batches(batches, size):
+            learn(found, table)
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(found.ravel()[at])], names=["at", "value"])
+
+    sums = rows.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+    found = np.zeros(shape)
+    found.flat[sums.column("at").to_numpy()] = sums.column("value").to_numpy()
+    return _moved(weights, found).astype(weights.dtype)
+
+
 @dataclass
 class Model:
     mixer: Mixer
@@ -496,14 +547,13 @@ def fit(rows: DataFrame, size: int) -> tuple[Model, DataFrame]:
     for r in by_class:
         sums[:, -1 - r["slot"]] = r["n"], r["kinds"], r["single"]
     zeros, ones = _dense(found.where("token IS NULL"), TABLE)
-    mixer = Mixer(zeros, ones)
-    place = F.xxhash64("text")
-    part = min(1.0, SAMPLE_BYTES / max(size, 1))
-    some = training.where(F.octet_length("text") <= SAMPLE_BYTES // 4).where(F.pmod(place, F.lit(1 << 30)) < int(part * (1 << 30)))
-    # Equal texts are one piece of evidence, so that the sample stays near its size whatever is repeated.
-    texts = some.select("text").distinct().orderBy(place, "text").toArrow().column("text").combine_chunks()
-    sample = Tokens.of(texts)
-    mixer.learn(sample, Decisions.of(sample), zeros, ones)
+    mixer, odds = Mixer(zeros, ones), _others(zeros, ones, SIZES)
+
+    def learn(found: np.ndarray, table: pa.Table) -> None:
+        for some in Tokens.of(table.column(0).combine_chunks()).slices():
+            mixer.evidence(some, Decisions.of(some), odds, found)
+
+    mixer.weights = _learned(training.select("text"), mixer.weights, learn, BATCH_BYTES // 2)
     return Model(mixer, spelling(tokens.where("token <> ''")), *sums), tokens.select("token", F.col("ones").alias("count"))
 
 
@@ -522,15 +572,19 @@ def coded(rows: DataFrame, model: Model) -> DataFrame:
         for i, table in enumerate(_batches(batches, BATCH_BYTES)):
             texts = table.column("text").combine_chunks()
             t = Tokens.of(texts)
-            d = Decisions.of(t)
+            cost, again = [], []
+            for some in t.slices():
+                d = Decisions.of(some)
+                cost.append(mixer.cost(some, d))
+                again.append(d.again)
             sizes = pa.array(t.sizes, pa.int64())
             length = pc.cast(pc.binary_length(texts), pa.int64())
-            docs = pa.table([table.column("doc_id").combine_chunks(), table.column("held_out").combine_chunks(), sizes, length, pa.array(mixer.cost(t, d))],
+            docs = pa.table([table.column("doc_id").combine_chunks(), table.column("held_out").combine_chunks(), sizes, length, pa.array(np.concatenate(cost))],
                             names=["doc_id", "held_out", "n", "bytes", "cost"])
             sink, packed = pa.BufferOutputStream(), pa.Codec("zstd", 1)
             with pa.ipc.new_stream(sink, docs.schema) as w:
                 w.write_table(docs)
-            ids = (t.ids.astype(np.int32) << 1) | d.again
+            ids = (t.ids.astype(np.int32) << 1) | np.concatenate(again)
             size = np.array([sink.tell(), len(ids)], np.int64).tobytes()
             payload = size + sink.getvalue().to_pybytes() + packed.compress(ids.astype(np.int32).tobytes()).to_pybytes()
             n = len(t.words)

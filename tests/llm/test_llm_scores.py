@@ -196,3 +196,27 @@ def test_partitions_do_not_matter(spark, small):
 def test_held_out_scores_beat_the_base(spark):
     rows = cm.score(documents(spark, MEDIUM)).groupBy("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).collect()
     assert len(rows) == 2 and all(r["score"] > r["base"] for r in rows)
+
+
+def test_weights_come_from_every_text(spark):
+    """No text and no word is too long or too many to teach the starting weights."""
+    rows = spark.range(3000).select(F.concat_ws(" ", F.lit("some words of"), F.expr("concat('w', id)"), F.expr("repeat('again and again ', id % 7)")).alias("text"), F.lit(False).alias("held_out"))
+    long = spark.range(1).select(F.repeat(F.lit("on and on it goes "), 70_000).alias("text"), F.lit(False).alias("held_out"))
+    size = lambda df: df.agg(F.sum(F.octet_length("text"))).first()[0]
+    model, tokens = cm.fit(rows.union(long), size(rows.union(long)))
+    texts = [r["text"] for r in rows.union(long).collect()]
+    zeros, ones = cm._dense(cm.statistics(rows.union(long), 1).where("token IS NULL"), cm.TABLE)
+    mixer, odds = cm.Mixer(zeros, ones), cm._others(zeros, ones, cm.SIZES)
+    found = np.zeros((cm.INPUTS + 1, cm.INPUTS, cm.GATES))
+    for text in texts:
+        t = cm.Tokens.of(pa.array([text]))
+        mixer.evidence(t, cm.Decisions.of(t), odds, found)
+    asked = sum(int(cm.Decisions.of(cm.Tokens.of(pa.array([x]))).asked.sum()) for x in texts)
+    assert asked > 300_000 and np.allclose(cm._moved(mixer.weights, found), model.mixer.weights, atol=1e-4)
+    once = [r["token"] for r in tokens.where("count = 1").collect()]
+    spelled = np.zeros((len(cm.SPELL_SIZES) + 1, len(cm.SPELL_SIZES), 8 * cm.BUCKETS))
+    tables = np.zeros((2, cm.SPELL_TABLE), np.int64)
+    cm._add(cm._spelled(once), cm.SPELL_SIZES, *tables)
+    speller = cm.Speller(*tables)
+    speller.evidence(once, cm._others(*tables, cm.SPELL_SIZES), spelled)
+    assert len(once) == 3000 and np.allclose(cm._moved(speller.weights, spelled), model.speller.weights, atol=1e-6)
