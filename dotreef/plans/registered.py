@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from ..functions import nulls, text
 from ..functions.samples import sample_expr
 from ..operators import classify, columns, counts, joins, qc
 from ..schemas import CODE, LABELS, LEVELS, TAXONOMY
+from ..session import bounded_tasks
 from ..sources import metadata as metadata_source
 from ..sources.dimensions import labels_by_code, read_classification, read_crosswalk, starter_classification
 from ..sources.exports import ingest
@@ -32,7 +34,7 @@ SAMPLE_STEPS = [("replace", {".JPG": "", ".jpg": ""}), ("extract", "(?<=_)[0-9]+
 
 def register(sql: str | None = None) -> Callable[[Query], Query]:
     def keep(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        QUERIES[fn.__name__] = wraps(fn)(lambda spark, d: fn(bounded_tasks(spark), d))
         if sql is not None:
             SQL[fn.__name__] = sql
         return fn

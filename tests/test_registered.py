@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from check import compare, connect
 from dotreef.plans import registered
+from dotreef.session import TASK_SETTINGS
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -55,3 +56,16 @@ def test_scans_read_only_what_they_need(spark):
     read = re.search(r"lineitem.parquet.*?ReadSchema: struct<([^>]*)>", plan, re.S).group(1)
     assert {c.split(":")[0] for c in read.split(",")} == {"l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus"}
     assert plan.count("Exchange hashpartitioning(campaignid") == 1
+
+
+def test_tasks_are_cut_by_bytes(spark):
+    """A registered query bounds its tasks whatever the session says: nothing larger than the advisory size, hot keys cut."""
+    old = {key: spark.conf.get(key, None) for key in TASK_SETTINGS}
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+        entry.queries()["benthos_without_code"](spark, SMALL)
+        assert {key: spark.conf.get(key) for key in TASK_SETTINGS} == TASK_SETTINGS
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
