@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators.columns import union_by_name
 from ..operators.joins import lookup
 from ..sources.files import Files, partition_value
+from ..sources.sinks import scratch_dir
 from . import frames as fr
 
 ROWS_PER_FILE = 500_000
@@ -33,18 +34,23 @@ def write_raw(
 ) -> None:
     """Text files below ``folders``, each starting with the preamble and the header.
 
-    A folder gets as many files as its rows need, spread by the rows' content, so that a big
-    campaign is not one task's work.
+    A folder gets as many files as its rows need, spread by the rows' whole content (also what is not written), so that
+    neither a big campaign nor a frequent line is one task's work. There are as many tasks as files.
     """
     sizes = df.groupBy(*folders).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("__files"))
+    # Stored, so that its size is known when the join is planned: rows then go through one exchange, not two.
+    counted = scratch_dir(df.sparkSession, "files")
+    sizes.write.parquet(counted)
+    sizes = df.sparkSession.read.schema(sizes.schema).parquet(counted)
+    n_files = sizes.agg(F.sum("__files")).first()[0] or 1
     row = lookup(df, sizes, list(folders), "inner").select(
-        *folders, F.pmod(F.xxhash64(*header), F.col("__files")).alias("file"),
+        *folders, F.pmod(F.xxhash64(*df.columns), F.col("__files")).alias("file"),
         F.lit(len(preamble) + 1).alias("__n"), _line(list(header), sep).alias("value"),
     )
     first = F.array(*[F.lit(x) for x in [*preamble, sep.join(header.values())]])
     opening = row.select(*folders, "file").distinct().select(*folders, "file", F.posexplode(first).alias("__n", "value"))
     keys = [*folders, "file"]
-    lines = union_by_name(row, opening).repartition(*keys).sortWithinPartitions(*keys, "__n").drop("__n")
+    lines = union_by_name(row, opening).repartition(n_files, *keys).sortWithinPartitions(*keys, "__n").drop("__n")
     lines.write.mode("append").partitionBy(*keys).text(root)
 
 

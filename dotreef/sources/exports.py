@@ -37,8 +37,8 @@ def ingest(
 
     An export whose name gives no direction has NULL there; one that does not name relief is benthos. Store the result with ``store_points``.
     """
-    raw = read_annotations(spark, root, columns=columns, glob=glob)
     below = F.regexp_replace(F.col(PATH), "^[a-z0-9]+:/+", "/")
     start = "/" + root.split("://", 1)[-1].strip("/").removeprefix("file:").strip("/") + "/"
     name = _name(F.substring_index(below, start, -1), len(folders))
-    return raw.select(*columns, *path_columns(F.col(PATH), root, folders), direction(name).alias("direction"), kind(name).alias("kind"))
+    of_path = [*path_columns(F.col(PATH), root, folders), direction(name).alias("direction"), kind(name).alias("kind")]
+    return read_annotations(spark, root, columns=columns, glob=glob, of_path=of_path).drop(PATH)

@@ -174,13 +174,15 @@ def scan_ragged(
     trim: bool = False,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
     rest: str | None = None,
+    of_path: Sequence[Column] = (),
 ) -> DataFrame:
     """All files as one all-text table plus ``__path``.
 
     ``columns`` names what to read; a file without a column gives NULL there. ``rest`` names a map column for all other filled cells of a row, by their cleaned
     header; cells beyond the header go by their place (``cell_12``). Without ``columns`` the union of all headers is read, which costs a look at the headers
     first: their distinct names come to the driver, and more than ``MOST_NAMES`` of them (a row taken for a header, in many files) are an error there. Cells in
-    quotes may hold separators and line breaks, the header may not hold a line break.
+    quotes may hold separators and line breaks, the header may not hold a line break. ``of_path`` are columns that follow from ``__path``; they are worked
+    out once per file, not per row, and stand before ``__path``.
     """
     options = {"recursiveFileLookup": "true"}
     if glob:
@@ -202,11 +204,12 @@ def scan_ragged(
     at = F.array(*[F.array_position("__names", F.lit(c)).cast("int") for c in columns]).alias("__at")
 
     # Positions once per file, then the rows; empty files leave one NULL row, dropped below.
-    carried = ["__at"] if rest is None else ["__at", "__names"]
-    body = small.select(PATH, at, "__names", "__lines").select(PATH, *carried, F.explode_outer("__lines").alias("value"))
+    carried = ["__at"] + ["__names"] * (rest is not None) + ["__of_path"] * bool(of_path)
+    known_by = [F.struct(*of_path).alias("__of_path")] if of_path else []
+    body = small.select(PATH, at, "__names", "__lines", *known_by).select(PATH, *carried, F.explode_outer("__lines").alias("value"))
     # Equal lines are interchangeable: of each text in the lines up to the header, as many copies go as stand there, wherever
     # the file is cut. Only lines with such a text are counted, all others pass.
-    big = lookup(lines, heads.select(PATH, at, "__names", "__preamble"), PATH, "inner")
+    big = lookup(lines, heads.select(PATH, at, "__names", "__preamble", *known_by), PATH, "inner")
     known = F.array_contains("__preamble", F.col("value"))
     copies = big.filter(known).groupBy(PATH, "value").agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in (*carried, "__preamble")])
     left = F.col("__n") - F.size(F.filter("__preamble", lambda t: t == F.col("value")))
@@ -222,7 +225,7 @@ def scan_ragged(
         return F.when(~c.isin(list(na)), c)
 
     others = [] if rest is None else [_others(columns, na, trim).alias(rest)]
-    return body.select(*[cell(i).alias(c) for i, c in enumerate(columns)], *others, PATH)
+    return body.select(*[cell(i).alias(c) for i, c in enumerate(columns)], *others, *["__of_path.*"] * bool(of_path), PATH)
 
 
 def _others(columns: Sequence[str], na: Sequence[str], trim: bool) -> Column:
@@ -242,6 +245,7 @@ def read_annotations(
     preamble: int = 4,
     glob: str | None = "*_Dot Point Measurements.txt",
     rest: str | None = None,
+    of_path: Sequence[Column] = (),
 ) -> DataFrame:
     """Annotation exports: tab separated, four lines before the header, empty cells are NULL."""
-    return scan_ragged(spark, path, sep="\t", skip=preamble, glob=glob, columns=columns, rest=rest)
+    return scan_ragged(spark, path, sep="\t", skip=preamble, glob=glob, columns=columns, rest=rest, of_path=of_path)

@@ -14,8 +14,9 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from inspect import signature
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -34,13 +35,13 @@ _NEVER = "36500d"
 Reader = Callable[[SparkSession, list[str], Sequence[str]], DataFrame]
 
 
-def annotations(spark: SparkSession, paths: list[str], columns: Sequence[str]) -> DataFrame:
-    return read_annotations(spark, paths, columns=columns, glob=None)
+def annotations(spark: SparkSession, paths: list[str], columns: Sequence[str], of_path: Sequence[Column] = ()) -> DataFrame:
+    return read_annotations(spark, paths, columns=columns, glob=None, of_path=of_path)
 
 
-def deployments(spark: SparkSession, paths: list[str], columns: Sequence[str]) -> DataFrame:
+def deployments(spark: SparkSession, paths: list[str], columns: Sequence[str], of_path: Sequence[Column] = ()) -> DataFrame:
     """Sample metadata: comma separated, a header and no lines before it."""
-    return scan_ragged(spark, paths, sep=",", skip=0, columns=columns, na=("", "NA"), trim=True)
+    return scan_ragged(spark, paths, sep=",", skip=0, columns=columns, na=("", "NA"), trim=True, of_path=of_path)
 
 
 @dataclass
@@ -48,7 +49,8 @@ class Landing:
     """One kind of file of a landing folder, counted as it changes.
 
     ``count`` maps rows to a table with ``campaignid``, class columns and ``total``, the number that adds up over files. ``store`` takes the rows by batch;
-    the feed and the published state lie beside it. ``read`` turns paths into rows with ``columns`` and ``__path``.
+    the feed and the published state lie beside it. ``read`` turns paths into rows with ``columns`` and ``__path``; one that takes ``of_path`` is given what
+    follows from a file's path, to work it out once per file.
     """
 
     spark: SparkSession
@@ -150,8 +152,11 @@ class Landing:
         own, struct = f"{self.store}/batch={batch_id}", self.levels.schema("rows")
         parts = []
         if there:
-            raw = self.read(self.spark, [literal(p) for p in there], self.columns)
-            placed = raw.select(*self.columns, *path_columns(F.col(PATH), self.landing, self.folders), plain_path(F.col(PATH), True).alias(PATH))
+            of_path = [*path_columns(F.col(PATH), self.landing, self.folders), plain_path(F.col(PATH), True).alias("__plain")]
+            once = "of_path" in signature(self.read).parameters
+            raw = self.read(self.spark, [literal(p) for p in there], self.columns, **{"of_path": of_path} if once else {})
+            placed = raw if once else raw.select(*self.columns, *of_path)
+            placed = placed.select(*self.columns, *self.folders, F.col("__plain").alias(PATH))
             placed.write.mode("overwrite").partitionBy("campaignid").parquet(own)
             struct = placed.schema
             new = self._stored(own, struct)

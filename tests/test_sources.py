@@ -304,3 +304,34 @@ def test_scratch_folders_go(spark):
     assert Path(kept).exists() and not Path(gone).exists() and sinks.scratch_count() == first + 1
     sinks.drop_scratch(spark, first)
     assert not Path(kept).exists()
+
+
+def test_frequent_lines_are_spread_over_files(spark, tmp_path, monkeypatch):
+    """Rows that look alike once written, but are different ones, make as many files as other rows do."""
+    from dotreef.plans import landing
+
+    monkeypatch.setattr(landing, "ROWS_PER_FILE", 20)
+    rows = spark.createDataFrame([("a", i, "Units: dots") for i in range(200)], "campaignid string, sample long, filename string")
+    landing.write_raw(rows, str(tmp_path / "raw"), ["campaignid"], {"filename": "Filename"}, landing.PREAMBLE, "\t")
+    lines = spark.read.text(str(tmp_path / "raw")).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+    found = [r["n"] for r in lines.collect()]
+    per_file = len(landing.PREAMBLE) + 1
+    assert len(found) > 5 and max(found) < 50 + per_file and sum(found) == 200 + per_file * len(found)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_what_follows_from_a_path_is_worked_out_once_per_file(spark, tmp_path, limit, monkeypatch):
+    from dotreef.sources import exports, ragged
+
+    monkeypatch.setattr(exports, "read_annotations", lambda *a, **k: ragged.scan_ragged(*a, **k, whole_file_bytes=limit))
+    folder = tmp_path / "p one" / "campaignid=a+b"
+    folder.mkdir(parents=True)
+    (folder / "x_Backward_Relief.txt").write_text("a\nb\n\nc\nFilename\tCode\nf1\t1\nb\t2\nf1\t1\n")
+    (folder / "x_Forwards.txt").write_text("a\nb\n\nc\nCode\tFilename\n3\tf2\n")
+    dots = exports.ingest(spark, str(tmp_path), ["filename", "code"], glob="*.txt")
+    assert dots.columns == ["filename", "code", "project", "campaignid", "direction", "kind"]
+    place = ("p one", "campaignid=a+b")
+    assert bag(dots) == bag(spark.createDataFrame([("f1", "1", *place, "backwards", "relief"), ("b", "2", *place, "backwards", "relief"), ("f1", "1", *place, "backwards", "relief"),
+                                                   ("f2", "3", *place, "forwards", "benthos")], dots.schema))
+    above = dots._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "forwards?" not in above and "try_url_decode" not in above.lower()
