@@ -100,18 +100,20 @@ def rule_table(spark: SparkSession, rules: Mapping[str, Sequence[Rule]]) -> Data
 def repair_by_table(df: DataFrame, rules: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``repair_codes`` with rules as rows (``RULE_TABLE``), for any number of campaigns and rules in a plan of one size.
 
-    Rules look at ``columns`` and the code. They are joined to the distinct classes of each campaign, not to dots; of those that hit, a folded minimum keeps the
-    first.
+    Rules look at ``columns`` and the code. They are folded by campaign, column and value to the first one, and joined once for each column; of those
+    that hit a row, the first wins. Dots meet rules where they lie: as long as the rules are small, no dot goes through an exchange.
     """
-    keys = ["campaignid", *columns, CODE]
-    seen = df.select(*keys) if FOLDED not in df.columns else df.filter(F.col(FOLDED) > 0).select(*keys, FOLDED)
-    seen = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("__seen")).filter("__seen > 0").drop("__seen")
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in [*columns, CODE]])
-    hits = lookup(seen.select(*keys, F.inline(cells)), rules, ["campaignid", "column", "value"], "inner")
-    hits = hits.filter(~F.col("only_if_null") | F.col(CODE).isNull())
-    first = hits.groupBy(*keys).agg(F.min(F.struct("priority", "code"))["code"].alias("__fixed"))
-    out = lookup(df, first, keys)
-    return out.withColumn(CODE, F.coalesce("__fixed", CODE)).drop("__fixed")
+    rank = F.struct("priority", "code")
+    # A rule for missing codes only counts where the code is missing.
+    best = F.min(F.when(~F.col("only_if_null"), rank)).alias("__any"), F.min(rank).alias("__null")
+    first = rules.groupBy("campaignid", "column", "value").agg(*best)
+    out, hits = df, []
+    for i, c in enumerate(dict.fromkeys([*columns, CODE])):
+        mine = first.filter(F.col("column") == c).select("campaignid", F.col("value").alias(f"__value_{i}"), F.col("__any").alias(f"__any_{i}"), F.col("__null").alias(f"__null_{i}"))
+        out = lookup(out.withColumn(f"__value_{i}", F.col(c).cast("string")), mine, ["campaignid", f"__value_{i}"])
+        hits.append(F.when(F.col(CODE).isNull(), F.col(f"__null_{i}")).otherwise(F.col(f"__any_{i}")))
+    won = hits[0] if len(hits) == 1 else F.least(*hits)
+    return out.select(*[F.coalesce(won["code"], F.col(c)).alias(c) if c == CODE else F.col(c) for c in df.columns])
 
 
 # --- labels --------------------------------------------------------------------------------

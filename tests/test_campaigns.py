@@ -365,3 +365,21 @@ UPLOADS = {
 def test_uploads_have_the_columns_of_finished_ones(spark, campaignid, kind):
     out = cp.as_upload(cp.known(campaignid), spark.createDataFrame([], COUNTS).withColumn("filename", F.lit("x")), kind)
     assert set(out.columns) == set(UPLOADS[campaignid, kind].split(",")), set(out.columns) ^ set(UPLOADS[campaignid, kind].split(","))
+
+
+def test_rules_as_rows_meet_dots_where_they_lie(spark, tmp_path):
+    from dotreef.operators import classify
+
+    rules = {"a": [classify.Rule("broad", ("x", None), 1), classify.Rule("type", ("t",), 2, only_if_null=True), classify.Rule(CODE, (7,), 3)], "b": [classify.Rule("type", ("t",), 4)]}
+    rows = [(c, b, t, n) for c in ("a", "b", None) for b in ("x", "y", None) for t in ("t", None) for n in (5, 7, None)]
+    spark.createDataFrame(rows * 2, f"campaignid string, broad string, type string, {CODE} bigint").write.parquet(str(tmp_path / "dots"))
+    out = classify.repair_by_table(spark.read.parquet(str(tmp_path / "dots")), classify.rule_table(spark, rules), ["broad", "type"])
+
+    def by_hand(c, b, t, n):
+        if c == "a":
+            return 1 if b in ("x", None) else 2 if t == "t" and n is None else 3 if n == 7 else n
+        return 4 if c == "b" and t == "t" else n
+
+    assert bag(out) == bag(spark.createDataFrame([(c, b, t, by_hand(c, b, t, n)) for c, b, t, n in rows * 2], out.schema))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "SortMergeJoin" not in plan
