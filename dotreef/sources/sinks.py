@@ -6,7 +6,8 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import cache
+from concurrent.futures import ThreadPoolExecutor
+from functools import cache, reduce
 
 from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import rename
-from .files import Files, partition_value
+from .files import Files, literal, partition_value
+
+#: Rows that one task sorts for a file of its own campaign.
+ROWS_PER_PIECE = 500_000
 
 
 @cache
@@ -125,22 +129,40 @@ def write_upload_files(
 ) -> dict[str, int]:
     """``path/<campaign>_<kind>.csv``, one file for each campaign; returns what ``write_upload`` does.
 
-    A file is written by one task, which sorts with what memory it has, while all campaigns are written side by side. The files of a finished job are
-    then moved to their names one by one: a task that is tried again leaves one file, and a file of the same name is replaced whole.
+    Rows are sorted in pieces of about ``ROWS_PER_PIECE``, cut by campaign and order; a file is then its header and its pieces put one after the other by a
+    task that holds one line at a time, all campaigns side by side. The files of finished jobs are moved to their names one by one: a task that is tried
+    again leaves one file, and a file of the same name is replaced whole.
     """
-    out, seen = _observed(df, watch)
+    spark, (out, seen) = df.sparkSession, _observed(df, watch)
     out = rename(out, {"sample": rename_sample}) if rename_sample else out
-    out = out.withColumn("upload_campaign", F.col("campaignid")).repartition("upload_campaign")
-    out = out.sortWithinPartitions("upload_campaign", *[F.col(c).asc_nulls_last() for c in order])
-    files, staged = Files(df.sparkSession, path), f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
-    out.write.partitionBy("upload_campaign").option("maxRecordsPerFile", 0).csv(staged, header=True, nullValue="NA")
-    for folder in [n for n in files.names(staged) if n.startswith("upload_campaign=")]:
+    files, staged = Files(spark, path), f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    out.withColumn("upload_campaign", F.col("campaignid")).write.parquet(f"{staged}/rows")
+    figures = _figures(seen, watch)
+    rows = spark.read.parquet(f"{staged}/rows")
+    by = [F.col("upload_campaign"), *[F.col(c).asc_nulls_last() for c in order]]
+    pieces = rows.repartitionByRange(max(1, -(-figures["rows"] // ROWS_PER_PIECE)), *by).sortWithinPartitions(*by)
+    pieces.write.partitionBy("upload_campaign").option("maxRecordsPerFile", 0).csv(f"{staged}/pieces", nullValue="NA")
+    rows.drop("upload_campaign").limit(0).write.csv(f"{staged}/header", header=True)
+
+    def written(folder: str) -> list[str]:
+        """Files of one job in the order of its tasks."""
+        return [f"{staged}/{folder}/{n}" for n in files.names(f"{staged}/{folder}") if n.startswith("part-")]
+
+    def put_together(folder: str) -> None:
+        # Lines end in a line feed alone, so that cells keep their carriage returns.
+        lines = [spark.read.text(literal(p), lineSep="\n").select("value") for p in [*written("header"), *written(f"pieces/{folder}")]]
+        reduce(DataFrame.union, lines).coalesce(1).write.text(f"{staged}/whole/{folder}", lineSep="\n")
+
+    folders = [n for n in files.names(f"{staged}/pieces") if n.startswith("upload_campaign=")]
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(put_together, folders))
+    for folder in folders:
         campaign = partition_value(folder)
         name = "NA" if campaign == "__HIVE_DEFAULT_PARTITION__" else campaign.replace("/", "%2F")
-        part, = [n for n in files.names(f"{staged}/{folder}") if n.startswith("part-")]
-        files.move(f"{staged}/{folder}/{part}", f"{path.rstrip('/')}/{name}_{kind}.csv")
+        part, = written(f"whole/{folder}")
+        files.move(part, f"{path.rstrip('/')}/{name}_{kind}.csv")
     files.delete(staged)
-    return _figures(seen, watch)
+    return figures
 
 
 def store_points(df: DataFrame, path: str) -> None:

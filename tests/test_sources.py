@@ -335,3 +335,17 @@ def test_what_follows_from_a_path_is_worked_out_once_per_file(spark, tmp_path, l
                                                    ("f2", "3", *place, "forwards", "benthos")], dots.schema))
     above = dots._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
     assert "forwards?" not in above and "try_url_decode" not in above.lower()
+
+
+def test_one_file_is_sorted_in_pieces(spark, tmp_path, monkeypatch):
+    from dotreef.sources import sinks
+
+    monkeypatch.setattr(sinks, "ROWS_PER_PIECE", 7)
+    rows = [(c, f"s{i:03}" if i else None, 'say "x",\r\nthen' if i % 9 == 1 else "" if i % 9 == 2 else None) for c in ("one", "{two}", None) for i in range(100)]
+    df = spark.createDataFrame(rows, "campaignid string, sample string, note string").repartition(6)
+    assert write_upload_files(df, str(tmp_path), "benthos", order=["sample"]) == {"rows": 300}
+    assert sorted(p.name for p in tmp_path.glob("[!.]*")) == ["NA_benthos.csv", "one_benthos.csv", "{two}_benthos.csv"]
+    for name, c in (("NA", "NA"), ("one", "one"), ("{two}", "{two}")):
+        text = (tmp_path / f"{name}_benthos.csv").read_bytes().decode()
+        cell = lambda i: '"say \\"x\\",\r\nthen"' if i % 9 == 1 else '""' if i % 9 == 2 else "NA"
+        assert text == "campaignid,sample,note\n" + "".join(f"{c},{f's{i:03}' if i else 'NA'},{cell(i)}\n" for i in [*range(1, 100), 0])
