@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
@@ -50,7 +49,9 @@ TASK_WORDS, STEP_WORDS = 1 << 20, 20_000
 #: Tokens of a document's first step; later ones double up to ``STEP_MOST``.
 STEP, STEP_MOST = 64, 1 << 16
 #: Tokens of the documents that are decided at once.
-SLICE = 1 << 18
+SLICE = 1 << 16
+#: Bits whose evidence is added up at once.
+EVIDENCE = 1 << 14
 #: Added to the counts of zeros and ones; evidence that holds the starting weights where they were; learning rate of a document.
 PRIOR, HOLD, OWN_RATE = 0.4, 16.0, 1.0
 
@@ -80,11 +81,62 @@ def _class(word: str) -> int:
     return 1 + zlib.crc32(raw[:2] + b"\0" + raw[-2:]) % (CLASSES - 1) if raw else 0
 
 
+#: Words up to this many bytes are hashed together, byte by byte; a longer one alone.
+_SHORT = 64
+_CRC = np.arange(256, dtype=U32)
+for _ in range(8):
+    _CRC = _CRC >> U32(1) ^ (_CRC & U32(1)) * U32(0xEDB88320)
+
+
+def _crc(state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """CRC-32 registers after one more byte each."""
+    return _CRC.take((state ^ byte) & U32(255)) ^ state >> U32(8)
+
+
+def _bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all words, where each starts and how many it has."""
+    _, offsets, data = words.buffers()
+    edges = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    return np.frombuffer(data if data is not None and data.size else b"\0", np.uint8), edges[:-1], np.diff(edges)
+
+
+def _classes(words: pa.Array) -> np.ndarray:
+    """``_class`` of every word."""
+    data, start, size = _bytes(words)
+    at = np.flatnonzero(size)
+    first, n = start[at], size[at]
+    last, two = first + n - 1, n > 1
+    state = _crc(np.full(len(at), 0xFFFFFFFF, U32), data[first])
+    state = np.where(two, _crc(state, data[np.minimum(first + 1, last)]), state)
+    state = _crc(state, np.zeros(len(at), np.uint8))
+    state = np.where(two, _crc(state, data[np.maximum(last - 1, first)]), state)
+    out = np.zeros(len(words), np.uint8)
+    out[at] = 1 + ~_crc(state, data[last]) % U32(CLASSES - 1)
+    return out
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    """CRC-32 of every word."""
+    data, start, size = _bytes(words)
+    order = np.argsort(-np.minimum(size, _SHORT + 1), kind="stable")
+    start, size = start[order], size[order]
+    state = np.full(len(words), 0xFFFFFFFF, U32)
+    long = np.count_nonzero(size > _SHORT)
+    for k in range(int(size[long]) if long < len(words) else 0):
+        n = int(np.searchsorted(-size[long:], -k, side="left"))
+        state[long : long + n] = _crc(state[long : long + n], data[start[long : long + n] + k])
+    state = ~state
+    state[:long] = [zlib.crc32(data[a : a + n]) for a, n in zip(start[:long].tolist(), size[:long].tolist(), strict=True)]
+    out = np.empty(len(words), U32)
+    out[order] = state
+    return out
+
+
 @dataclass
 class Tokens:
     """Texts as tokens: ``ids`` into ``words`` (the end is id 0), the document of each, and where each document starts."""
 
-    words: list[str]
+    words: pa.Array
     ids: np.ndarray
     doc: np.ndarray
     starts: np.ndarray
@@ -107,15 +159,15 @@ class Tokens:
         is_word = np.ones(starts[-1], bool)
         is_word[starts[1:] - 1] = False
         ids[is_word] = coded.indices.to_numpy() + 1
-        return cls([END, *coded.dictionary.to_pylist()], ids, np.repeat(np.arange(n, dtype=np.int32), sizes), starts[:-1], sizes)
+        return cls(pa.concat_arrays([pa.array([END]), coded.dictionary]), ids, np.repeat(np.arange(n, dtype=np.int32), sizes), starts[:-1], sizes)
 
     @cached_property
     def kinds(self) -> np.ndarray:
-        return np.fromiter(map(_class, self.words), np.uint8, len(self.words))
+        return _classes(self.words)
 
     @cached_property
     def hashes(self) -> np.ndarray:
-        return np.fromiter((zlib.crc32(w.encode()) for w in self.words), U32, len(self.words))
+        return _hashes(self.words)
 
     def slices(self) -> Iterator[Tokens]:
         """Documents of about ``SLICE`` tokens at a time, over the same words: what is decided about them needs no others."""
@@ -178,7 +230,7 @@ def _hashed(h: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
 def _slots(contexts: Sequence[np.ndarray], node: np.ndarray) -> list[np.ndarray]:
     """Places of the bit at ``node`` of the class, one in each table."""
     one, *hashed = contexts
-    return [(one << U32(CLASS_BITS)) + node, *[_hashed(h, node, HASH_BITS) for h in hashed]]
+    return [place.astype(np.intp) for place in ((one << U32(CLASS_BITS)) + node, *[_hashed(h, node, HASH_BITS) for h in hashed])]
 
 
 def _bits(d: Decisions, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -195,13 +247,21 @@ def _bits(d: Decisions, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.nd
 
 def _add(bits, sizes: Sequence[int], zeros: np.ndarray, ones: np.ndarray) -> None:
     """Zeros and ones of the bits, added to those of their slots, table after table."""
+    cells: list[list[np.ndarray]] = [[] for _ in sizes]
     for _, _, _, y, slots in bits:
-        base = 0
-        for s, size in zip(slots, sizes, strict=True):
-            both, hit = np.bincount(s, minlength=size), np.bincount(s[y], minlength=size)
-            ones[base : base + size] += hit
-            zeros[base : base + size] += both - hit
-            base += size
+        for held, s in zip(cells, slots, strict=True):
+            held.append((2 * s + y).astype(U32))
+    base = 0
+    for held, size in zip(cells, sizes, strict=True):
+        found = _zeros_and_ones(np.concatenate(held), size)
+        zeros[base : base + size] += found[0]
+        ones[base : base + size] += found[1]
+        base += size
+
+
+def _zeros_and_ones(cells: np.ndarray, size: int) -> np.ndarray:
+    """How many bits are 0 (first row) and 1 (second) in each place, from twice the place plus the bit."""
+    return np.bincount(cells, minlength=2 * size).reshape(size, 2).T
 
 
 def count_bits(d: Decisions, zeros: np.ndarray, ones: np.ndarray) -> None:
@@ -224,8 +284,9 @@ def _steps(sizes: np.ndarray) -> np.ndarray:
 def _outcome(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Natural log of the probability of the outcomes ``y`` under log odds ``z``, and how far off the prediction was."""
     e = np.exp(-np.abs(z))
-    log = np.minimum(np.where(y, z, -z), 0) - np.log1p(e)
-    return log, y - np.where(z >= 0, 1, e) / (1 + e)
+    sign = 2 * y.astype(z.dtype) - 1
+    # exp(min(z, 0)) is 1 or e: no choice element by element.
+    return np.minimum(sign * z, 0) - np.log1p(e), y - np.exp(np.minimum(z, 0)) / (1 + e)
 
 
 class Mixer:
@@ -236,8 +297,11 @@ class Mixer:
         self.bucket = np.searchsorted(SEEN, _split(zeros + ones, SIZES)[1], side="right").astype(np.uint8)
         self.weights = np.full((INPUTS, GATES), 1 / INPUTS, np.float32)
 
+    def _seen(self, slots: list[np.ndarray]) -> np.ndarray:
+        return self.bucket.take(slots[1])
+
     def _gate(self, b: int, slots: list[np.ndarray]) -> np.ndarray:
-        return self.bucket[slots[1]] + U32(b * BUCKETS)
+        return self._seen(slots) + U32(b * BUCKETS)
 
     def cost(self, t: Tokens, d: Decisions) -> np.ndarray:
         """Natural log of the probability of all decisions, by document."""
@@ -258,27 +322,28 @@ class Mixer:
             k = len(docs)
             place = np.zeros(n_docs, np.int64)
             place[docs] = np.arange(k)
-            here = [w[docs].ravel() for w in weights]
+            here = [w[docs] for w in weights]
             mine = np.log(own[1][docs] / own[0][docs]).ravel()
-            slope, bits, log = [np.zeros(k * GATES) for _ in here], np.zeros(k * GATES), np.zeros(k)
-            fresh = np.zeros((2, k * CLASSES))
-            for b, who, node, y, slots in _bits(d, at):
-                doc = place[t.doc[who]]
-                own_cell, cell = doc * CLASSES + node, doc * GATES + self._gate(b, slots)
-                x = [o[s] for o, s in zip(self.odds, slots, strict=True)] + [mine[own_cell]]
-                found, error = _outcome(sum(w[cell] * v for w, v in zip(here, x, strict=True)), y)
+            slope, bits, log = [np.zeros((k, GATES)) for _ in here], np.zeros((k, GATES)), np.zeros(k)
+            fresh, who = [], None
+            for b, asked, node, y, slots in _bits(d, at):
+                if asked is not who:  # the bits of the class are about the same tokens
+                    who, doc = asked, place[t.doc[asked]]
+                    of_own, of_gate = doc * CLASSES, doc * BUCKETS
+                own_cell, cell, gates = of_own + node, of_gate + self._seen(slots), slice(b * BUCKETS, (b + 1) * BUCKETS)
+                x = [o.take(s) for o, s in zip(self.odds, slots, strict=True)] + [mine.take(own_cell)]
+                found, error = _outcome(sum(w[:, gates].ravel().take(cell) * v for w, v in zip(here, x, strict=True)), y)
                 log += np.bincount(doc, found, minlength=k)
                 for g, v in zip(slope, x, strict=True):
-                    g += np.bincount(cell, error * v, minlength=k * GATES)
-                bits += np.bincount(cell, minlength=k * GATES)
-                both, hit = np.bincount(own_cell, minlength=k * CLASSES), np.bincount(own_cell[y], minlength=k * CLASSES)
-                fresh += both - hit, hit
+                    g[:, gates] = np.bincount(cell, error * v, minlength=k * BUCKETS).reshape(k, BUCKETS)
+                bits[:, gates] = np.bincount(cell, minlength=k * BUCKETS).reshape(k, BUCKETS)
+                fresh.append(2 * own_cell + y)
             # What this step showed is known from the next one on.
             out[docs] += log
-            met[docs] += bits.reshape(k, GATES)
+            met[docs] += bits
             for w, g in zip(weights, slope, strict=True):
-                w[docs] += OWN_RATE * g.reshape(k, GATES) / (met[docs] + 64)
-            own[:, docs] += fresh.reshape(2, k, CLASSES)
+                w[docs] += OWN_RATE * g / (met[docs] + 64)
+            own[:, docs] += _zeros_and_ones(np.concatenate(fresh), k * CLASSES).reshape(2, k, CLASSES)
         return out
 
     def evidence(self, t: Tokens, d: Decisions, odds: Sequence[np.ndarray], found: np.ndarray) -> None:
@@ -290,33 +355,38 @@ class Mixer:
         order = np.argsort(step, kind="stable")
         edges = np.concatenate([[0], np.cumsum(np.bincount(step))])
         for a, z in zip(edges[:-1], edges[1:], strict=True):
-            mine, fresh = np.log(own[1] / own[0]), []  # as it was before this step
-            for b, who, node, y, slots in _bits(d, order[a:z]):
-                cell = t.doc[who] * CLASSES + node.astype(np.int32)
-                fresh.append((cell, y))
-                x = np.stack([o[s + U32(len(o) >> 1) * y] for o, s in zip(odds, slots, strict=True)] + [mine[cell]])
-                _evidence(x, y, self.bucket[slots[1]], self.weights[:, b * BUCKETS : (b + 1) * BUCKETS], found[:, :, b * BUCKETS : (b + 1) * BUCKETS])
-            cell, y = (np.concatenate(v) for v in zip(*fresh, strict=True))
-            own += [np.bincount(cell[at], minlength=own.shape[1]) for at in (~y, y)]
+            mine, fresh, who = np.log(own[1] / own[0]), [], None  # as it was before this step
+            for b, asked, node, y, slots in _bits(d, order[a:z]):
+                if asked is not who:  # the bits of the class are about the same tokens
+                    who, of_own = asked, t.doc[asked].astype(np.intp) * CLASSES
+                cell, gates = of_own + node, slice(b * BUCKETS, (b + 1) * BUCKETS)
+                fresh.append(2 * cell + y)
+                x = [o.take(2 * s + y) for o, s in zip(odds, slots, strict=True)] + [mine.take(cell)]
+                _evidence(x, y, self._seen(slots), self.weights[:, gates], found[:, :, gates])
+            own += _zeros_and_ones(np.concatenate(fresh), own.shape[1])
 
 
 def _others(zeros: np.ndarray, ones: np.ndarray, sizes: Sequence[int]) -> list[np.ndarray]:
-    """Log odds of the slots of each table without the bit that looks them up: first for bits that are 0, then for those that are 1."""
+    """Log odds of the slots of each table without the bit that looks them up: of each slot first for a bit that is 0, then for one that is 1."""
     low = np.log((ones + PRIOR) / (np.maximum(zeros - 1, 0) + PRIOR)).astype(np.float32)
     high = np.log((np.maximum(ones - 1, 0) + PRIOR) / (zeros + PRIOR)).astype(np.float32)
-    return [np.concatenate(pair) for pair in zip(_split(low, sizes), _split(high, sizes), strict=True)]
+    return _split(np.stack([low, high], axis=1).ravel(), [2 * size for size in sizes])
 
 
-def _evidence(x: np.ndarray, y: np.ndarray, bucket: np.ndarray, weights: np.ndarray, found: np.ndarray) -> None:
+def _evidence(x: Sequence[np.ndarray], y: np.ndarray, bucket: np.ndarray, weights: np.ndarray, found: np.ndarray) -> None:
     """Slope (row 0) and curvature (below) of the log probability of the outcomes ``y`` in the weights, by bucket."""
-    order = np.argsort(bucket, kind="stable")  # eight bits: a radix sort
-    edges = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=BUCKETS))])
-    x, y = x.T[order].astype(np.float64), y[order]
-    for k, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-        v = x[a:z]
-        p = 1 / (1 + np.exp(-(v @ weights[:, k])))
-        found[0, :, k] += (y[a:z] - p) @ v
-        found[1:, :, k] += v.T @ (v * (p * (1 - p))[:, None])
+    weights = weights.astype(np.float64)
+    for a in range(0, len(y), EVIDENCE):
+        some = bucket[a : a + EVIDENCE]
+        order = np.argsort(some, kind="stable")  # eight bits: a radix sort
+        edges = np.concatenate([[0], np.cumsum(np.bincount(some, minlength=BUCKETS))]).tolist()
+        v, out = np.array([o[a : a + EVIDENCE].take(order) for o in x], np.float64), y[a : a + EVIDENCE].take(order)
+        for k, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            if low < high:
+                u = v[:, low:high]
+                p = 1 / (1 + np.exp(-(weights[:, k] @ u)))
+                found[0, :, k] += u @ (out[low:high] - p)
+                found[1:, :, k] += (u * (p * (1 - p))) @ u.T
 
 
 def _moved(weights: np.ndarray, found: np.ndarray) -> np.ndarray:
@@ -357,6 +427,7 @@ def _spelled(words: Sequence[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray
     for b in range(8):
         node = U32(1 << b) + (data >> U32(8 - b))
         slots = [one * U32(256) + node, (cls * U32(4) + place) * U32(256) + node, *[_hashed(h, node, SPELL_BITS) for h in hashes]]
+        slots = [s.astype(np.intp) for s in slots]
         yield b, word, node, (data >> U32(7 - b)) & U32(1) == 1, slots
 
 
@@ -371,7 +442,7 @@ class Speller:
     def evidence(self, words: Sequence[str], odds: Sequence[np.ndarray], found: np.ndarray) -> None:
         """What the words say about the weights, as ``Mixer.evidence``."""
         for b, _, _, y, slots in _spelled(words):
-            x = np.stack([o[s + U32(len(o) >> 1) * y] for o, s in zip(odds, slots, strict=True)])
+            x = [o.take(2 * s + y) for o, s in zip(odds, slots, strict=True)]
             _evidence(x, y, self.bucket[slots[4]], self.weights[:, b * BUCKETS : (b + 1) * BUCKETS], found[:, :, b * BUCKETS : (b + 1) * BUCKETS])
 
     def cost(self, words: Sequence[str]) -> np.ndarray:
@@ -381,8 +452,8 @@ class Speller:
             some = words[a : a + STEP_WORDS]
             for b, word, _, y, slots in _spelled(some):
                 gate = self.bucket[slots[4]] + b * BUCKETS
-                x = [o[s] for o, s in zip(self.odds, slots, strict=True)]
-                out[a : a + len(some)] += np.bincount(word, _outcome(sum(w[gate] * v for w, v in zip(self.weights, x, strict=True)), y)[0], minlength=len(some))
+                x = [o.take(s) for o, s in zip(self.odds, slots, strict=True)]
+                out[a : a + len(some)] += np.bincount(word, _outcome(sum(w.take(gate) * v for w, v in zip(self.weights, x, strict=True)), y)[0], minlength=len(some))
         return out
 
 
@@ -414,22 +485,34 @@ def _table_rows(zeros: np.ndarray, ones: np.ndarray) -> pa.RecordBatch:
     return _rows([None] * len(slot), slot, zeros[slot], ones[slot])
 
 
+def _added(held: list[pa.Table]) -> pa.Table:
+    """Counts of tokens, those of one token added up."""
+    return pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
+
+def _token_rows(counted: pa.Table) -> pa.RecordBatch:
+    counted = counted.filter(pc.greater(counted.column("n"), 0))
+    words = counted.column("token").combine_chunks()
+    return _rows(words, -1 - _classes(words).astype(np.int32), np.zeros(len(words), np.int64), counted.column("n").combine_chunks())
+
+
 def statistics(training: DataFrame, size: int) -> DataFrame:
     """``token, slot, zeros, ones``: a token with its count in ``ones`` and its class as the slot -1 - class, or the counts of a slot under token NULL."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens: Counter = Counter()
+        held: list[pa.Table] = []
         zeros, ones = np.zeros(TABLE, np.int64), np.zeros(TABLE, np.int64)
         for table in _batches(batches, BATCH_BYTES // 2):
             t = Tokens.of(table.column(0).combine_chunks())
             for some in t.slices():
                 count_bits(Decisions.of(some), zeros, ones)
-            tokens.update(dict(zip(t.words, np.bincount(t.ids, minlength=len(t.words)).tolist(), strict=True)))
-            if len(tokens) > HELD_TOKENS:
-                yield _rows(list(tokens), [-1 - _class(w) for w in tokens], [0] * len(tokens), list(tokens.values()))
-                tokens = Counter()
-        tokens = +tokens
-        yield _rows(list(tokens), [-1 - _class(w) for w in tokens], [0] * len(tokens), list(tokens.values()))
+            held.append(pa.table({"token": t.words, "n": np.bincount(t.ids, minlength=len(t.words))}))
+            if sum(h.num_rows for h in held) > HELD_TOKENS:
+                held = [_added(held)]
+                if held[0].num_rows > HELD_TOKENS:
+                    yield _token_rows(held.pop())
+        if held:
+            yield _token_rows(_added(held))
         yield _table_rows(zeros, ones)
 
     # Few tasks, as each sends a table of its own; a scan is put together without an exchange.
@@ -589,7 +672,7 @@ def coded(rows: DataFrame, model: Model) -> DataFrame:
             payload = size + sink.getvalue().to_pybytes() + packed.compress(ids.astype(np.int32).tobytes()).to_pybytes()
             n = len(t.words)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n + 1, base + i), pa.int64()), pa.array([-1, *range(n)], pa.int32()), pa.array([None, *t.words], pa.string()),
+                [pa.array(np.full(n + 1, base + i), pa.int64()), pa.array(np.arange(-1, n), pa.int32()), pa.concat_arrays([pa.nulls(1, pa.string()), t.words]),
                  pa.array([payload] + [None] * n, pa.binary())], names=["batch", "id", "token", "payload"],
             )
 
@@ -642,8 +725,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words, count = b.column(2).to_pylist(), b.column(3)
-            cls = pa.array([_class(w) for w in words], pa.int32())
+            count, cls = b.column(3), pa.array(_classes(b.column(2)), pa.int32())
             # The word itself is needed only where it has to be spelled.
             unseen = pc.if_else(pc.equal(count, 0), b.column(2), pa.scalar(None, pa.string()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), unseen, count, cls], names=["batch", "id", "token", "count", "cls"])

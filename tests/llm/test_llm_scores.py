@@ -154,6 +154,33 @@ def test_score_against_bit_by_bit_coding(spark, small):
             assert got[i]["bits_per_byte"] == pytest.approx(-got[i]["score"] / math.log10(2) / len(text.encode()))
 
 
+def test_words_are_hashed_together_as_one_by_one():
+    """Classes and checksums of many words at once: the end, one and two bytes, several bytes a character, words longer than what is hashed together, a cut array."""
+    rng = np.random.default_rng(7)
+    words = ["", "a", "ab", "é", "ßü", "日本語", "x" * 64, "y" * 65, "z" * 300, *["".join(rng.choice(list("abcdeé日"), n)) for n in rng.integers(1, 90, 500)]]
+    for some in (pa.array(words), pa.array(["cut", *words, "off"]).slice(1, len(words)), pa.array([""]), pa.array([], pa.string())):
+        assert cm._classes(some).tolist() == [cm._class(w) for w in some.to_pylist()]
+        assert cm._hashes(some).tolist() == [zlib.crc32(w.encode()) for w in some.to_pylist()]
+
+
+def test_evidence_of_many_bits_is_that_of_single_ones():
+    """Slope and curvature of more bits than are added up at once, against a sum bit by bit; zeros and ones counted in the same way."""
+    rng = np.random.default_rng(8)
+    n = 2 * cm.EVIDENCE + 5
+    x, y, bucket = [rng.normal(size=n).astype(np.float32) for _ in range(3)], rng.random(n) < 0.3, rng.choice([0, 1, 3], n).astype(np.uint8)
+    weights, found = rng.normal(size=(3, cm.BUCKETS)).astype(np.float32), np.zeros((4, 3, cm.BUCKETS))
+    cm._evidence(x, y, bucket, weights, found)
+    want, v = np.zeros_like(found), np.array(x, float)
+    for k in range(cm.BUCKETS):
+        u = v[:, bucket == k]
+        p = 1 / (1 + np.exp(-(weights[:, k].astype(float) @ u)))
+        want[0, :, k], want[1:, :, k] = u @ (y[bucket == k] - p), np.einsum("in,jn,n->ij", u, u, p * (1 - p))
+    assert np.allclose(found, want) and not found[:, :, 2].any()
+    place = rng.integers(0, 50, n)
+    zeros, ones = cm._zeros_and_ones(2 * place + y, 50)
+    assert zeros.tolist() == np.bincount(place[~y], minlength=50).tolist() and ones.tolist() == np.bincount(place[y], minlength=50).tolist()
+
+
 def test_decisions_are_a_distribution():
     rng = np.random.default_rng(1)
     mixer = cm.Mixer(rng.integers(0, 9, cm.TABLE), rng.integers(0, 9, cm.TABLE))
