@@ -1,4 +1,6 @@
+import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -277,6 +279,23 @@ def test_findings_equal_the_checks(spark):
         assert bag(new.filter(F.col("finding") == f"samples_with_{kind}"), "campaignid", "n") == want
 
 
+def test_findings_fold_away_images_that_no_campaign_reads(spark):
+    """Image and camera are no keys of the fold where nothing depends on them, and stay where one campaign looks at them; the findings are the same."""
+    rows = [(c, "forwards" if i % 2 else "backwards", f"{o}_{i}.jpg", o, "80300902" if i % 3 else None, "Sponges", "Erect", None, ".1. flat") for c in "ab" for o in ("x", "y", None) for i in range(6)]
+    dots = spark.createDataFrame(rows, "campaignid string, direction string, filename string, opcode string, code string, broad string, morphology string, type string, relief string")
+    meta = spark.createDataFrame([(c, o, "Yes", "Yes", "Yes", "No", -30.0) for c in "ab" for o in ("x", "z")],
+                                 "campaignid string, sample string, successful_count string, successful_length string, successful_habitat_forward string, successful_habitat_backward string, latitude_dd double")
+    tables = cp.Tables(starter_classification(spark), meta)
+    plain = [cp.CampaignSpec(c, sample=cp.SampleRule("opcode", ())) for c in "ab"]
+    looking = [plain[0], replace(plain[1], exclude_files=("no such image",))]
+    keys = lambda df: [k for k in ("filename", "direction") if re.search(rf"Aggregate \[[^]]*\b{k}#", df._jdf.queryExecution().optimizedPlan().toString())]
+    pruned, whole = cp.findings(plain, dots, tables), cp.findings(looking, dots, tables)
+    assert keys(pruned) == [] and keys(whole) == ["filename", "direction"]
+    assert bag(pruned) == bag(whole) and bag(pruned)
+    for s in cp.KNOWN_CAMPAIGNS:
+        assert cp._reads_images(s) == (s.campaignid not in ("2014-12_Geographe-bay_stereo-BRUVs", "2024-04_Geographe_stereo-BRUVs", "2024-05_Wudjari_stereo-BRUVs"))
+
+
 def test_findings_of_every_vocabulary_scan_the_dots_once(spark, tmp_path):
     """All known campaigns at once: the same findings as campaign by campaign, one scan."""
     rows = []
