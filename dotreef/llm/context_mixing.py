@@ -401,17 +401,19 @@ SPELL_SIZES = (256 * 256, 256 * CLASSES * 4, *[1 << SPELL_BITS] * 4)
 SPELL_TABLE = sum(SPELL_SIZES)
 
 
-def _spelled(words: Sequence[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+def _spelled(words: Sequence[str] | pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
     """Bits of the bytes of the words, each word closed by a zero byte: bit, word, node, outcome, slots.
 
     Contexts are the byte before; the class, known by then, and how far into the word it is; two, three and four bytes before; class and byte before.
     """
-    raw = [w.encode() + b"\0" for w in words]
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-    data = np.frombuffer(b"".join(raw), np.uint8).astype(U32)
-    word = np.repeat(np.arange(len(raw)), sizes)
-    pos = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    cls = np.repeat(np.fromiter(map(_class, words), U32, len(raw)), sizes)
+    words = words if isinstance(words, pa.Array) else pa.array(words, pa.string())
+    raw, start, sizes = _bytes(words)
+    sizes = sizes + 1
+    word = np.repeat(np.arange(len(words)), sizes)
+    pos = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    # The zero byte that closes a word stands where the next one starts.
+    data = np.where(pos == sizes[word] - 1, 0, raw[np.minimum(start[word] + pos, len(raw) - 1)]).astype(U32)
+    cls = np.repeat(_classes(words).astype(U32), sizes)
 
     def back(by: int) -> np.ndarray:
         out = np.zeros(len(data), U32)
@@ -439,7 +441,7 @@ class Speller:
         self.bucket = np.searchsorted(SEEN, _split(zeros + ones, SPELL_SIZES)[4], side="right").astype(np.uint8)
         self.weights = np.full((len(SPELL_SIZES), 8 * BUCKETS), 1 / len(SPELL_SIZES))
 
-    def evidence(self, words: Sequence[str], odds: Sequence[np.ndarray], found: np.ndarray) -> None:
+    def evidence(self, words: Sequence[str] | pa.Array, odds: Sequence[np.ndarray], found: np.ndarray) -> None:
         """What the words say about the weights, as ``Mixer.evidence``."""
         for b, _, _, y, slots in _spelled(words):
             x = [o.take(2 * s + y) for o, s in zip(odds, slots, strict=True)]
@@ -536,7 +538,7 @@ def spelling(tokens: DataFrame) -> Speller:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zeros, ones = np.zeros(SPELL_TABLE, np.int64), np.zeros(SPELL_TABLE, np.int64)
         for table in _batches(batches, 1 << 20):
-            words = table.column(0).to_pylist()
+            words = table.column(0).combine_chunks()
             for a in range(0, len(words), STEP_WORDS):
                 _add(_spelled(words[a : a + STEP_WORDS]), SPELL_SIZES, zeros, ones)
         yield _table_rows(zeros, ones)
@@ -548,7 +550,7 @@ def spelling(tokens: DataFrame) -> Speller:
     speller, odds = Speller(zeros, ones), _others(zeros, ones, SPELL_SIZES)
 
     def learn(found: np.ndarray, table: pa.Table) -> None:
-        words = table.column(0).to_pylist()
+        words = table.column(0).combine_chunks()
         for a in range(0, len(words), STEP_WORDS):
             speller.evidence(words[a : a + STEP_WORDS], odds, found)
 
@@ -668,9 +670,9 @@ def coded(rows: DataFrame, model: Model) -> DataFrame:
             with pa.ipc.new_stream(sink, docs.schema) as w:
                 w.write_table(docs)
             ids = (t.ids.astype(np.int32) << 1) | np.concatenate(again)
-            size = np.array([sink.tell(), len(ids)], np.int64).tobytes()
-            payload = size + sink.getvalue().to_pybytes() + packed.compress(ids.astype(np.int32).tobytes()).to_pybytes()
             n = len(t.words)
+            size = np.array([sink.tell(), n, len(ids)], np.int64).tobytes()
+            payload = size + sink.getvalue().to_pybytes() + t.kinds.tobytes() + packed.compress(ids.astype(np.int32).tobytes()).to_pybytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n + 1, base + i), pa.int64()), pa.array(np.arange(-1, n), pa.int32()), pa.concat_arrays([pa.nulls(1, pa.string()), t.words]),
                  pa.array([payload] + [None] * n, pa.binary())], names=["batch", "id", "token", "payload"],
@@ -679,24 +681,25 @@ def coded(rows: DataFrame, model: Model) -> DataFrame:
     return rows.select("doc_id", "held_out", "text").mapInArrow(run, _PART)
 
 
-def _unpack(payload: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray]:
-    size, n = np.frombuffer(payload[:16], np.int64).tolist()
-    docs = pa.ipc.open_stream(payload[16 : 16 + size]).read_all()
-    ids = np.frombuffer(pa.Codec("zstd").decompress(payload[16 + size :], decompressed_size=4 * n), np.int32)
-    return docs, ids >> 1, (ids & 1).astype(bool)
+def _unpack(payload: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, class of each word, and of each token its word and whether it was repeated."""
+    size, words, n = np.frombuffer(payload[:24], np.int64).tolist()
+    docs, at = pa.ipc.open_stream(payload[24 : 24 + size]).read_all(), 24 + size
+    kinds = np.frombuffer(payload[at : at + words], np.uint8)
+    ids = np.frombuffer(pa.Codec("zstd").decompress(payload[at + words :], decompressed_size=4 * n), np.int32)
+    return docs, kinds, ids >> 1, (ids & 1).astype(bool)
 
 
 def _scored(model: Model):
     total = int(model.tokens.sum())
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        docs, ids, again = _unpack(left["payload"].iloc[0])
+        docs, kinds, ids, again = _unpack(left["payload"].iloc[0])
         n = len(right)
         count, words = np.zeros(n, np.int64), np.empty(n, object)
         at = right["id"].to_numpy()
         count[at], words[at] = right["count"].to_numpy(), right["token"].to_numpy()
-        cls = np.zeros(n, np.int64)
-        cls[at] = right["cls"].to_numpy()
+        cls = kinds.astype(np.int64)
         sizes = docs.column("n").to_numpy()
         doc = np.repeat(np.arange(len(sizes)), sizes)
         inside, base = model.within(doc[~again], ids[~again], words, cls, count), model.base(count)
@@ -723,14 +726,7 @@ def score(docs: DataFrame) -> DataFrame:
     asked = parts.where("payload IS NULL").select("batch", "id", "token").join(tokens, "token", "left")
     known = F.col("count").isNotNull()
 
-    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            count, cls = b.column(3), pa.array(_classes(b.column(2)), pa.int32())
-            # The word itself is needed only where it has to be spelled.
-            unseen = pc.if_else(pc.equal(count, 0), b.column(2), pa.scalar(None, pa.string()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), unseen, count, cls], names=["batch", "id", "token", "count", "cls"])
-
-    asked = asked.select("batch", "id", "token", F.when(known, F.col("count")).otherwise(F.lit(0)).alias("count"))
-    asked = asked.mapInArrow(classed, "batch long, id int, token string, count long, cls int")
-    whole = parts.where("payload IS NOT NULL").select("batch", "payload")
-    return whole.groupBy("batch").cogroup(asked.groupBy("batch")).applyInPandas(_scored(model), RESULT)
+    # The word itself is needed only where it has to be spelled.
+    asked = asked.select("batch", "id", F.when(known, F.lit(None)).otherwise(F.col("token")).alias("token"), F.when(known, F.col("count")).otherwise(F.lit(0)).alias("count"))
+    whole = parts.where("payload IS NOT NULL").select(F.col("batch").alias("whole"), "payload")  # both sides come from one table: a name of its own
+    return whole.groupBy("whole").cogroup(asked.groupBy("batch")).applyInPandas(_scored(model), RESULT)
