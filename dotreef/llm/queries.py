@@ -26,7 +26,9 @@ def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.digests(documents(spark, sf_dir))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    shared = F.aggregate("passages", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["start"])
+    own = F.size("passages").cast("long").alias("n_passages"), shared.alias("n_passage_words")
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", *own)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -357,3 +358,50 @@ def test_columns_with_the_names_of_hidden_ones(spark, tmp_path, taken):
         assert exact_dedup.keep_one(docs).columns == docs.columns == near_dedup.keep_one(docs).columns
         assert sorted(r["doc_id"] for r in near_dedup.keep_one(docs).collect()) == [0, 2, 3, 4, 5]
         assert {r["doc_id"]: r["n_removed"] for r in repeats.digests(docs, 400).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 900, 5: 450}
+
+
+def passages_by_hand(texts, length):
+    """Words of each text that a string of ``length`` words covers which stands in another text as well."""
+    worded = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) for t in texts]
+    seen = {}
+    for i, words in enumerate(worded):
+        for k in range(len(words) - length + 1):
+            seen.setdefault(tuple(words[k : k + length]), set()).add(i)
+    out = []
+    for words in worded:
+        hit = bytearray(len(words))
+        for k in range(len(words) - length + 1):
+            if len(seen[tuple(words[k : k + length])]) > 1:
+                hit[k : k + length] = b"\1" * length
+        out.append([m.span() for m in re.finditer(b"\1+", bytes(hit))])
+    return out
+
+
+def test_passages_by_hand(spark, monkeypatch):
+    rng = random.Random(50)
+    some = ["a", "Bé", "c3", "漢字", "dd"]
+    for length, segment in ((50, 1 << 19), (12, 1 << 19), (12, 240)):
+        monkeypatch.setattr(repeats, "SEGMENT", segment)
+        shared = [" ".join(rng.choices(some, k=rng.randint(length - 3, 3 * length))) for _ in range(8)]
+        texts = ["", "?!", "x " * (3 * length), "x, " * (length - 1), "y " * length, "z\n" * (2 * length)]
+        for _ in range(40):
+            parts = [rng.choice([rng.choice(shared), " ".join(rng.choices(some, k=rng.randint(1, 40)))]) for _ in range(rng.randint(1, 7))]
+            texts.append(rng.choice([" ", ".", "\n- "]).join(parts))
+        texts += [texts[7], texts[8].upper(), "own " + " own ".join([" ".join(f"w{k}" for k in range(2 * length))] * 3), " ".join(f"w{k}" for k in range(5, 5 + length))]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        rows = {r["doc_id"]: [(p["start"], p["end"]) for p in r["passages"]] for r in repeats.digests(docs, 400, length).collect()}
+        assert rows == dict(enumerate(passages_by_hand(texts, length)))
+
+
+def test_a_shared_passage_shorter_than_a_removed_string(spark, tmp_path):
+    """52 words of 300 bytes in two documents: nothing is removed, the passage is told; the same words twice in one document are none."""
+    from dotreef.llm import queries
+
+    rng = random.Random(52)
+    fresh = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    passage, twice = fresh(52), fresh(60)
+    texts = [f"{fresh(90)} {passage} {fresh(80)}", f"{fresh(10)}. {passage.upper()}\n{fresh(30)}", f"{twice} {fresh(70)} {twice}", fresh(200), None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in queries.op3_repeats(spark, str(tmp_path)).collect()}
+    assert [(r["n_removed"], r["n_spans"]) for _, r in sorted(rows.items())] == [(0, 0)] * 5
+    assert [(r["n_passages"], r["n_passage_words"]) for _, r in sorted(rows.items())] == [(1, 52), (1, 52), (0, 0), (0, 0), (0, 0)]
