@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            # Tests look for paths in plans, where Spark cuts what is longer than 100 characters.
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
