@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, tune
+from .common import give_back, stored, tune
 
 #: Text that asks for counts at once.
 BATCH_BYTES = 8 << 20
@@ -471,8 +471,10 @@ def _batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]
         if sum(x.nbytes for x in held) >= size:
             yield pa.Table.from_batches(held)
             held = []
+            give_back()
     if held:
         yield pa.Table.from_batches(held)
+    give_back()
 
 
 def _rows(token, slot, zeros, ones) -> pa.RecordBatch:
@@ -694,6 +696,7 @@ def _scored(model: Model):
     total = int(model.tokens.sum())
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         docs, kinds, ids, again = _unpack(left["payload"].iloc[0])
         n = len(right)
         count, words = np.zeros(n, np.int64), np.empty(n, object)

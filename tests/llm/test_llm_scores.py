@@ -1,9 +1,11 @@
 """Context mixing against a plain version that codes one bit after the other."""
 
+import ctypes
 import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -163,6 +165,19 @@ def test_words_are_hashed_together_as_one_by_one():
         assert cm._hashes(some).tolist() == [zlib.crc32(w.encode()) for w in some.to_pylist()]
 
 
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="the allocator has no such call")
+def test_what_a_batch_took_is_given_back():
+    """Arrays that are gone leave no memory with the worker, though a few between them are still in use."""
+    held = lambda: int(re.search(r"^Pss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text(), re.M)[1])
+    left = cm._batches(iter([pa.RecordBatch.from_pydict({"text": ["a"]})]), 1)
+    next(left)
+    arrays = [np.ones(8_000) for _ in range(2_000)]  # 128 MB
+    kept, before = arrays[::50], held()
+    del arrays
+    assert list(left) == [] and len(kept) == 40
+    assert held() < before - 64 * 1024
+
+
 def test_evidence_of_many_bits_is_that_of_single_ones():
     """Slope and curvature of more bits than are added up at once, against a sum bit by bit; zeros and ones counted in the same way."""
     rng = np.random.default_rng(8)
